@@ -28,6 +28,9 @@ USERNAMES = ["admin", "user1", "user2", "user3", "system", "root", "guest", "nob
 VENDORS = ["Microsoft", "Cisco", "Symantec", "Palo Alto"]
 
 
+EVENTS_DDL = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
 @dataclass(frozen=True)
 class Logs:
     json: DataFrame
@@ -128,5 +131,15 @@ def derive_logs(events: DataFrame) -> Logs:
     return Logs(json_logs(prepared), syslog_logs(prepared), cef_logs(prepared))
 
 
-def load_logs(spark: SparkSession, sf_dir: str) -> Logs:
-    return derive_logs(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def load_logs(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> Logs:
+    """Logs derived from a folder of tables, or those with event time in ``[since, until)``.
+
+    The range is on whole milliseconds and filters the stored time column, so the scan skips the
+    row groups outside it.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if since is not None:
+        events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    return derive_logs(events)

@@ -43,13 +43,13 @@ def time_floor(column: str | Column, period: str = "PT1H") -> Column:
     if interval in ("1 hour", "1 hours", "hour"):
         return F.date_trunc("hour", column)
     micros = F.unix_micros(column)
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(_micros(interval))))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(period_micros(period))))
 
 
-def _micros(interval: str) -> int:
+def period_micros(period: str) -> int:
     scale = {"week": 7 * 86400, "day": 86400, "hour": 3600, "minute": 60, "second": 1}
-    words = interval.split()
-    return sum(int(n) * scale[u.rstrip("s")] for n, u in zip(words[::2], words[1::2])) * 1_000_000
+    words = period_to_interval(period).split()
+    return sum(int(n) * scale[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2])) * 1_000_000
 
 
 def event_timestamp(column: str = "event_time") -> Column:

@@ -38,11 +38,26 @@ def login_end(scope: str = "same_type", status: str = "failure") -> Column:
 LOGIN_MEASURES = {"failure_time": "timestamp", "failure_source_ip": "source_ip", "failed_details": "details"}
 
 
-def _row_class(run_pred: Column, end_pred: Column) -> Column:
+def row_class(run_pred: Column, end_pred: Column) -> Column:
     """A row is END, RUN or neither; where both tests hold, END wins. Null tests hold for no row."""
     return F.when(end_pred, F.lit(END)).when(run_pred, F.lit(RUN)).otherwise(F.lit(OTHER)).cast("byte")
 
 
+def run_before(classes, starts, carried: int):
+    """How many RUN rows stand right before each row; a run ends where ``starts`` says a key begins.
+
+    ``carried`` RUN rows stand before the first row.
+    """
+    import numpy as np
+
+    at = np.arange(len(classes))
+    unbroken = -1 - carried
+    last_other = np.maximum.accumulate(np.where(classes != RUN, at, unbroken))
+    before = np.concatenate(([unbroken], last_other[:-1]))
+    key_edge = np.maximum.accumulate(np.where(starts, at - 1, unbroken))
+    return at - 1 - np.maximum(before, key_edge)
+
+
 def _scan_stretch(batches, min_run):
     """Scan one sorted stretch; keep matches, the open head and the tail summary."""
     import numpy as np
@@ -53,16 +68,14 @@ def _scan_stretch(batches, min_run):
 
     def tagged(batch, rows, kind, run, reset):
         n = len(rows)
+        taken = batch.select([c for c in batch.schema.names if c != "_class"]).take(pa.array(rows, pa.int64()))
         extra = {
             "_stretch": pa.array(np.full(n, stretch, np.int32)),
             "_kind": pa.array(np.full(n, kind, np.int8)),
             "_run": pa.array(run, pa.int64()),
             "_reset": pa.array(np.full(n, reset, np.int8)),
         }
-        taken = batch.select([c for c in batch.schema.names if c != "_class"]).take(pa.array(rows, pa.int64()))
-        return pa.RecordBatch.from_arrays(
-            [*taken.columns, *extra.values()], names=[*taken.schema.names, *extra]
-        )
+        return pa.RecordBatch.from_arrays([*taken.columns, *extra.values()], names=[*taken.schema.names, *extra])
 
     last_key, carried, opened, last_row = None, 0, True, None
     for batch in batches:
@@ -72,16 +85,10 @@ def _scan_stretch(batches, min_run):
         key = batch.column("_key")
         codes = key.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
         classes = batch.column("_class").to_numpy(zero_copy_only=False)
-        at = np.arange(n)
         starts = np.empty(n, bool)
         starts[1:] = codes[1:] != codes[:-1]
         starts[0] = last_row is not None and key[0].as_py() != last_key
-        # The last row before each row that is not part of the current run; a carried run
-        # is a stretch of virtual rows before the batch.
-        breaks = np.where(classes != RUN, at, -1 - carried)
-        before = np.concatenate(([-1 - carried], np.maximum.accumulate(breaks)[:-1]))
-        floor = np.maximum.accumulate(np.where(starts, at - 1, -1 - carried))
-        run = at - 1 - np.maximum(before, floor)
+        run = run_before(classes, starts, carried)
         ends = classes == END
 
         if opened:
@@ -124,13 +131,13 @@ def match_run_then(
     measures = dict(measures or {})
     keys = list(partition_by)
     single = len(keys) == 1
-    row_class = _row_class(run_pred, end_pred)
-    only_end = [F.when(row_class == END, F.col(c)).alias(alias) for alias, c in measures.items()]
+    klass = row_class(run_pred, end_pred)
+    only_end = [F.when(klass == END, F.col(c)).alias(alias) for alias, c in measures.items()]
     key_text = F.col(keys[0]).cast("string") if single else F.to_json(F.struct(*keys))
     key_back = [F.col("_key").cast(df.schema[keys[0]].dataType).alias(keys[0])] if single else keys
     order = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order_by)]
     sort_key = ["_key", *[f"_order{i}" for i in range(len(order))]]
-    rows = df.select(*([] if single else keys), key_text.alias("_key"), *order, row_class.alias("_class"), *only_end)
+    rows = df.select(*([] if single else keys), key_text.alias("_key"), *order, klass.alias("_class"), *only_end)
     placed = rows.repartitionByRange(*([partitions] if partitions else []), *sort_key)
     narrow = placed.sortWithinPartitions(*sort_key).drop(*sort_key[1:])
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "_class"]

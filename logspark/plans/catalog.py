@@ -7,20 +7,26 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.fixtures import Logs, load_logs
+from logspark.fixtures import Logs, load_logs, seed_users
+from logspark.functions.time import DAY, HOUR
 from logspark.operators import activity as act, pattern
-from logspark.operators.correlate import ip_incidents
+from logspark.operators.correlate import ip_incidents, total_pairs
 from logspark.operators.feed import event_feed
 from logspark.plans import analytics as an, charts
 from logspark.plans.oracle import AS_OF
 from logspark.schemas import TOPICS
-from logspark.session import use_utc
+from logspark.session import scratch_dir, use_utc
 from logspark.sources import synth
+from logspark.sources.bronze import read_bronze, write_bronze
 from logspark.sources.ingest import ingest
 from logspark.sources.logs import decode_topic
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import bad_records, good_records
+from logspark.streaming.pattern import suspicious_logins_stream
+from logspark.streaming.replay import replay, replayed
+from logspark.streaming.sinks import LoginTables, login_messages_stream
+from logspark.streaming.windows import activity_stream, bucket_pair_counts_stream, event_frequency_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,11 +45,14 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def over_logs(build: Callable[..., DataFrame]) -> Query:
-    """A query over the derived logs; ``build`` takes the logs."""
+def over_logs(build: Callable[..., DataFrame], since: str | None = None, until: str | None = None) -> Query:
+    """A query over the derived logs; ``build`` takes the logs.
+
+    ``since`` and ``until`` name the range of whole buckets the query reads, for the scan to prune.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(load_logs(use_utc(spark), sf_dir)))
+        return comparable(build(load_logs(use_utc(spark), sf_dir, since, until)))
 
     return run
 
@@ -73,6 +82,47 @@ def json_topic(logs: Logs) -> DataFrame:
     )
 
 
+def streamed(build: Callable[[Logs], DataFrame], name: str, finish: Callable = lambda df: df) -> Query:
+    """A stream over the derived logs, run to its end; ``finish`` works on the stored rows."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(finish(replayed(use_utc(spark), sf_dir, build, name)))
+
+    return run
+
+
+def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow from log stream to stored messages."""
+    base = scratch_dir(use_utc(spark), "w5")
+    tables = LoginTables(f"{base}/tables")
+
+    def sink(matches: DataFrame, path: str, checkpoint: str):
+        return login_messages_stream(matches, seed_users(spark), tables, checkpoint)
+
+    replay(spark, sf_dir, lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), base, sink)
+    return tables.messages.read(spark)
+
+
+def bronze_stream(kind: str) -> Query:
+    """A log stream stored by day, without the closing marks."""
+
+    def sink(df: DataFrame, path: str, checkpoint: str):
+        return write_bronze(df, path, checkpoint, available_now=True)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_dir(use_utc(spark), f"w6-{kind}")
+        path = replay(spark, sf_dir, lambda logs: ingest(getattr(logs, kind), kind), base, sink)
+        return comparable(read_bronze(spark, path, until="2200-01-01"))
+
+    return run
+
+
+# Rows of one user in one slot must fit a task.
+SLOT = "1 minute"
+
+# The last day and the last week before AS_OF, both on whole hours.
+DAY_AGO, WEEK_AGO = "2024-01-30 00:00:00", "2024-01-24 00:00:00"
+
 QUERIES: dict[str, Query] = {
     "f1_json_activity": over_logs(an.json_activity),
     "f2_syslog_activity": over_logs(an.syslog_activity),
@@ -93,8 +143,9 @@ QUERIES: dict[str, Query] = {
     "e1_enriched_failed_logins": _with_session(an.enriched_failed_logins),
     "e1_enriched_every_match": _with_session(partial(an.enriched_failed_logins, every_match=True)),
     "n1_generated_messages": _with_session(an.generated_messages),
-    "d1_ip_correlation_recent": over_logs(partial(an.ip_correlation_recent, as_of=AS_OF)),
-    "d1_ip_correlation_recent_all": over_logs(partial(an.ip_correlation_recent, as_of=AS_OF, limit=None)),
+    "d1_ip_correlation_recent": over_logs(partial(an.ip_correlation_recent, as_of=AS_OF), DAY_AGO, AS_OF),
+    "d1_ip_correlation_recent_all": over_logs(
+        partial(an.ip_correlation_recent, as_of=AS_OF, limit=None), DAY_AGO, AS_OF),
     "d2_event_frequency": over_logs(partial(an.event_frequency, limit=None)),
     "d2_event_frequency_first": over_logs(an.event_frequency),
     "d3_ip_incidents": over_logs(lambda logs: ip_incidents(logs.json, logs.cef)),
@@ -104,16 +155,28 @@ QUERIES: dict[str, Query] = {
     "c0_correlated_dataset": over_logs(an.correlated_dataset),
     "c1_event_feed": over_logs(lambda logs: event_feed(logs.json, logs.syslog, logs.cef)),
     "c2_frequency_by_type": over_logs(
-        lambda logs: charts.event_frequency_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF)),
+        lambda logs: charts.event_frequency_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF), WEEK_AGO, AS_OF),
     "c3_top_sources": over_logs(
-        lambda logs: charts.top_sources_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF)),
-    "c4_incident_timeline": over_logs(lambda logs: charts.incident_timeline_chart(logs.json, logs.cef, AS_OF)),
+        lambda logs: charts.top_sources_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF), WEEK_AGO, AS_OF),
+    "c4_incident_timeline": over_logs(
+        lambda logs: charts.incident_timeline_chart(logs.json, logs.cef, AS_OF), WEEK_AGO, AS_OF),
     "k1_latest_per_topic": over_logs(an.newest_records),
     "k2_attribute_rows": over_logs(lambda logs: as_attribute_rows(an.newest_json_log(logs))),
     "g1_synth_logs": lambda spark, sf_dir: synth.flat_logs(synth.synth_logs(_ids(spark, sf_dir), seed=42)),
     "g2_synth_topup": lambda spark, sf_dir: synth.flat_logs(synth.synth_topup(_ids(spark, sf_dir), seed=43)),
     "i2_quarantine_good": over_logs(lambda logs: good_records(decode_topic(json_topic(logs), "json"))),
     "i2_quarantine_bad": over_logs(lambda logs: bad_records(decode_topic(json_topic(logs), "json"))),
+    "w1_json_activity_stream": streamed(
+        lambda logs: activity_stream(logs.json, ["event_type", "status"], an.JSON_DISTINCT, DAY), "w1"),
+    "w2_suspicious_logins_stream": streamed(lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2"),
+    "w3_correlation_stream": streamed(
+        lambda logs: bucket_pair_counts_stream(logs.syslog, logs.json, HOUR), "w3", total_pairs),
+    "w4_frequency_stream": streamed(
+        lambda logs: event_frequency_stream({"JSON": logs.json, "Syslog": logs.syslog, "CEF": logs.cef}), "w4"),
+    "w5_login_messages_stream": login_messages,
+    "w6_bronze_stream_json": bronze_stream("json"),
+    "w6_bronze_stream_syslog": bronze_stream("syslog"),
+    "w6_bronze_stream_cef": bronze_stream("cef"),
     "i1_bronze_json": over_logs(lambda logs: ingest(logs.json, "json")),
     "i1_bronze_syslog": over_logs(lambda logs: ingest(logs.syslog, "syslog")),
     "i1_bronze_cef": over_logs(lambda logs: ingest(logs.cef, "cef")),

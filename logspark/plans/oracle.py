@@ -271,6 +271,13 @@ union all {rows("cef", {
     "text": f"'Security event ' || {counter}"})}"""
 
 
+STREAM_TWINS = {
+    "w1_json_activity_stream": "f1_json_activity_all",
+    "w2_suspicious_logins_stream": "m2_suspicious_logins",
+    "w3_correlation_stream": "c0_correlated_dataset",
+    "w4_frequency_stream": "d2_event_frequency",
+    "w5_login_messages_stream": "n1_generated_messages",
+}
 BROKEN = "k = 97"
 
 
@@ -327,5 +334,8 @@ select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
        hex(encode('broken ' || {_PAD})) as raw_hex from e where {BROKEN}"""),
     }
     for kind, text in I1.items():
-        sql[f"i1_bronze_{kind}"] = _with(select=text)
+        sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
+    # A stream gives what its batch form gives.
+    for stream, batch in STREAM_TWINS.items():
+        sql[stream] = sql[batch]
     return sql

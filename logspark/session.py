@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app_name: str = "logspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library counts on; ``conf`` adds or replaces settings.
 
@@ -20,8 +23,7 @@ def build_session(app_name: str = "logspark", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     } | conf
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -37,6 +39,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb_state(spark: SparkSession) -> SparkSession:
+    """Stream state on local disk with changes in the checkpoint, not on the heap; keyed state needs it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return spark
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path for one run, below the shared folder named by ``spark.checkpoint.dir``.
 
