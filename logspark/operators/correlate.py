@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from logspark.functions.time import MINUTE, as_timestamp, period_interval, time_floor, time_prefix
 from logspark.operators.activity import HIGH_SEVERITY, severity_number
 from logspark.operators.ranking import ranked
+from logspark.operators.skew import join_splitting_hot_keys
 
 SYSLOG_CLASS = {"hostname": "hostname", "application": "syslog_application", "priority": "syslog_priority"}
 JSON_CLASS = {"event_type": "json_event_type", "status": "json_status"}
@@ -146,19 +147,24 @@ def recent_ip_pairs(
     threshold: int = HIGH_SEVERITY,
     status: str = "failure",
     limit: int | None = 10,
+    **skew,
 ) -> DataFrame:
     """Distinct pairs with the exact JSON event time, for JSON rows in ``[since, until)``.
 
     Both sides are made distinct before the join; the time of the JSON row gives its bucket, so
-    the pairs come out distinct and need no second pass. The join reads shuffled rows directly,
-    which lets adaptive execution split the JSON rows of a hot address.
+    the pairs come out distinct and need no second pass. JSON rows keep their exact time and so
+    cannot be counted together; those of a hot address are split over tasks instead.
     """
-    left = _json_side(json, period, since, until).distinct()
+    rows = _json_side(json, period, since, until)
     right = _cef_side(cef, period, since, until).distinct()
-    joined = left.join(right, ["time_window", "source_ip"]).filter(_suspicious(threshold, status))
-    rows = joined.select(
+    spread_by = ["event_ts", "event_type", "status"]
+    joined = join_splitting_hot_keys(
+        rows.distinct(), right, ["time_window", "source_ip"], spread_by, count_in=rows, **skew
+    )
+    joined = joined.filter(_suspicious(threshold, status))
+    pairs = joined.select(
         "time_window", F.col("event_ts").alias("event_time"), "source_ip", "event_type", "status", "cef_event",
         "severity",
     )
-    order = [F.desc("time_window"), F.desc("event_time"), *rows.columns[2:]]
-    return ranked(rows, order, limit)
+    order = [F.desc("time_window"), F.desc("event_time"), *pairs.columns[2:]]
+    return ranked(pairs, order, limit)
