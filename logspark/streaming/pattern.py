@@ -25,6 +25,10 @@ from logspark.session import use_rocksdb_state
 from logspark.streaming.windows import WATERMARK
 
 
+# Python workers hold times as nanoseconds, which end in 2262.
+LATEST = "2262-01-01 00:00:00"
+
+
 class ScanSlot(StatefulProcessor):
     """Buffer the rows of one (key, slot); scan them when the slot is over."""
 
@@ -113,14 +117,16 @@ def match_run_then_stream(
     """The stream form of ``operators.pattern.match_run_then``, for a stream with ``event_ts``.
 
     ``order_by`` must follow ``event_ts``. Choose ``slot`` so that the rows of the hottest key in
-    one slot fit a task. Rows behind the watermark are not seen.
+    one slot fit a task. Rows behind the watermark are not seen; a row from a clock that runs far
+    ahead moves the watermark with it, so drop such rows first (``sources.ingest.reject_outside``).
     """
     use_rocksdb_state(df.sparkSession)
     measures = dict(measures or {})
     keys, names = list(partition_by), list(measures)
     klass = row_class(run_pred, end_pred)
     order = {f"order{i}_": F.col(c) for i, c in enumerate(order_by)}
-    rows = df.withWatermark("event_ts", watermark).select(
+    bounded = df.withColumn("event_ts", F.least("event_ts", F.lit(LATEST).cast("timestamp")))
+    rows = bounded.withWatermark("event_ts", watermark).select(
         *keys,
         "event_ts",
         F.unix_millis(time_floor("event_ts", slot)).alias("slot_"),
