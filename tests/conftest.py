@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-            "spark.sql.streaming.noDataMicroBatches.enabled": "true",
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
