@@ -26,6 +26,8 @@ USERS = [
 ]
 USERNAMES = ["admin", "user1", "user2", "user3", "system", "root", "guest", "nobody"]
 VENDORS = ["Microsoft", "Cisco", "Symantec", "Palo Alto"]
+KEYWORD_NOTES = {3: "unauthorized access", 7: "malware found", 11: "breach suspected", 13: "attack signature"}
+NOTES = [KEYWORD_NOTES.get(i, "Security event details") for i in range(25)]
 
 
 EVENTS_DDL = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -66,13 +68,6 @@ def prepare_events(events: DataFrame) -> DataFrame:
 
 def json_logs(prepared: DataFrame) -> DataFrame:
     k, et = F.col("k"), F.col("et")
-    note = (
-        F.when(k % 25 == 3, "unauthorized access")
-        .when(k % 25 == 7, "malware found")
-        .when(k % 25 == 11, "breach suspected")
-        .when(k % 25 == 13, "attack signature")
-        .otherwise("Security event details")
-    )
     return prepared.select(
         _padded_id().alias("log_id"),
         "timestamp",
@@ -83,7 +78,7 @@ def json_logs(prepared: DataFrame) -> DataFrame:
         _choose(USERNAMES, F.col("user_id") % 8).alias("username"),
         F.concat(F.lit("10.0.0."), (F.col("user_id") % 50).cast("string")).alias("source_ip"),
         F.concat(F.lit("192.168.0."), (k % 50).cast("string")).alias("destination_ip"),
-        F.concat(note, F.lit(" for log "), _padded_id()).alias("details"),
+        F.concat(_choose(NOTES, k % 25), F.lit(" for log "), _padded_id()).alias("details"),
         "event_time",
         "event_ts",
     )

@@ -58,8 +58,11 @@ def run_before(classes, starts, carried: int):
     return at - 1 - np.maximum(before, key_edge)
 
 
-def _scan_stretch(batches, min_run):
-    """Scan one sorted stretch; keep matches, the open head and the tail summary."""
+def _scan_stretch(batches, min_run, every_key):
+    """Scan one sorted stretch: give its matches, its open head, and the tail summary of its last key.
+
+    With ``every_key`` the tails of all keys come out, not only the one the next stretch may need.
+    """
     import numpy as np
     import pyarrow as pa
     from pyspark import TaskContext
@@ -73,7 +76,7 @@ def _scan_stretch(batches, min_run):
             "_stretch": pa.array(np.full(n, stretch, np.int32)),
             "_kind": pa.array(np.full(n, kind, np.int8)),
             "_run": pa.array(run, pa.int64()),
-            "_reset": pa.array(np.full(n, reset, np.int8)),
+            "_reset": pa.array(np.broadcast_to(np.asarray(reset, np.int8), n)),
         }
         return pa.RecordBatch.from_arrays([*taken.columns, *extra.values()], names=[*taken.schema.names, *extra])
 
@@ -88,89 +91,144 @@ def _scan_stretch(batches, min_run):
         starts = np.empty(n, bool)
         starts[1:] = codes[1:] != codes[:-1]
         starts[0] = last_row is not None and key[0].as_py() != last_key
+        if every_key and starts[0]:
+            yield tagged(last_row, [0], TAIL, [carried], 0 if opened else 1)
         run = run_before(classes, starts, carried)
+        trailing = np.where(classes == RUN, run + 1, 0)
         ends = classes == END
+        resets = np.ones(n, np.int8)
 
         if opened:
             closing = np.flatnonzero(starts | (classes != RUN))
             if len(closing):
                 opened = False
                 first = closing[0]
+                resets[:first] = 0
                 if ends[first] and not starts[first]:
                     yield tagged(batch, [first], HEAD, run[[first]], 0)
                     ends[first] = False
         hits = np.flatnonzero(ends & (run >= min_run))
         if len(hits):
             yield tagged(batch, hits, MATCH, run[hits], 0)
+        if every_key:
+            last = np.flatnonzero(starts[1:])
+            if len(last):
+                yield tagged(batch, last, TAIL, trailing[last], resets[last])
 
-        last_key = key[n - 1].as_py()
-        carried = int(run[-1]) + 1 if classes[-1] == RUN else 0
-        last_row = batch.slice(n - 1, 1)
+        last_key, carried, last_row = key[n - 1].as_py(), int(trailing[-1]), batch.slice(n - 1, 1)
     if last_row is not None:
         yield tagged(last_row, [0], TAIL, [carried], 0 if opened else 1)
 
 
-def match_run_then(
+def classify(
     df: DataFrame,
     partition_by: Sequence[str],
     order_by: Sequence[str],
     run_pred: Column,
     end_pred: Column,
-    min_run: int = 3,
-    measures: Mapping[str, str] | None = None,
-    count_as: str = "run_length",
-    partitions: int | None = None,
+    measures: Mapping[str, str],
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per run of at least ``min_run`` adjacent RUN rows followed at once by an END row.
+    """The columns a scan needs: key text, order, class, and measures where the row is an END.
 
-    Gives the partition columns, the length of the whole run and ``measures`` (output name ->
-    column) of the END row. Matches do not overlap, because a run ends where its match ends.
-    ``order_by`` must be a total order within a key, or ties fall as they come. Text sorts by
-    bytes. ``partitions`` is the number of stretches; by default ``spark.sql.shuffle.partitions``.
+    A single key is carried as text only; several stay beside their text.
     """
-    measures = dict(measures or {})
     keys = list(partition_by)
     single = len(keys) == 1
-    klass = row_class(run_pred, end_pred)
-    only_end = [F.when(klass == END, F.col(c)).alias(alias) for alias, c in measures.items()]
     key_text = F.col(keys[0]).cast("string") if single else F.to_json(F.struct(*keys))
-    key_back = [F.col("_key").cast(df.schema[keys[0]].dataType).alias(keys[0])] if single else keys
-    order = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order_by)]
-    sort_key = ["_key", *[f"_order{i}" for i in range(len(order))]]
-    rows = df.select(*([] if single else keys), key_text.alias("_key"), *order, klass.alias("_class"), *only_end)
+    klass = row_class(run_pred, end_pred)
+    return df.select(
+        key_text.alias("_key"),
+        *([] if single else keys),
+        *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order_by)],
+        klass.alias("_class"),
+        *[F.when(klass == END, F.col(c)).alias(alias) for alias, c in measures.items()],
+        *also,
+    )
+
+
+def scan_runs(rows: DataFrame, min_run: int, partitions: int | None = None, every_key: bool = False) -> DataFrame:
+    """Cut classified rows into stretches and scan each."""
+    sort_key = ["_key", *[c for c in rows.columns if c.startswith("_order")]]
     placed = rows.repartitionByRange(*([partitions] if partitions else []), *sort_key)
     narrow = placed.sortWithinPartitions(*sort_key).drop(*sort_key[1:])
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "_class"]
     schema = ", ".join([*fields, "_stretch int", "_kind byte", "_run long", "_reset byte"])
-    scanned = narrow.mapInArrow(partial(_scan_stretch, min_run=min_run), schema)
+    return narrow.mapInArrow(partial(_scan_stretch, min_run=min_run, every_key=every_key), schema)
+
+
+def link_stretches(scanned: DataFrame) -> DataFrame:
+    """Add the run a stretch continues to the run of its head and, if it has no break, of its tail.
 
-    # Summaries of one key meet in one group of at most two rows per stretch; finished matches
-    # only pass through and are spread by stretch.
-    spread = F.when(F.col("_kind") == MATCH, F.col("_stretch") + 1).otherwise(0)
+    Summaries of one key meet in one group of at most two rows per stretch; finished matches only
+    pass through and are spread by stretch.
+    """
+    spread = F.when(F.col("_kind") == MATCH, F.col("_stretch") + 2).otherwise(0)
     along = Window.partitionBy("_key", "_spread").orderBy("_stretch", "_kind")
-    tail = F.when(F.col("_kind") == TAIL, F.col("_run")).otherwise(0)
     chain = Window.partitionBy("_key", "_spread", "_link").orderBy("_stretch", "_kind")
-    carried = F.sum(tail).over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    length = F.when(F.col("_kind") == HEAD, F.col("_run") + F.col("_carried")).otherwise(F.col("_run"))
+    up_to_here = (Window.unboundedPreceding, Window.currentRow)
+    tail = F.when(F.col("_kind") == TAIL, F.col("_run")).otherwise(0)
+    total = F.when(F.col("_kind") == HEAD, F.col("_run") + F.col("_chained"))
+    total = total.when(F.col("_kind") == TAIL, F.col("_chained")).otherwise(F.col("_run"))
     return (
         scanned.withColumn("_spread", spread)
-        .withColumn("_link", F.sum("_reset").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_carried", carried)
-        .filter(F.col("_kind") != TAIL)
-        .select(*key_back, length.alias(count_as), *measures)
-        .filter(F.col(count_as) >= min_run)
+        .withColumn("_link", F.sum("_reset").over(along.rowsBetween(*up_to_here)))
+        .withColumn("_chained", F.sum(tail).over(chain.rowsBetween(*up_to_here)))
+        .withColumn("_run", total)
+        .drop("_spread", "_link", "_chained", "_reset")
     )
 
 
+def matches_of(linked: DataFrame, source: DataFrame, partition_by: Sequence[str], measures: Sequence[str],
+               min_run: int, count_as: str) -> DataFrame:
+    """Result columns of linked rows; ``source`` has the types of the partition columns."""
+    keys = list(partition_by)
+    if len(keys) == 1:
+        keys = [F.col("_key").cast(source.schema[keys[0]].dataType).alias(keys[0])]
+    long_enough = (F.col("_kind") != TAIL) & (F.col("_run") >= min_run)
+    return linked.filter(long_enough).select(*keys, F.col("_run").alias(count_as), *measures)
+
+
+def match_run_then(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    run_pred: Column,
+    end_pred: Column,
+    min_run: int = 3,
+    measures: Mapping[str, str] | None = None,
+    count_as: str = "run_length",
+    partitions: int | None = None,
+) -> DataFrame:
+    """One row per run of at least ``min_run`` adjacent RUN rows followed at once by an END row.
+
+    Gives the partition columns, the length of the whole run and ``measures`` (output name ->
+    column) of the END row. Matches do not overlap, because a run ends where its match ends.
+    ``order_by`` must be a total order within a key, or ties fall as they come. Text sorts by
+    bytes. ``partitions`` is the number of stretches; by default ``spark.sql.shuffle.partitions``.
+    """
+    measures = dict(measures or {})
+    rows = classify(df, partition_by, order_by, run_pred, end_pred, measures)
+    linked = link_stretches(scan_runs(rows, min_run, partitions))
+    return matches_of(linked, df, partition_by, list(measures), min_run, count_as)
+
+
+def login_pattern(scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = ()) -> dict:
+    """Arguments of ``match_run_then`` for runs of login warnings that end in a failure, per user.
+
+    ``keep`` adds columns of the last row.
+    """
+    return {
+        "partition_by": ["username"],
+        "order_by": ["event_time", "log_id"],
+        "run_pred": login_run(),
+        "end_pred": login_end(scope),
+        "min_run": min_run,
+        "measures": LOGIN_MEASURES | {c: c for c in keep},
+        "count_as": "warning_count",
+    }
+
+
 def suspicious_logins(json: DataFrame, scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = ()) -> DataFrame:
-    """Runs of login warnings that end in a failure, per user. ``keep`` adds columns of the last row."""
-    return match_run_then(
-        json,
-        partition_by=["username"],
-        order_by=["event_time", "log_id"],
-        run_pred=login_run(),
-        end_pred=login_end(scope),
-        min_run=min_run,
-        measures=LOGIN_MEASURES | {c: c for c in keep},
-        count_as="warning_count",
-    )
+    """Runs of login warnings that end in a failure, per user."""
+    return match_run_then(json, **login_pattern(scope, min_run, keep))

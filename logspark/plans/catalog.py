@@ -23,9 +23,10 @@ from logspark.sources.logs import decode_topic
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import bad_records, good_records
+from logspark.streaming.batches import BatchTable, suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.replay import replay, replayed
-from logspark.streaming.sinks import LoginTables, login_messages_stream
+from logspark.streaming.sinks import LoginTables, message_step
 from logspark.streaming.windows import activity_stream, bucket_pair_counts_stream, event_frequency_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,15 +92,27 @@ def streamed(build: Callable[[Logs], DataFrame], name: str, finish: Callable = l
     return run
 
 
+def logins_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suspicious logins of the log stream, each micro-batch scanned as a table."""
+    base = scratch_dir(use_utc(spark), "w2")
+
+    def sink(json: DataFrame, path: str, checkpoint: str):
+        return suspicious_logins_batches(json, f"{base}/state", checkpoint, BatchTable(path).write)
+
+    path = replay(spark, sf_dir, lambda logs: logs.json, base, sink)
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flow from log stream to stored messages."""
     base = scratch_dir(use_utc(spark), "w5")
     tables = LoginTables(f"{base}/tables")
 
-    def sink(matches: DataFrame, path: str, checkpoint: str):
-        return login_messages_stream(matches, seed_users(spark), tables, checkpoint)
+    def sink(json: DataFrame, path: str, checkpoint: str):
+        store = message_step(seed_users(spark), tables)
+        return suspicious_logins_batches(json, f"{base}/state", checkpoint, store)
 
-    replay(spark, sf_dir, lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), base, sink)
+    replay(spark, sf_dir, lambda logs: logs.json, base, sink)
     return tables.messages.read(spark)
 
 
@@ -168,7 +181,8 @@ QUERIES: dict[str, Query] = {
     "i2_quarantine_bad": over_logs(lambda logs: bad_records(decode_topic(json_topic(logs), "json"))),
     "w1_json_activity_stream": streamed(
         lambda logs: activity_stream(logs.json, ["event_type", "status"], an.JSON_DISTINCT, DAY), "w1"),
-    "w2_suspicious_logins_stream": streamed(lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2"),
+    "w2_suspicious_logins_stream": logins_by_batch,
+    "w2_suspicious_logins_keyed_state": streamed(lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2k"),
     "w3_correlation_stream": streamed(
         lambda logs: bucket_pair_counts_stream(logs.syslog, logs.json, HOUR), "w3", total_pairs),
     "w4_frequency_stream": streamed(

@@ -274,6 +274,7 @@ union all {rows("cef", {
 STREAM_TWINS = {
     "w1_json_activity_stream": "f1_json_activity_all",
     "w2_suspicious_logins_stream": "m2_suspicious_logins",
+    "w2_suspicious_logins_keyed_state": "m2_suspicious_logins",
     "w3_correlation_stream": "c0_correlated_dataset",
     "w4_frequency_stream": "d2_event_frequency",
     "w5_login_messages_stream": "n1_generated_messages",

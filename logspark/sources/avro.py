@@ -93,7 +93,7 @@ def _decoder(schema: T.StructType):
     @F.arrow_udf(schema)
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for values in batches:
-            yield pa.array([one(v.as_py()) for v in values], arrow_type)
+            yield pa.array([one(v) for v in values.to_pylist()], arrow_type)
 
     return decode
 
@@ -119,6 +119,6 @@ def _encoder(schema: T.StructType):
     @F.arrow_udf(T.BinaryType())
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for records in batches:
-            yield pa.array([write(r.as_py(), schema) for r in records], pa.binary())
+            yield pa.array([write(r, schema) for r in records.to_pylist()], pa.binary())
 
     return encode

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from logspark.functions.time import period_micros, time_floor
 from logspark.operators.pattern import (
-    END, HEAD, LOGIN_MEASURES, MATCH, RUN, TAIL, login_end, login_run, row_class, run_before,
+    END, HEAD, MATCH, RUN, TAIL, login_pattern, row_class, run_before,
 )
 from logspark.session import use_rocksdb_state
 from logspark.streaming.windows import WATERMARK
@@ -158,14 +158,4 @@ def match_run_then_stream(
 def suspicious_logins_stream(json: DataFrame, scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = (),
                              **options) -> DataFrame:
     """Runs of login warnings that end in a failure, per user, on a stream."""
-    return match_run_then_stream(
-        json,
-        partition_by=["username"],
-        order_by=["event_time", "log_id"],
-        run_pred=login_run(),
-        end_pred=login_end(scope),
-        min_run=min_run,
-        measures=LOGIN_MEASURES | {c: c for c in keep},
-        count_as="warning_count",
-        **options,
-    )
+    return match_run_then_stream(json, **login_pattern(scope, min_run, keep), **options)

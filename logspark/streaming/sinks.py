@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -51,33 +52,40 @@ class LoginTables:
         return self._table("generated_messages", GENERATED_MESSAGES_DDL, "upsert")
 
 
-def login_messages_stream(
-    matches: DataFrame,
-    users: DataFrame,
-    tables: LoginTables,
-    checkpoint: str,
-    model: TextModel | None = None,
-    available_now: bool = True,
-    **trigger,
-) -> StreamingQuery:
-    """From suspicious logins to stored messages: keep, enrich, ask the model, keep the answers.
+def message_step(
+    users: DataFrame, tables: LoginTables, model: TextModel | None = None
+) -> Callable[[DataFrame, int], None]:
+    """What to do with the suspicious logins of a micro-batch: keep, enrich, ask the model, keep the answers.
 
-    Each step reads what the one before has stored for the batch, so the stream is computed once
+    Each step reads what the one before has stored for the batch, so the matches are computed once
     and the model is asked once per enriched row. A batch that failed half-way runs again and
     replaces what it had written. Texts the model failed on stay in the answers with their error.
     """
     model = model or TextModel()
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def step(matches: DataFrame, batch_id: int) -> None:
+        spark = matches.sparkSession
 
         def stored(table: KeyedTable) -> DataFrame:
             return table.changes(spark).filter(F.col("batch_id") == batch_id)
 
-        tables.attempts.write(batch, batch_id)
+        tables.attempts.write(matches, batch_id)
         tables.enriched.write(enrich_users(stored(tables.attempts), users), batch_id)
         tables.answers.write(ml_predict(stored(tables.enriched), model, "big_string", "email_message"), batch_id)
         tables.messages.write(stored(tables.answers).filter(F.col("error").isNull()), batch_id)
 
-    writer = matches.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return step
+
+
+def login_messages_stream(
+    matches: DataFrame,
+    users: DataFrame,
+    tables: LoginTables,
+    checkpoint: str,
+    model: TextModel | None = None,
+    available_now: bool = True,
+    **trigger,
+) -> StreamingQuery:
+    """From a stream of suspicious logins to stored messages."""
+    writer = matches.writeStream.foreachBatch(message_step(users, tables, model)).option("checkpointLocation", checkpoint)
     return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
