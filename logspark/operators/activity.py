@@ -84,6 +84,18 @@ def high_severity(cef: DataFrame, threshold: int = HIGH_SEVERITY, limit: int | N
     return ranked(rows, order, limit)
 
 
+def average_severity(cef: DataFrame, width: str = "PT1M", limit: int | None = 100) -> DataFrame:
+    """Average severity and sources per time bucket and vendor.
+
+    An extension: stated as an aim of the activity analyses, but no query computes it.
+    """
+    out = cef.groupBy(time_floor("event_ts", width).alias("time_window"), "device_vendor").agg(
+        F.avg(severity_number()).alias("average_severity"),
+        F.count_distinct("extension.src").alias("unique_sources"),
+    )
+    return ranked(out, [F.desc("time_window"), "device_vendor"], limit)
+
+
 def mentions(column: str, words: Sequence[str]) -> Column:
     """Whether the text holds any of the words anywhere, found in one pass; case matters."""
     return F.col(column).rlike("|".join(rf"\Q{word}\E" for word in words))

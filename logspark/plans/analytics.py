@@ -20,6 +20,8 @@ from logspark.sources.monitor import latest_per_topic
 JSON_DISTINCT = {
     "unique_users": "username", "unique_sources": "source_ip", "unique_destinations": "destination_ip",
 }
+FAILURE_DISTINCT = {"unique_event_types": "event_type", "unique_users": "username"}
+CEF_CLASS = ["device_vendor", "device_product", "name", "severity"]
 CEF_DISTINCT = {"unique_sources": "extension.src", "unique_destinations": "extension.dst"}
 
 
@@ -33,13 +35,11 @@ def syslog_activity(logs: Logs, limit: int | None = 100) -> DataFrame:
 
 
 def cef_overview(logs: Logs, limit: int | None = 100) -> DataFrame:
-    by = ["device_vendor", "device_product", "name", "severity"]
-    return act.activity(logs.cef, by, CEF_DISTINCT, width=None, min_count=5, limit=limit)
+    return act.activity(logs.cef, CEF_CLASS, CEF_DISTINCT, width=None, min_count=5, limit=limit)
 
 
 def top_failure_sources(logs: Logs, limit: int | None = 20) -> DataFrame:
-    distinct = {"unique_event_types": "event_type", "unique_users": "username"}
-    return act.top_sources(logs.json, F.col("status") == "failure", distinct=distinct, limit=limit)
+    return act.top_sources(logs.json, F.col("status") == "failure", distinct=FAILURE_DISTINCT, limit=limit)
 
 
 def syslog_json_correlation(logs: Logs, limit: int | None = 50) -> DataFrame:

@@ -23,10 +23,11 @@ from logspark.sources.logs import decode_topic
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import bad_records, good_records
-from logspark.streaming.batches import BatchTable, suspicious_logins_batches
+from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.replay import replay, replayed
-from logspark.streaming.sinks import LoginTables, message_step
+from logspark.streaming.running import running_totals, store_entries
+from logspark.streaming.sinks import BatchTable, LoginTables, message_step
 from logspark.streaming.windows import activity_stream, bucket_pair_counts_stream, event_frequency_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,22 @@ def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.messages.read(spark)
 
 
+def running(rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str) -> Query:
+    """Totals per group over a whole stream, kept up to date batch by batch."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def sink(df: DataFrame, path: str, checkpoint: str):
+            return store_entries(df, path, checkpoint, by, distinct)
+
+        def without_marks(logs: Logs) -> DataFrame:
+            return rows(logs).filter(F.col("event_ts") < "2200-01-01")
+
+        path = replay(use_utc(spark), sf_dir, without_marks, scratch_dir(spark, name), sink)
+        return running_totals(spark, path, by, distinct, min_count=5)
+
+    return run
+
+
 def bronze_stream(kind: str) -> Query:
     """A log stream stored by day, without the closing marks."""
 
@@ -165,6 +182,7 @@ QUERIES: dict[str, Query] = {
     "d3_ip_incident_counts": over_logs(an.ip_incident_counts),
     "d4_failure_sequences": over_logs(lambda logs: act.failure_sequences(logs.json, limit=None)),
     "d4_failure_sequences_first": over_logs(lambda logs: act.failure_sequences(logs.json)),
+    "x1_average_severity": over_logs(lambda logs: act.average_severity(logs.cef, "PT1H", limit=None)),
     "c0_correlated_dataset": over_logs(an.correlated_dataset),
     "c1_event_feed": over_logs(lambda logs: event_feed(logs.json, logs.syslog, logs.cef)),
     "c2_frequency_by_type": over_logs(
@@ -188,6 +206,9 @@ QUERIES: dict[str, Query] = {
     "w4_frequency_stream": streamed(
         lambda logs: event_frequency_stream({"JSON": logs.json, "Syslog": logs.syslog, "CEF": logs.cef}), "w4"),
     "w5_login_messages_stream": login_messages,
+    "w7_top_failure_sources_stream": running(
+        lambda logs: logs.json.filter(F.col("status") == "failure"), ["source_ip"], an.FAILURE_DISTINCT, "w7"),
+    "w8_cef_overview_stream": running(lambda logs: logs.cef, an.CEF_CLASS, an.CEF_DISTINCT, "w8"),
     "w6_bronze_stream_json": bronze_stream("json"),
     "w6_bronze_stream_syslog": bronze_stream("syslog"),
     "w6_bronze_stream_cef": bronze_stream("cef"),

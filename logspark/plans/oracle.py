@@ -278,6 +278,8 @@ STREAM_TWINS = {
     "w3_correlation_stream": "c0_correlated_dataset",
     "w4_frequency_stream": "d2_event_frequency",
     "w5_login_messages_stream": "n1_generated_messages",
+    "w7_top_failure_sources_stream": "f4_top_failure_sources_all",
+    "w8_cef_overview_stream": "f3_cef_overview_all",
 }
 BROKEN = "k = 97"
 
@@ -318,6 +320,10 @@ from enriched"""),
         "d3_ip_incident_counts": _with(PAIRS, select=D3_COUNTS),
         "d4_failure_sequences": _with(select=D4),
         "d4_failure_sequences_first": _with(select=D4 + " limit 100"),
+        "x1_average_severity": _with(select="""
+select date_trunc('hour', event_ts) as time_window, device_vendor, avg(try_cast(severity as int)) as average_severity,
+       count(distinct src) as unique_sources
+from c group by 1, 2"""),
         "c0_correlated_dataset": _with(select=F6),
         "c1_event_feed": _with(FEED, select="select * from feed"),
         "c2_frequency_by_type": _with(FEED, select=C2),

@@ -49,6 +49,10 @@ def encode_avro(record: Column, schema: T.StructType, schema_id: int, spark: Spa
     return F.concat(header, _encoder(schema)(record))
 
 
+# The helpers below are marked as not deterministic, or a filter on their result, moved below the
+# projection, would call them twice per row.
+
+
 def _schema_text(schema: T.StructType) -> str:
     return json.dumps(avro_type(schema, "Record"))
 
@@ -95,7 +99,7 @@ def _decoder(schema: T.StructType):
         for values in batches:
             yield pa.array([one(v) for v in values.to_pylist()], arrow_type)
 
-    return decode
+    return decode.asNondeterministic()
 
 
 def _encoder(schema: T.StructType):
@@ -121,4 +125,4 @@ def _encoder(schema: T.StructType):
         for records in batches:
             yield pa.array([write(r, schema) for r in records.to_pylist()], pa.binary())
 
-    return encode
+    return encode.asNondeterministic()

@@ -11,36 +11,17 @@ and read by the next batch only, so a batch that runs again after a failure give
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.functions.time import period_interval
 from logspark.operators.keyed import upsert_latest
 from logspark.operators.pattern import TAIL, classify, link_stretches, login_pattern, matches_of, scan_runs
+from logspark.streaming.sinks import BatchTable
 from logspark.streaming.windows import WATERMARK
 
 
-@dataclass(frozen=True)
-class BatchTable:
-    """One folder per batch id."""
-
-    path: str
-
-    def folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id}"
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self.folder(batch_id))
-
-    def read(self, spark: SparkSession, schema: T.StructType | str, batch_id: int) -> DataFrame:
-        """The rows of one batch; none before the first."""
-        if batch_id < 0:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.folder(batch_id))
-
-
 def match_run_then_batches(
     df: DataFrame,
     state: str,

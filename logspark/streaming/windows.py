@@ -21,6 +21,26 @@ def window_label(width: int, column: str = "window") -> Column:
     return time_prefix(iso_text(F.col(f"{column}.start")), width)
 
 
+def tagged_entries(df: DataFrame, by: Sequence[str], distinct: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """One entry (tag 0) for each row and one (tag i) for its value in the i-th distinct column.
+
+    Counted per (group, tag, item) and then per group, entries give rows and distinct values.
+    """
+    entries = [F.struct(F.lit(0).alias("tag"), F.lit(None).cast("string").alias("item"))] + [
+        F.struct(F.lit(i).alias("tag"), F.col(column).cast("string").alias("item"))
+        for i, column in enumerate(distinct, 1)
+    ]
+    return df.select(*also, *by, F.inline(F.array(*entries)))
+
+
+def entry_totals(aliases: Sequence[str]) -> list[Column]:
+    """Aggregates over entries counted as ``n`` per (group, tag, item)."""
+    return [F.sum(F.when(F.col("tag") == 0, F.col("n")).otherwise(0)).alias("event_count")] + [
+        F.count_if((F.col("tag") == i) & F.col("item").isNotNull()).alias(alias)
+        for i, alias in enumerate(aliases, 1)
+    ]
+
+
 def activity_stream(
     df: DataFrame,
     by: Sequence[str],
@@ -42,18 +62,9 @@ def activity_stream(
     window = F.window("event_ts", PREFIX_WINDOW[width]).alias("window")
     names = list(by)
     if exact:
-        none = F.lit(None).cast("string")
-        entries = [F.struct(F.lit(0).alias("tag"), none.alias("item"))] + [
-            F.struct(F.lit(i).alias("tag"), F.col(column).cast("string").alias("item"))
-            for i, column in enumerate(distinct.values(), 1)
-        ]
-        tagged = rows.select("event_ts", *by, F.inline(F.array(*entries)))
-        values = tagged.groupBy(window, *by, "tag", "item").agg(F.count("*").alias("n"))
-        totals = [F.sum(F.when(F.col("tag") == 0, F.col("n")).otherwise(0)).alias("event_count")] + [
-            F.count_if((F.col("tag") == i) & F.col("item").isNotNull()).alias(alias)
-            for i, alias in enumerate(distinct, 1)
-        ]
-        out = values.groupBy("window", *by).agg(*totals)
+        entries = tagged_entries(rows, by, list(distinct.values()), also=["event_ts"])
+        values = entries.groupBy(window, *by, "tag", "item").agg(F.count("*").alias("n"))
+        out = values.groupBy("window", *by).agg(*entry_totals(list(distinct)))
     else:
         counts = [F.approx_count_distinct(column).alias(alias) for alias, column in distinct.items()]
         out = rows.groupBy(window, *by).agg(F.count("*").alias("event_count"), *counts)
