@@ -18,6 +18,6 @@ def ranked(df: DataFrame, order: list[str | Column], limit: int | None = None, o
     return (df.offset(offset) if offset else df).limit(limit)
 
 
-def page(df: DataFrame, order: list[str | Column], number: int, length: int = 25) -> DataFrame:
+def page(df: DataFrame, order: list[str | Column], number: int, length: int) -> DataFrame:
     """Page ``number`` (from 0) of a sorted result."""
     return ranked(df, order, limit=length, offset=number * length)

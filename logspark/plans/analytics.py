@@ -20,6 +20,7 @@ from logspark.sources.monitor import latest_per_topic
 JSON_DISTINCT = {
     "unique_users": "username", "unique_sources": "source_ip", "unique_destinations": "destination_ip",
 }
+SYSLOG_DISTINCT = {"unique_hosts": "hostname"}
 FAILURE_DISTINCT = {"unique_event_types": "event_type", "unique_users": "username"}
 CEF_CLASS = ["device_vendor", "device_product", "name", "severity"]
 CEF_DISTINCT = {"unique_sources": "extension.src", "unique_destinations": "extension.dst"}
@@ -30,8 +31,7 @@ def json_activity(logs: Logs, limit: int | None = 100) -> DataFrame:
 
 
 def syslog_activity(logs: Logs, limit: int | None = 100) -> DataFrame:
-    distinct = {"unique_hosts": "hostname"}
-    return act.activity(logs.syslog, ["application", "priority"], distinct, DAY, min_count=1, limit=limit)
+    return act.activity(logs.syslog, ["application", "priority"], SYSLOG_DISTINCT, DAY, min_count=1, limit=limit)
 
 
 def cef_overview(logs: Logs, limit: int | None = 100) -> DataFrame:

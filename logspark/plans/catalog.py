@@ -117,6 +117,11 @@ def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.messages.read(spark)
 
 
+def without_marks(df: DataFrame) -> DataFrame:
+    """Logs without the closing marks of a replay."""
+    return df.filter(F.col("event_ts") < "2200-01-01")
+
+
 def running(rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str) -> Query:
     """Totals per group over a whole stream, kept up to date batch by batch."""
 
@@ -124,10 +129,8 @@ def running(rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str
         def sink(df: DataFrame, path: str, checkpoint: str):
             return store_entries(df, path, checkpoint, by, distinct)
 
-        def without_marks(logs: Logs) -> DataFrame:
-            return rows(logs).filter(F.col("event_ts") < "2200-01-01")
-
-        path = replay(use_utc(spark), sf_dir, without_marks, scratch_dir(spark, name), sink)
+        scratch = scratch_dir(use_utc(spark), name)
+        path = replay(spark, sf_dir, lambda logs: without_marks(rows(logs)), scratch, sink)
         return running_totals(spark, path, by, distinct, min_count=5)
 
     return run
@@ -209,6 +212,11 @@ QUERIES: dict[str, Query] = {
     "w7_top_failure_sources_stream": running(
         lambda logs: logs.json.filter(F.col("status") == "failure"), ["source_ip"], an.FAILURE_DISTINCT, "w7"),
     "w8_cef_overview_stream": running(lambda logs: logs.cef, an.CEF_CLASS, an.CEF_DISTINCT, "w8"),
+    "w9_high_severity_stream": streamed(lambda logs: act.high_severity(without_marks(logs.cef), limit=None), "w9"),
+    "w10_incidents_stream": streamed(lambda logs: act.incidents(without_marks(logs.json), limit=None), "w10"),
+    "w11_syslog_activity_stream": streamed(
+        lambda logs: activity_stream(
+            logs.syslog, ["application", "priority"], an.SYSLOG_DISTINCT, DAY, min_count=1), "w11"),
     "w6_bronze_stream_json": bronze_stream("json"),
     "w6_bronze_stream_syslog": bronze_stream("syslog"),
     "w6_bronze_stream_cef": bronze_stream("cef"),

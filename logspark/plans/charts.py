@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logspark.functions.time import as_timestamp, last_period, period_interval, time_floor
 from logspark.operators.correlate import ip_pair_counts
-from logspark.operators.ranking import ranked
+from logspark.operators.ranking import page, ranked
 
 # What the dashboard charts ask for.
 LAST_WEEK = "P7D"
@@ -56,6 +56,12 @@ def top_sources_chart(feed: DataFrame, as_of=None, **options) -> DataFrame:
     return chart_query(feed, metrics, ["source_ip"], None, LAST_WEEK, as_of, **options)
 
 
+def top_sources_page(feed: DataFrame, number: int, as_of=None) -> DataFrame:
+    """One page of the table of top sources, counted from 0."""
+    order = [F.desc("event_count"), "source_ip"]
+    return page(top_sources_chart(feed, as_of), order, number, PAGE_LENGTH)
+
+
 def incident_timeline_chart(json: DataFrame, cef: DataFrame, as_of=None, **options) -> DataFrame:
     """Incident pairs per hour, JSON status and CEF event, last week.
 

@@ -280,6 +280,9 @@ STREAM_TWINS = {
     "w5_login_messages_stream": "n1_generated_messages",
     "w7_top_failure_sources_stream": "f4_top_failure_sources_all",
     "w8_cef_overview_stream": "f3_cef_overview_all",
+    "w9_high_severity_stream": "f5_high_severity_all",
+    "w10_incidents_stream": "f7_incidents_all",
+    "w11_syslog_activity_stream": "f2_syslog_activity_all",
 }
 BROKEN = "k = 97"
 

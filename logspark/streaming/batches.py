@@ -73,6 +73,9 @@ def match_run_then_batches(
             pending.unpersist()
         stored = linked.read(spark, linked_schema, batch_id)
         on_matches(matches_of(stored, batch, partition_by, list(measures), min_run, count_as), batch_id)
+        # A batch that runs again reads the one before it; older ones are done with.
+        for table in (waiting, linked, clock):
+            table.drop(spark, before - 1)
 
     writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()

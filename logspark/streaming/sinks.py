@@ -26,6 +26,10 @@ class BatchTable:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self.folder(batch_id))
 
+    def drop(self, spark: SparkSession, batch_id: int) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder(batch_id))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def read(self, spark: SparkSession, schema: T.StructType | str, batch_id: int) -> DataFrame:
         """The rows of one batch; none before the first."""
         if batch_id < 0:

@@ -121,7 +121,7 @@ def test_frequency_counts_each_kind(spark):
 
 def test_pages(spark):
     df = spark.range(60)
-    assert [r.id for r in page(df, ["id"], number=1).collect()] == list(range(25, 50))
+    assert [r.id for r in page(df, ["id"], number=1, length=25).collect()] == list(range(25, 50))
     assert ranked(df, ["id"], None).count() == 60
 
 

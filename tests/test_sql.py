@@ -7,6 +7,9 @@ import pytest
 from logspark.fixtures import load_logs
 from logspark.functions.sql import register_functions, register_tables
 from logspark.operators.correlate import ip_pair_counts
+from logspark.operators.feed import event_feed
+from logspark.plans.charts import top_sources_chart, top_sources_page
+from logspark.plans.datasets import register_datasets
 
 
 @pytest.fixture
@@ -50,6 +53,23 @@ def test_functions_are_inlined(sql):
     assert "1800000000" in text and "regexp_extract" not in text
 
 
+def test_datasets(spark, sf_small):
+    logs = load_logs(spark, sf_small)
+    register_datasets(logs, width=13)
+    assert spark.table("Correlated_Security_Events").count() == 213
+    assert spark.table("Security_Event_Feed").count() == 2000
+    assert spark.table("SECURITY_LOGS_CEF").count() == 500
+
+
+def test_pages_of_top_sources(spark, sf_check):
+    logs = load_logs(spark, sf_check)
+    feed = event_feed(logs.json, logs.syslog, logs.cef)
+    as_of = "2024-01-31 00:00:00"
+    pages = [[tuple(r) for r in top_sources_page(feed, n, as_of).collect()] for n in range(4)]
+    assert [len(p) for p in pages] == [25, 25, 1, 0]
+    assert sum(pages, []) == [tuple(r) for r in top_sources_chart(feed, as_of).collect()]
+
+
 def test_ordinals_and_struct_access(spark, sf_small):
     register_tables(load_logs(spark, sf_small))
     got = spark.sql("""

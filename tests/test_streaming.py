@@ -3,14 +3,16 @@
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from logspark.fixtures import seed_users
 from logspark.operators.keyed import KeyedTable
 from logspark.operators.pattern import suspicious_logins
 from logspark.schemas import FAILED_LOGIN_ATTEMPTS_DDL
+from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
-from logspark.streaming.sinks import LoginTables, append_stream, login_messages_stream, upsert_stream
+from logspark.streaming.sinks import BatchTable, LoginTables, append_stream, login_messages_stream, upsert_stream
 from logspark.streaming.windows import activity_stream
 from test_pattern import logs
 
@@ -58,8 +60,8 @@ def closing(spark, schema):
     return df.withColumn("event_time", F.lit(10**13)).withColumn("event_ts", F.timestamp_millis("event_time"))
 
 
-@pytest.mark.parametrize("slot", ["5 minutes", "1 day"])
-def test_pattern_over_several_runs(spark, few_partitions, tmp_path, slot):
+@pytest.mark.parametrize("form", ["keyed, 5 minutes", "keyed, 1 day", "batches"])
+def test_pattern_over_several_runs(spark, few_partitions, tmp_path, form):
     rng = random.Random(3)
     texts = {user: "".join(rng.choices("WFAxn", weights=[12, 3, 1, 1, 1], k=60)) for user in ("a", "b")}
     texts["c"] = "W" * 59 + "F"
@@ -68,8 +70,14 @@ def test_pattern_over_several_runs(spark, few_partitions, tmp_path, slot):
     out = str(tmp_path / "out")
 
     def run():
-        stream = suspicious_logins_stream(feed.stream(), watermark="2 minutes", slot=slot)
-        append_stream(stream, out, feed.checkpoint).awaitTermination()
+        if form == "batches":
+            suspicious_logins_batches(
+                feed.stream(), str(tmp_path / "state"), feed.checkpoint, BatchTable(out).write,
+                watermark="2 minutes", partitions=3,
+            ).awaitTermination()
+        else:
+            stream = suspicious_logins_stream(feed.stream(), watermark="2 minutes", slot=form.split(", ")[1])
+            append_stream(stream, out, feed.checkpoint).awaitTermination()
 
     for low, high in ((0, 25), (25, 60)):
         feed.put(everything.filter((F.col("event_time") >= minute(low)) & (F.col("event_time") < minute(high))))
@@ -85,6 +93,34 @@ def test_pattern_over_several_runs(spark, few_partitions, tmp_path, slot):
     assert ("c", 59) in {(r.username, r.warning_count) for r in got.collect()}
 
 
+def test_batch_of_the_pattern_can_run_again(spark, tmp_path):
+    """What a failure leaves behind is replaced: the same batch after its state was written."""
+    everything = timed(logs(spark, {"a": "WWWWFWWWF", "b": "W" * 9}))
+    feed = Feed(spark, tmp_path, everything.schema)
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    failures = [True]
+
+    def store(matches, batch_id):
+        BatchTable(out).write(matches, batch_id)
+        if batch_id == 1 and failures.pop():
+            failures.append(False)
+            raise RuntimeError("lost")
+
+    def run():
+        suspicious_logins_batches(feed.stream(), state, feed.checkpoint, store, watermark="1 minute").awaitTermination()
+
+    feed.put(everything.filter(F.col("event_time") < minute(4)))
+    run()
+    feed.put(everything.filter(F.col("event_time") >= minute(4)))
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    feed.put(closing(spark, everything.schema).select(*everything.columns))
+    run()
+    got = spark.read.parquet(out)
+    assert sorted((r.username, r.warning_count) for r in got.collect()) == [("a", 3), ("a", 4)]
+
+
 def test_sketched_activity(spark, few_partitions, tmp_path):
     df = timed(logs(spark, {"a": "WWWFWWWF", "b": "xxxx"}))
     feed = Feed(spark, tmp_path, df.schema)
