@@ -10,7 +10,7 @@ from logspark.fixtures import load_logs
 from logspark.schemas import KINDS, LOG_DDL, TOPIC_RECORD_DDL, TOPICS, avro_schema, log_schema
 from logspark.session import scratch_dir
 from logspark.sources import synth
-from logspark.sources.avro import decode_avro
+from logspark.sources.avro import decode_avro, encode_avro
 from logspark.sources.bronze import append_bronze, read_bronze, write_bronze
 from logspark.sources.ingest import ingest, project_dimensions, reject_outside, with_event_ts
 from logspark.sources.logs import log_table, read_log_stream, topic_options
@@ -56,7 +56,8 @@ def test_known_bytes(spark):
 @pytest.mark.parametrize(
     "value",
     [None, b"", b"\0\0\0\0", b"\1\0\0\0\1\2a\0\0", b"\0\0\0\0\1\2", b"\0\0\0\0\1\2a\0\0\0", b"\0\0\0\0\1\3a\0\0",
-     b"\0\0\0\0\1\2\xff\0\0", b"\0\0\0\0\1" + b"\xff" * 12],
+     b"\0\0\0\0\1\2\xff\0\0", b"\0\0\0\0\1" + b"\xff" * 12, b"\0\0\0\0\1\2a\xfe\xff\xff\xff\x7f\0",
+     b"\0\0\0\0\1" + b"\xfe" + b"\xff" * 8 + b"\1"],
 )
 def test_bytes_that_hold_no_record(spark, value):
     from pyspark.sql.types import StructType
@@ -66,6 +67,34 @@ def test_bytes_that_hold_no_record(spark, value):
     assert decode_avro(raw, schema).first().record is None
 
 
+def test_codec_over_a_mixed_batch(spark):
+    """Good and bad values, edge numbers and empty texts side by side in one batch."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("name string, inner struct<a: int, b: string>, big long")
+    rows = [
+        ("", (0, "é" * 100), 2**63 - 1), ("x" * 300, (2**31 - 1, ""), -(2**63)), ("a", (-(2**31), "b"), 0),
+        ("ok", (-1, "z"), -300),
+    ]
+    df = spark.createDataFrame(rows, schema).coalesce(1)
+    raw = df.select("name", encode_avro(F.struct(*schema.names), schema, 7, spark).alias("value"))
+    assert bytes(raw.first().value)[:5] == b"\0\0\0\0\7"
+    cut = raw.withColumn("value", F.when(F.col("name") == "a", F.expr("substring(value, 1, length(value) - 1)"))
+                         .when(F.col("name") == "ok", F.lit(None)).otherwise(F.col("value")))
+    got = decode_avro(raw, schema).unionByName(decode_avro(cut, schema)).select("name", "record").collect()
+    assert [tuple(r.record) if r.record else None for r in got] == [*rows, rows[0], rows[1], None, None]
+
+
+def test_a_missing_value_is_not_encoded(spark):
+    from pyspark.errors import PythonException
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("name string")
+    df = spark.createDataFrame([(None,)], schema)
+    with pytest.raises(PythonException, match="null in a required field"):
+        df.select(encode_avro(F.struct("name"), schema, 1, spark)).collect()
+
+
 # --- reading ---
 
 def test_topic_options():
