@@ -60,9 +60,13 @@ class TextModel:
         return [self.answer([text])[0] for text in texts]
 
 
-def ml_predict(df: DataFrame, model: TextModel, input_col: str, output_col: str | None = None) -> DataFrame:
+def ml_predict(
+    df: DataFrame, model: TextModel, input_col: str, output_col: str | None = None, callers: int | None = None
+) -> DataFrame:
     """``df`` with the answer of the model and an ``error`` column; null input gets neither.
 
+    Each partition calls the model on its own; ``callers`` sets how many do.
+
     Answers cost money and may differ each time: write the result before using it twice.
     """
     output_col = output_col or model.output_col
@@ -81,7 +85,8 @@ def ml_predict(df: DataFrame, model: TextModel, input_col: str, output_col: str
             yield pd.DataFrame(answers, columns=[output_col, "error"])
 
     predict = predict.asNondeterministic()
-    return df.withColumn("_answer", predict(F.col(input_col))).select(*df.columns, "_answer.*")
+    spread = df.repartition(callers) if callers else df
+    return spread.withColumn("_answer", predict(F.col(input_col))).select(*df.columns, "_answer.*")
 
 
 def register_predict(spark: SparkSession, model: TextModel, name: str = "ml_predict") -> None:

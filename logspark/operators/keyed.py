@@ -48,19 +48,26 @@ class KeyedTable:
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)
 
+    def folder(self, batch_id: int) -> str:
+        return f"{self.path}/batch_id={batch_id}"
+
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Put rows in as batch ``batch_id``; the same id again replaces the first attempt."""
         fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
         out = rows.select(*fields)
         if self.mode == "upsert" and self.order:
             out = upsert_latest(out, self.key, self.order)
-        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(self.folder(batch_id))
 
     def changes(self, spark: SparkSession) -> DataFrame:
         """All rows ever written, with their ``batch_id``."""
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
         return spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
 
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows written as one batch."""
+        return spark.read.schema(self.schema).parquet(self.folder(batch_id))
+
     def read(self, spark: SparkSession) -> DataFrame:
         changes = self.changes(spark)
         if self.mode == "upsert":

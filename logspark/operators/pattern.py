@@ -213,14 +213,20 @@ def match_run_then(
     return matches_of(linked, df, partition_by, list(measures), min_run, count_as)
 
 
-def login_pattern(scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = ()) -> dict:
+LOGIN_ORDER = ("event_time", "log_id")
+
+
+def login_pattern(
+    scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = (), order_by: Sequence[str] = LOGIN_ORDER
+) -> dict:
     """Arguments of ``match_run_then`` for runs of login warnings that end in a failure, per user.
 
-    ``keep`` adds columns of the last row.
+    ``keep`` adds columns of the last row. Logs may also be ordered by the time of their topic
+    record; end ``order_by`` with something that tells records of one instant apart.
     """
     return {
         "partition_by": ["username"],
-        "order_by": ["event_time", "log_id"],
+        "order_by": list(order_by),
         "run_pred": login_run(),
         "end_pred": login_end(scope),
         "min_run": min_run,
@@ -229,6 +235,7 @@ def login_pattern(scope: str = "same_type", min_run: int = 3, keep: Sequence[str
     }
 
 
-def suspicious_logins(json: DataFrame, scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+def suspicious_logins(json: DataFrame, scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = (),
+                      order_by: Sequence[str] = LOGIN_ORDER) -> DataFrame:
     """Runs of login warnings that end in a failure, per user."""
-    return match_run_then(json, **login_pattern(scope, min_run, keep))
+    return match_run_then(json, **login_pattern(scope, min_run, keep, order_by))

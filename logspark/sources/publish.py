@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from logspark.schemas import TOPICS, log_schema
 from logspark.sources.avro import encode_avro
@@ -32,9 +33,20 @@ def topic_rows(df: DataFrame, kind: str, key: str | Column, schema_id: int = 1)
 
 
 def publish(rows: DataFrame, servers: str | None = None, path: str | None = None, **options: str) -> None:
-    """Send topic rows to Kafka, or to a folder with one sub-folder per topic."""
+    """Send a batch of topic rows to Kafka, or to a folder with one sub-folder per topic."""
     if servers:
         settings = PRODUCER_OPTIONS | {"kafka.bootstrap.servers": servers} | options
         rows.write.format("kafka").options(**settings).save()
     else:
         rows.write.mode("append").partitionBy("topic").options(**options).parquet(path)
+
+
+def publish_stream(
+    rows: DataFrame, checkpoint: str, servers: str | None = None, path: str | None = None, **options: str
+) -> StreamingQuery:
+    """Send a stream of topic rows to the same places, until it is stopped."""
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    if servers:
+        settings = PRODUCER_OPTIONS | {"kafka.bootstrap.servers": servers} | options
+        return writer.format("kafka").options(**settings).start()
+    return writer.format("parquet").partitionBy("topic").options(**options).start(path)

@@ -70,7 +70,7 @@ def quarantine(
         decoded = decode_topic(batch, kind).persist()
         try:
             shaped = ingest(good_records(decoded), kind).withColumn("batch_id", F.lit(batch_id))
-            _replace(shaped, good_path, ["event_date", "batch_id"])
+            _replace(shaped.hint("rebalance", "event_date"), good_path, ["event_date", "batch_id"])
             _replace(bad_records(decoded).withColumn("batch_id", F.lit(batch_id)), bad_path, ["batch_id"])
         finally:
             decoded.unpersist()

@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logspark.functions.time import period_interval
 from logspark.operators.keyed import upsert_latest
-from logspark.operators.pattern import TAIL, classify, link_stretches, login_pattern, matches_of, scan_runs
+from logspark.operators.pattern import (
+    LOGIN_ORDER, TAIL, classify, link_stretches, login_pattern, matches_of, scan_runs,
+)
 from logspark.streaming.sinks import BatchTable
 from logspark.streaming.windows import WATERMARK
 
@@ -52,7 +54,7 @@ def match_run_then_batches(
         spark, before = batch.sparkSession, batch_id - 1
         rows = classify(batch, partition_by, order_by, run_pred, end_pred, measures, also=["event_ts"])
         passed = clock.read(spark, "watermark timestamp", before)
-        last_mark = passed.agg(F.coalesce(F.max("watermark"), F.lit("0001-01-01").cast("timestamp"))).scalar()
+        last_mark = passed.agg(F.coalesce(F.max("watermark"), F.lit("1900-01-01").cast("timestamp"))).scalar()
         in_time = rows.filter(F.col("event_ts") > last_mark)
         pending = in_time.unionByName(waiting.read(spark, rows.schema, before)).persist()
         try:
@@ -89,7 +91,9 @@ def suspicious_logins_batches(
     scope: str = "same_type",
     min_run: int = 3,
     keep: Sequence[str] = (),
+    order_by: Sequence[str] = LOGIN_ORDER,
     **options,
 ) -> StreamingQuery:
     """Runs of login warnings that end in a failure, per user, on a stream."""
-    return match_run_then_batches(json, state, checkpoint, on_matches, **login_pattern(scope, min_run, keep), **options)
+    pattern = login_pattern(scope, min_run, keep, order_by)
+    return match_run_then_batches(json, state, checkpoint, on_matches, **pattern, **options)

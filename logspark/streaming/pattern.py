@@ -19,7 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from logspark.functions.time import period_micros, time_floor
 from logspark.operators.pattern import (
-    END, HEAD, MATCH, RUN, TAIL, login_pattern, row_class, run_before,
+    END, HEAD, LOGIN_ORDER, MATCH, RUN, TAIL, login_pattern, row_class, run_before,
 )
 from logspark.session import use_rocksdb_state
 from logspark.streaming.windows import WATERMARK
@@ -156,6 +156,6 @@ def match_run_then_stream(
 
 
 def suspicious_logins_stream(json: DataFrame, scope: str = "same_type", min_run: int = 3, keep: Sequence[str] = (),
-                             **options) -> DataFrame:
+                             order_by: Sequence[str] = LOGIN_ORDER, **options) -> DataFrame:
     """Runs of login warnings that end in a failure, per user, on a stream."""
-    return match_run_then_stream(json, **login_pattern(scope, min_run, keep), **options)
+    return match_run_then_stream(json, **login_pattern(scope, min_run, keep, order_by), **options)

@@ -89,13 +89,11 @@ def message_step(
     def step(matches: DataFrame, batch_id: int) -> None:
         spark = matches.sparkSession
 
-        def stored(table: KeyedTable) -> DataFrame:
-            return table.changes(spark).filter(F.col("batch_id") == batch_id)
-
         tables.attempts.write(matches, batch_id)
-        tables.enriched.write(enrich_users(stored(tables.attempts), users), batch_id)
-        tables.answers.write(ml_predict(stored(tables.enriched), model, "big_string", "email_message"), batch_id)
-        tables.messages.write(stored(tables.answers).filter(F.col("error").isNull()), batch_id)
+        tables.enriched.write(enrich_users(tables.attempts.batch(spark, batch_id), users), batch_id)
+        texts = tables.enriched.batch(spark, batch_id)
+        tables.answers.write(ml_predict(texts, model, "big_string", "email_message"), batch_id)
+        tables.messages.write(tables.answers.batch(spark, batch_id).filter(F.col("error").isNull()), batch_id)
 
     return step
 

@@ -74,6 +74,13 @@ def test_order_within_one_instant_follows_log_id(spark):
     assert found(suspicious_logins(df)) == {"u": [(3, "t000003")]}
 
 
+def test_order_by_record_time(spark):
+    """The topic record came in another order than the events happened."""
+    df = logs(spark, {"u": "WWFW"}).withColumn("record_time", F.when(F.col("event_time") == 1002, 9).otherwise(1))
+    assert found(suspicious_logins(df)) == {}
+    assert found(suspicious_logins(df, order_by=["record_time", "log_id"])) == {"u": [(3, "t000002")]}
+
+
 def test_measures_come_from_the_last_row(spark):
     row = suspicious_logins(logs(spark, {"u": "xWWWWF"})).collect()[0]
     assert row.asDict() == {

@@ -15,7 +15,7 @@ from logspark.sources.bronze import append_bronze, read_bronze, write_bronze
 from logspark.sources.ingest import ingest, project_dimensions, reject_outside, with_event_ts
 from logspark.sources.logs import log_table, read_log_stream, topic_options
 from logspark.sources.monitor import as_attribute_rows, latest_per_topic
-from logspark.sources.publish import log_value, publish, topic_rows
+from logspark.sources.publish import log_value, publish, publish_stream, topic_rows
 from logspark.sources.quarantine import BadRecordPolicy, POLICIES, quarantine, saved_sample
 from logspark.sources.synth import flat_logs, numbered_ids, synth_logs, synth_topup
 
@@ -237,6 +237,17 @@ def test_publish_to_folders_and_read_back(spark, sf_small, tmp_path):
     assert rows_of(decoded) == rows_of(logs.json.select(*decoded.columns))
 
 
+def test_publish_a_stream(spark, sf_small, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "topics")
+    load_logs(spark, sf_small).syslog.write.parquet(source)
+    stream = read_log_stream(spark, "syslog", "parquet", source)
+    query = publish_stream(topic_rows(stream, "syslog", "process_id"), str(tmp_path / "cp"), path=path)
+    query.processAllAvailable()
+    query.stop()
+    back = decode_avro(spark.read.parquet(path), log_schema("syslog"))
+    assert rows_of(back.select("record.*")) == rows_of(spark.read.parquet(source).select(*log_schema("syslog").names))
+
+
 def test_newest_record_over_all_partitions(spark):
     rows = [("a", 0, 9, 1.0, "old"), ("a", 1, 2, 5.0, "new"), ("a", 1, 1, 5.0, "before"), ("b", 0, 0, 0.0, "only")]
     df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp double, value string")
