@@ -28,7 +28,8 @@ def template_client(prompt: str, texts: list[str]) -> list[str]:
     answers = []
     for text in texts:
         _, first, last, mail, count, time, address, details = text.split(", ", 7)
-        message = f"Dear {first} {last}, {count} warnings came before a failed login at {time} from {address}: {details}"
+        event = f"{count} warnings came before a failed login at {time} from {address}: {details}"
+        message = f"Dear {first} {last}, {event}"
         answers.append(json.dumps({"mail": mail, "message": message}, ensure_ascii=False))
     return answers
 

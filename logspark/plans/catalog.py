@@ -22,7 +22,7 @@ from logspark.sources.ingest import ingest
 from logspark.sources.logs import decode_topic
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
-from logspark.sources.quarantine import bad_records, good_records
+from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
 from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.replay import replay, replayed
@@ -122,6 +122,18 @@ def without_marks(df: DataFrame) -> DataFrame:
     return df.filter(F.col("event_ts") < "2200-01-01")
 
 
+def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good records of a topic stream with broken ones; their share grows with the table, so no limit."""
+    base = scratch_dir(use_utc(spark), "w12")
+    policy = BadRecordPolicy(max_bad=2**62, keep=100)
+
+    def sink(raw: DataFrame, path: str, checkpoint: str):
+        return quarantine(raw, "json", path, f"{base}/bad", checkpoint, policy, available_now=True)
+
+    path = replay(spark, sf_dir, json_topic, base, sink)
+    return comparable(read_bronze(spark, path, until="2200-01-01").drop("batch_id"))
+
+
 def running(rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str) -> Query:
     """Totals per group over a whole stream, kept up to date batch by batch."""
 
@@ -189,7 +201,8 @@ QUERIES: dict[str, Query] = {
     "c0_correlated_dataset": over_logs(an.correlated_dataset),
     "c1_event_feed": over_logs(lambda logs: event_feed(logs.json, logs.syslog, logs.cef)),
     "c2_frequency_by_type": over_logs(
-        lambda logs: charts.event_frequency_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF), WEEK_AGO, AS_OF),
+        lambda logs: charts.event_frequency_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF),
+        WEEK_AGO, AS_OF),
     "c3_top_sources": over_logs(
         lambda logs: charts.top_sources_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF), WEEK_AGO, AS_OF),
     "c4_incident_timeline": over_logs(
@@ -217,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "w11_syslog_activity_stream": streamed(
         lambda logs: activity_stream(
             logs.syslog, ["application", "priority"], an.SYSLOG_DISTINCT, DAY, min_count=1), "w11"),
+    "w12_quarantine_stream": quarantine_stream,
     "w6_bronze_stream_json": bronze_stream("json"),
     "w6_bronze_stream_syslog": bronze_stream("syslog"),
     "w6_bronze_stream_cef": bronze_stream("cef"),

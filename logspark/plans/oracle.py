@@ -155,7 +155,8 @@ select half_hour_bucket, log_type, count(*) as event_count from (
   union all select time_bucket(interval 30 minutes, event_ts), 'Syslog' from s
   union all select time_bucket(interval 30 minutes, event_ts), 'CEF' from c)
 group by 1, 2 order by half_hour_bucket, log_type"""
-D3_COLUMNS = "time_window, source_ip, event_type as json_event, status as json_status, cef_event, severity as cef_severity"
+D3_COLUMNS = """time_window, source_ip, event_type as json_event, status as json_status, cef_event,
+       severity as cef_severity"""
 D3 = f"select {D3_COLUMNS} from pairs order by 1, 2, 3, 4, 5, 6"
 D3_COUNTS = f"select {D3_COLUMNS}, count(*) as pair_count from pairs group by 1, 2, 3, 4, 5, 6"
 D4 = """
@@ -284,6 +285,7 @@ STREAM_TWINS = {
     "w10_incidents_stream": "f7_incidents_all",
     "w11_syslog_activity_stream": "f2_syslog_activity_all",
 }
+# Which events come with a broken record.
 BROKEN = "k = 97"
 
 
@@ -343,6 +345,7 @@ from j join e on j.log_id = {_PAD} where not ({BROKEN})"""),
 select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
        hex(encode('broken ' || {_PAD})) as raw_hex from e where {BROKEN}"""),
     }
+    sql["w12_quarantine_stream"] = _with(select=I1["json"] + f" where log_id in (select {_PAD} from e where not ({BROKEN}))")
     for kind, text in I1.items():
         sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
     # A stream gives what its batch form gives.

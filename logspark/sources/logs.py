@@ -22,7 +22,9 @@ def topic_options(kind: str, servers: str, starting: str = "earliest", **options
     return {"kafka.bootstrap.servers": servers, "subscribe": TOPICS[kind], "startingOffsets": starting} | options
 
 
-def read_topic_stream(spark: SparkSession, kind: str, servers: str, starting: str = "earliest", **options: str) -> DataFrame:
+def read_topic_stream(
+    spark: SparkSession, kind: str, servers: str, starting: str = "earliest", **options: str
+) -> DataFrame:
     """Raw topic records as a stream."""
     stream = spark.readStream.format("kafka").options(**topic_options(kind, servers, starting, **options))
     return stream.load().select(*TOPIC_COLUMNS)
@@ -33,7 +35,9 @@ def decode_topic(raw: DataFrame, kind: str) -> DataFrame:
     return decode_avro(raw, log_schema(kind))
 
 
-def read_log_stream(spark: SparkSession, kind: str, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
+def read_log_stream(
+    spark: SparkSession, kind: str, fmt: str = "kafka", path: str | None = None, **options: str
+) -> DataFrame:
     """Logs of one kind as a stream, with the declared schema.
 
     ``fmt="kafka"`` takes the options of ``read_topic_stream`` and drops undecodable values (use

@@ -20,7 +20,7 @@ from logspark.operators.keyed import upsert_latest
 from logspark.operators.pattern import (
     LOGIN_ORDER, TAIL, classify, link_stretches, login_pattern, matches_of, scan_runs,
 )
-from logspark.streaming.sinks import BatchTable
+from logspark.streaming.sinks import BatchTable, start
 from logspark.streaming.windows import WATERMARK
 
 
@@ -80,7 +80,7 @@ def match_run_then_batches(
             table.drop(spark, before - 1)
 
     writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
+    return start(writer, available_now, trigger)
 
 
 def suspicious_logins_batches(

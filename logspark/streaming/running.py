@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logspark.streaming.sinks import BatchTable
+from logspark.streaming.sinks import BatchTable, start
 from logspark.streaming.windows import entry_totals, tagged_entries
 
 
@@ -33,7 +33,7 @@ def store_entries(
         table.write(entries.groupBy(*by, "tag", "item").agg(F.count("*").alias("n")), batch_id)
 
     writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
+    return start(writer, available_now, trigger)
 
 
 def running_totals(

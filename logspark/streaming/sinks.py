@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from logspark.operators.enrich import enrich_users
 from logspark.operators.infer import TextModel, ml_predict
@@ -14,6 +14,14 @@ from logspark.operators.keyed import KeyedTable
 from logspark.schemas import ENRICHED_FAILED_LOGINS_DDL, FAILED_LOGIN_ATTEMPTS_DDL, GENERATED_MESSAGES_DDL
 
 
+def start(
+    writer: DataStreamWriter, available_now: bool, trigger: Mapping, path: str | None = None
+) -> StreamingQuery:
+    """Start a stream that takes in what is there and stops, or one that runs by ``trigger``."""
+    options = {"availableNow": True} if available_now else trigger
+    return (writer.trigger(**options) if options else writer).start(path)
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """One folder per batch id."""
@@ -40,13 +48,15 @@ class BatchTable:
 def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True, **trigger) -> StreamingQuery:
     """Append rows to a Parquet table, each batch once."""
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(**({"availableNow": True} if available_now else trigger)).start(path)
+    return start(writer, available_now, trigger, path)
 
 
-def upsert_stream(df: DataFrame, table: KeyedTable, checkpoint: str, available_now: bool = True, **trigger) -> StreamingQuery:
+def upsert_stream(
+    df: DataFrame, table: KeyedTable, checkpoint: str, available_now: bool = True, **trigger
+) -> StreamingQuery:
     """Write each batch of changes to a keyed table; a replayed batch replaces itself."""
     writer = df.writeStream.foreachBatch(table.write).option("checkpointLocation", checkpoint)
-    return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
+    return start(writer, available_now, trigger)
 
 
 @dataclass(frozen=True)
@@ -108,5 +118,6 @@ def login_messages_stream(
     **trigger,
 ) -> StreamingQuery:
     """From a stream of suspicious logins to stored messages."""
-    writer = matches.writeStream.foreachBatch(message_step(users, tables, model)).option("checkpointLocation", checkpoint)
-    return writer.trigger(**({"availableNow": True} if available_now else trigger)).start()
+    step = message_step(users, tables, model)
+    writer = matches.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return start(writer, available_now, trigger)

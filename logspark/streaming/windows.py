@@ -72,7 +72,9 @@ def activity_stream(
     return out.select(window_label(width).alias("time_window"), *names, "event_count", *distinct)
 
 
-def event_frequency_stream(kinds: Mapping[str, DataFrame], width: str = "PT30M", watermark: str = WATERMARK) -> DataFrame:
+def event_frequency_stream(
+    kinds: Mapping[str, DataFrame], width: str = "PT30M", watermark: str = WATERMARK
+) -> DataFrame:
     """Events per window and kind of log, over the union of the streams."""
     tagged = [df.select("event_ts", F.lit(kind).alias("log_type")) for kind, df in kinds.items()]
     rows = reduce(DataFrame.unionByName, tagged).withWatermark("event_ts", watermark)
