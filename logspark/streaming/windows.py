@@ -21,6 +21,14 @@ def window_label(width: int, column: str = "window") -> Column:
     return time_prefix(iso_text(F.col(f"{column}.start")), width)
 
 
+def distinct_stream(df: DataFrame, columns: Sequence[str], watermark: str = WATERMARK) -> DataFrame:
+    """Distinct rows by ``columns``: copies of a row within the watermark delay are dropped.
+
+    State is kept per row for that long only, so a copy that comes later counts as new.
+    """
+    return df.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(list(columns))
+
+
 def tagged_entries(df: DataFrame, by: Sequence[str], distinct: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
     """One entry (tag 0) for each row and one (tag i) for its value in the i-th distinct column.
 

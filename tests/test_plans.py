@@ -49,6 +49,12 @@ def test_top_k_never_sorts_everything(stored):
         assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
+def test_newest_records_are_neither_sorted_nor_shuffled(stored):
+    text = plan(an.newest_records(stored))
+    assert text.count("TakeOrderedAndProject(limit=1") == 3
+    assert text.count("FileScan") == 3 and "hashpartitioning" not in text and "rangepartitioning" not in text
+
+
 def test_frequency_counts_once(stored):
     text = plan(an.event_frequency(stored, limit=None))
     assert text.count("Exchange hashpartitioning") == 1

@@ -251,7 +251,7 @@ def test_publish_a_stream(spark, sf_small, tmp_path):
 def test_newest_record_over_all_partitions(spark):
     rows = [("a", 0, 9, 1.0, "old"), ("a", 1, 2, 5.0, "new"), ("a", 1, 1, 5.0, "before"), ("b", 0, 0, 0.0, "only")]
     df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp double, value string")
-    assert {(r.topic, r.value) for r in latest_per_topic(df).collect()} == {("a", "new"), ("b", "only")}
+    assert {(r.topic, r.value) for r in latest_per_topic(df, ["a", "b", "none"]).collect()} == {("a", "new"), ("b", "only")}
 
 
 def test_attribute_rows_with_bytes_and_structs(spark):

@@ -13,7 +13,7 @@ from logspark.schemas import FAILED_LOGIN_ATTEMPTS_DDL
 from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.sinks import BatchTable, LoginTables, append_stream, login_messages_stream, upsert_stream
-from logspark.streaming.windows import activity_stream
+from logspark.streaming.windows import activity_stream, distinct_stream
 from test_pattern import logs
 
 
@@ -133,6 +133,17 @@ def test_sketched_activity(spark, few_partitions, tmp_path):
     assert got == {("warning", 6, 1), ("failure", 2, 1), ("success", 4, 1)}
 
 
+def test_distinct_stream(spark, few_partitions, tmp_path):
+    df = timed(logs(spark, {"a": "WWFF", "b": "W"}))
+    feed = Feed(spark, tmp_path, df.schema)
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        feed.put(df)
+        append_stream(distinct_stream(feed.stream(), ["username", "status"]), out, feed.checkpoint).awaitTermination()
+    got = sorted((r.username, r.status) for r in spark.read.parquet(out).collect())
+    assert got == [("a", "failure"), ("a", "warning"), ("b", "warning")]
+
+
 def test_upsert_stream(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), FAILED_LOGIN_ATTEMPTS_DDL, ("username",), order=("failure_time",))
     feed = Feed(spark, tmp_path, table.schema)
