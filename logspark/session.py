@@ -8,7 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Stream state on local disk, not on the heap; each batch sends its changes to the checkpoint, not a
+# whole snapshot.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app_name: str = "logspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,8 +29,7 @@ def build_session(app_name: str = "logspark", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    } | conf
+    } | STATE_STORE | conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -40,8 +45,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def use_rocksdb_state(spark: SparkSession) -> SparkSession:
-    """Stream state on local disk with changes in the checkpoint, not on the heap; keyed state needs it."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Keyed state needs this store, and large state of any kind is better off in it."""
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     return spark
 
 

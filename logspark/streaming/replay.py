@@ -38,8 +38,10 @@ def replay(
     spark.createDataFrame([], EVENTS_DDL).write.parquet(f"{base}/marks")
 
     def events() -> DataFrame:
-        # As a pattern the path may be one file or a folder of files.
-        stored = spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet*")
+        # As a pattern the path may be one file or a folder of files. They come in no order of time,
+        # so all belong to one micro-batch, or the watermark would pass rows not yet read.
+        reader = spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 2**31 - 1)
+        stored = reader.parquet(f"{sf_dir}/events.parquet*")
         marks = spark.readStream.schema(EVENTS_DDL).parquet(f"{base}/marks")
         return prepare_events(stored.unionByName(marks))
 
