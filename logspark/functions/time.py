@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Prefix lengths of ISO-8601 text.
 DAY, HOUR, MINUTE = 10, 13, 16
@@ -38,11 +38,7 @@ def period_interval(period: str) -> Column:
 
 def time_floor(column: str | Column, period: str = "PT1H") -> Column:
     """Start of the period-long bucket, counted from the epoch in UTC."""
-    column = F.col(column) if isinstance(column, str) else column
-    interval = period_to_interval(period)
-    if interval in ("1 hour", "1 hours", "hour"):
-        return F.date_trunc("hour", column)
-    micros = F.unix_micros(column)
+    micros = F.unix_micros(F.col(column) if isinstance(column, str) else column)
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(period_micros(period))))
 
 
@@ -74,3 +70,20 @@ def last_period(column: str | Column, period: str, as_of=None) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     end = as_timestamp(as_of)
     return (column >= end - period_interval(period)) & (column < end)
+
+
+def within(df: DataFrame, since=None, until=None) -> DataFrame:
+    """Rows with ``event_ts`` in ``[since, until)``; None leaves an end open.
+
+    A table stored by day has ``event_date``, too, and then the range also prunes its folders.
+    """
+    by_day = "event_date" in df.columns
+    if since is not None:
+        start = as_timestamp(since)
+        df = df.filter(F.col("event_ts") >= start)
+        df = df.filter(F.col("event_date") >= F.to_date(start)) if by_day else df
+    if until is not None:
+        end = as_timestamp(until)
+        df = df.filter(F.col("event_ts") < end)
+        df = df.filter(F.col("event_date") <= F.to_date(end)) if by_day else df
+    return df

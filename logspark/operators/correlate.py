@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logspark.functions.time import MINUTE, as_timestamp, period_interval, time_floor, time_prefix
+from logspark.functions.time import MINUTE, as_timestamp, period_interval, time_floor, time_prefix, within
 from logspark.operators.activity import HIGH_SEVERITY, severity_number
 from logspark.operators.ranking import ranked
 from logspark.operators.skew import join_splitting_hot_keys
@@ -57,12 +57,8 @@ def correlate_by_prefix(
 
 
 def _json_side(json: DataFrame, period: str, since, until) -> DataFrame:
-    if since is not None:
-        json = json.filter(F.col("event_ts") >= as_timestamp(since))
-    if until is not None:
-        json = json.filter(F.col("event_ts") < as_timestamp(until))
     bucket = time_floor("event_ts", period)
-    return json.select(bucket.alias("time_window"), "event_ts", "source_ip", "event_type", "status")
+    return within(json, since, until).select(bucket.alias("time_window"), "event_ts", "source_ip", "event_type", "status")
 
 
 def _cef_side(cef: DataFrame, period: str, since, until) -> DataFrame:
@@ -72,11 +68,11 @@ def _cef_side(cef: DataFrame, period: str, since, until) -> DataFrame:
     instant before ``until``; event times are compared, so the filter reaches the scan.
     """
     if since is not None:
-        cef = cef.filter(F.col("event_ts") >= time_floor(as_timestamp(since), period))
+        since = time_floor(as_timestamp(since), period)
     if until is not None:
         last = as_timestamp(until) - F.expr("INTERVAL '1' MICROSECOND")
-        cef = cef.filter(F.col("event_ts") < time_floor(last, period) + period_interval(period))
-    return cef.select(
+        until = time_floor(last, period) + period_interval(period)
+    return within(cef, since, until).select(
         time_floor("event_ts", period).alias("time_window"),
         F.col("extension.src").alias("source_ip"),
         F.col("name").alias("cef_event"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from logspark.functions.time import as_timestamp
+from logspark.functions.time import within
 
 # Rows per file and how often a stream looks for new data.
 MAX_ROWS_PER_FILE = 5_000_000
@@ -40,11 +40,4 @@ def append_bronze(df: DataFrame, path: str) -> None:
 
 def read_bronze(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """A stored table, or its rows in ``[since, until)``: the range prunes day folders, too."""
-    df = spark.read.parquet(path)
-    if since is not None:
-        start = as_timestamp(since)
-        df = df.filter((F.col("event_ts") >= start) & (F.col("event_date") >= F.to_date(start)))
-    if until is not None:
-        end = as_timestamp(until)
-        df = df.filter((F.col("event_ts") < end) & (F.col("event_date") <= F.to_date(end)))
-    return df
+    return within(spark.read.parquet(path), since, until)

@@ -73,6 +73,7 @@ def test_time_range_reaches_both_scans(stored):
     scans = [line for line in text.splitlines() if "FileScan" in line]
     assert len(scans) >= 2
     assert all("GreaterThanOrEqual(event_ts" in s and "LessThan(event_ts" in s for s in scans)
+    assert all("(event_date" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
 
 
 def test_users_are_broadcast_only_by_size(spark, stored):
@@ -91,10 +92,11 @@ def test_pattern_reads_only_its_columns(stored):
 
 
 def test_charts_read_a_week(stored):
-    feed = event_feed(stored.json, stored.syslog, stored.cef)
+    feed = event_feed(stored.json, stored.syslog, stored.cef, since="2024-01-24", until="2024-01-31")
     text = plan(charts.top_sources_chart(feed, "2024-01-31 00:00:00"))
     scans = [line for line in text.splitlines() if "FileScan" in line]
     assert len(scans) == 3 and all("GreaterThanOrEqual(event_ts" in s for s in scans)
+    assert all("(event_date" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
 
 
 @pytest.mark.parametrize("name", sorted(n for n in contract.queries() if not n.startswith("w")))
