@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logspark.fixtures import Logs, load_logs, seed_users
+from logspark.fixtures import Logs, load_logs, prepare_events, seed_users
 from logspark.functions.time import DAY, HOUR
 from logspark.operators import activity as act, pattern
 from logspark.operators.correlate import ip_incidents, total_pairs
@@ -25,7 +25,7 @@ from logspark.sources.publish import log_value
 from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
 from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
-from logspark.streaming.replay import replay, replayed
+from logspark.streaming.replay import MARK_TIME, replay, replayed
 from logspark.streaming.running import running_totals, store_entries
 from logspark.streaming.sinks import BatchTable, LoginTables, message_step
 from logspark.streaming.windows import activity_stream, bucket_pair_counts_stream, event_frequency_stream
@@ -65,9 +65,8 @@ def _with_session(build) -> Query:
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and clock of the events, from which logs are generated."""
-    events = use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
-    millis = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000")
-    return events.select(F.col("event_id").alias("id"), millis.alias("event_time"))
+    events = prepare_events(use_utc(spark).read.parquet(f"{sf_dir}/events.parquet"))
+    return events.select(F.col("event_id").alias("id"), "event_time")
 
 
 def json_topic(logs: Logs) -> DataFrame:
@@ -119,7 +118,7 @@ def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def without_marks(df: DataFrame) -> DataFrame:
     """Logs without the closing marks of a replay."""
-    return df.filter(F.col("event_ts") < "2200-01-01")
+    return df.filter(F.col("event_ts") < MARK_TIME)
 
 
 def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +130,7 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return quarantine(raw, "json", path, f"{base}/bad", checkpoint, policy, available_now=True)
 
     path = replay(spark, sf_dir, json_topic, base, sink)
-    return comparable(read_bronze(spark, path, until="2200-01-01").drop("batch_id"))
+    return comparable(read_bronze(spark, path, until=MARK_TIME).drop("batch_id"))
 
 
 def running(rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str) -> Query:
@@ -157,7 +156,7 @@ def bronze_stream(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = scratch_dir(use_utc(spark), f"w6-{kind}")
         path = replay(spark, sf_dir, lambda logs: ingest(getattr(logs, kind), kind), base, sink)
-        return comparable(read_bronze(spark, path, until="2200-01-01"))
+        return comparable(read_bronze(spark, path, until=MARK_TIME))
 
     return run
 

@@ -17,9 +17,10 @@ from logspark.session import scratch_dir, use_rocksdb_state
 from logspark.streaming.sinks import append_stream
 
 # Two ids, because even ones make syslog records and odd ones CEF records.
-MARKS = """
-SELECT id AS event_id, TIMESTAMP_NTZ'2200-01-01 00:00:00' AS ts, 7L AS user_id, 'mark' AS event_type,
-       0D AS value, '{"k": 99}' AS props FROM VALUES (0L), (1L) AS t(id)
+MARK_TIME = "2200-01-01 00:00:00"
+MARKS = f"""
+SELECT id AS event_id, TIMESTAMP_NTZ'{MARK_TIME}' AS ts, 7L AS user_id, 'mark' AS event_type,
+       0D AS value, '{{"k": 99}}' AS props FROM VALUES (0L), (1L) AS t(id)
 """
 
 
