@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -74,6 +74,16 @@ class KeyedTable:
             changes = upsert_latest(changes, self.key, ("batch_id", *self.order))
         return changes.select(*self.schema.names)
 
+    def fold(self, spark: SparkSession, path: str) -> "KeyedTable":
+        """A table at another path that starts from what readers of this one see.
+
+        Folds the folders of many batches into one. Do it while nothing writes; the writer may then
+        go on with the new table, as its next batch ids are higher.
+        """
+        table = replace(self, path=path)
+        table.write(self.read(spark), batch_id=-1)
+        return table
+
     def create(self, spark: SparkSession) -> "KeyedTable":
         """Make the table exist with no rows."""
         self.write(spark.createDataFrame([], self.schema), batch_id=-1)

@@ -36,6 +36,15 @@ def store_entries(
     return start(writer, available_now, trigger)
 
 
+def fold_entries(spark: SparkSession, path: str, new_path: str, by: Sequence[str]) -> None:
+    """Add up the stored counts of many batches into one folder below ``new_path``.
+
+    Do it while nothing writes; the stream may then go on with the new path and its checkpoint.
+    """
+    counts = spark.read.parquet(path).groupBy(*by, "tag", "item").agg(F.sum("n").alias("n"))
+    BatchTable(new_path).write(counts, -1)
+
+
 def running_totals(
     spark: SparkSession,
     path: str,

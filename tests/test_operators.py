@@ -261,6 +261,16 @@ def test_upsert_table_replays_and_later_batches_win(spark, tmp_path):
     assert table.changes(spark).count() == 3
 
 
+def test_folded_table_goes_on(spark, tmp_path):
+    for mode, want in (("upsert", [("a", 3), ("b", 2)]), ("append", [("a", 1), ("a", 3), ("b", 2)])):
+        table = KeyedTable(str(tmp_path / mode), "k string, v int", ("k",), mode)
+        table.write(spark.createDataFrame([("a", 1)], table.schema), 0)
+        table.write(spark.createDataFrame([("b", 2)], table.schema), 1)
+        folded = table.fold(spark, str(tmp_path / f"{mode}-folded"))
+        folded.write(spark.createDataFrame([("a", 3)], table.schema), 2)
+        assert rows_of(folded.read(spark)) == want
+
+
 def test_append_table_keeps_every_row(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), "k string", ("k",), mode="append")
     table.write(spark.createDataFrame([("a",), ("a",)], "k string"), 0)

@@ -12,6 +12,7 @@ from logspark.operators.pattern import suspicious_logins
 from logspark.schemas import FAILED_LOGIN_ATTEMPTS_DDL
 from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
+from logspark.streaming.running import fold_entries, running_totals, store_entries
 from logspark.streaming.sinks import BatchTable, LoginTables, append_stream, login_messages_stream, upsert_stream
 from logspark.streaming.windows import activity_stream, distinct_stream
 from test_pattern import logs
@@ -133,6 +134,20 @@ def test_sketched_activity(spark, few_partitions, tmp_path):
     assert got == {("warning", 6, 1), ("failure", 2, 1), ("success", 4, 1)}
 
 
+def test_running_totals_go_on_after_folding(spark, tmp_path):
+    df = timed(logs(spark, {"a": "WWF", "b": "W"}))
+    feed = Feed(spark, tmp_path, df.schema)
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    by, distinct = ["status"], {"users": "username"}
+    for n in range(3):
+        feed.put(df)
+        store_entries(feed.stream(), one if n < 2 else two, feed.checkpoint, by, distinct).awaitTermination()
+        if n == 1:
+            fold_entries(spark, one, two, by)
+    got = {tuple(r) for r in running_totals(spark, two, by, distinct).collect()}
+    assert got == {("warning", 9, 2), ("failure", 3, 1)}
+
+
 def test_distinct_stream(spark, few_partitions, tmp_path):
     df = timed(logs(spark, {"a": "WWFF", "b": "W"}))
     feed = Feed(spark, tmp_path, df.schema)
