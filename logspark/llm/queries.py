@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logspark.llm.common import table
 from logspark.llm.decontaminate import find_contamination
+from logspark.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,3 +24,8 @@ def _query(name: str):
 @_query("op8_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op9_simhash_near_duplicates")
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
