@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logspark.llm.common import table
 from logspark.llm.decontaminate import find_contamination
+from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,8 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_simhash_near_duplicates")
 def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
