@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logspark.llm.common import table
 from logspark.llm.decontaminate import find_contamination
+from logspark.llm.packing import packed_documents
 from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
 
@@ -35,3 +37,11 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_secret_scan")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
