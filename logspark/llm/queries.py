@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logspark.llm.common import table
+from logspark.llm.common import only, table
 from logspark.llm.decontaminate import find_contamination
 from logspark.llm.packing import packed_documents
+from logspark.llm.quality import judge_quality
 from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
 
@@ -45,3 +46,11 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
     )
+
+
+@_query("op10_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = only(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    return judge_quality(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"
+    )
