@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from logspark.llm import sql
 from logspark.llm.common import only, table
 from logspark.llm.decontaminate import find_contamination
 from logspark.llm.packing import packed_documents
 from logspark.llm.quality import judge_quality
 from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
+from logspark.llm.url_filter import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +56,21 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"
     )
+
+
+RULES = (
+    Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"),
+)
+
+
+@_query("op3_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is made of the URLs of pages that are symbols by a twentieth or more, and holds for all their variants."""
+    pages = table(spark, sf_dir, "pages")
+    symbols = F.length("html") - F.length(F.translate("html", "#$%*", ""))
+    listed = pages.where(20 * symbols > F.length("html")).select("url")
+    return judge_urls(pages, RULES, listed).drop("possible")
+
+
+SQL["op3_url_filter"] = sql.URL_FILTER
