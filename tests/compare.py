@@ -21,7 +21,7 @@ def duck(sf_dir, sql):
 # DuckDB type -> Spark type, for the types the results use.
 TYPES = {
     "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "TIMESTAMP": "timestamp_ntz", "DATE": "date",
-    "DOUBLE": "double", "BLOB": "binary",
+    "DOUBLE": "double", "BLOB": "binary", "BOOLEAN": "boolean",
 }
 
 
