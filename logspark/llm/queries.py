@@ -15,6 +15,7 @@ from logspark.llm.quality import judge_quality
 from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
 from logspark.llm.url_filter import Rule, judge_urls
+from logspark.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +75,8 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op3_url_filter"] = sql.URL_FILTER
+
+
+@_query("op1_warc_conversion")
+def warc_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
