@@ -11,6 +11,7 @@ from logspark.llm import sql
 from logspark.llm.common import only, table
 from logspark.llm.decontaminate import find_contamination
 from logspark.llm.packing import packed_documents
+from logspark.llm.pii import replace_personal_data
 from logspark.llm.quality import judge_quality
 from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
@@ -59,6 +60,15 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Stands in for a secret that a real run gets from outside.
+PII_KEY = "surrogates of the registered query"
+
+
+@_query("op5_pii_surrogates")
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 RULES = (
     Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
     Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"),
