@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logspark.llm import sql
+from logspark.llm.chat import format_chats
 from logspark.llm.common import only, table
 from logspark.llm.decontaminate import find_contamination
 from logspark.llm.packing import packed_documents
@@ -90,3 +91,11 @@ SQL["op3_url_filter"] = sql.URL_FILTER
 @_query("op1_warc_conversion")
 def warc_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
+
+
+@_query("op4_chat_formatting")
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+SQL["op4_chat_formatting"] = sql.CHATS

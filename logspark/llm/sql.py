@@ -33,3 +33,19 @@ SELECT page_id, host, path, rule,
   canonical, coalesce(canonical IN (SELECT canonical FROM listed), false) AS listed
 FROM r
 """
+
+CHATS = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), c AS (
+  SELECT conv_id, list(struct_pack(a := turn, b := role, c := text) ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id
+), kept AS (
+  SELECT conv_id FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c AS d WHERE d.turns[1] = c.turns[1] AND d.conv_id <> c.conv_id AND d.turns[1:len(c.turns)] = c.turns
+      AND (len(d.turns) > len(c.turns) OR d.conv_id < c.conv_id))
+)
+SELECT conv_id, turn // 1024 AS part, count(*) AS n_turns,
+  string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10)
+    || regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '<\1>', 'g') || '<|im_end|>', chr(10) ORDER BY turn, role, text) AS text
+FROM t SEMI JOIN kept USING (conv_id) GROUP BY conv_id, turn // 1024
+"""
