@@ -16,6 +16,7 @@ from logspark.llm.pii import replace_personal_data
 from logspark.llm.quality import judge_quality
 from logspark.llm.secret_scan import scan_secrets
 from logspark.llm.simhash import near_duplicates
+from logspark.llm.substring import remove_repeated
 from logspark.llm.url_filter import Rule, judge_urls
 from logspark.llm.warc import archived_pages
 
@@ -99,3 +100,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op4_chat_formatting"] = sql.CHATS
+
+
+@_query("op2_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated(table(spark, sf_dir, "documents"))
