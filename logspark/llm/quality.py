@@ -133,12 +133,15 @@ def judge_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     count each in the raw multinomial. Without trusted documents only the base rules decide.
     """
     at_least = round(threshold * SCALE)
+    # Always true, and of a kind that filters on the result are not moved below: there they would
+    # repeat the work on a text for each of its words.
+    here = F.monotonically_increasing_id() >= 0
     return (
         text_counts(docs)
         .withColumn("grams", _buckets(F.col("words")))
         .withColumn("ratios", fit_ratios(docs, labels).scalar())
         .withColumn("total", F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get("ratios", b).cast("long")))
         .withColumn("score", F.col("total") / F.greatest(F.size("grams"), F.lit(1)))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("total") >= at_least * F.size("grams").cast("long")))
+        .withColumn("kept", here & ~F.col("base_failed") & (F.col("total") >= at_least * F.size("grams").cast("long")))
         .drop("grams", "ratios", "total")
     )
