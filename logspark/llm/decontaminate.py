@@ -147,6 +147,28 @@ def _report(batches: Iterator[pa.RecordBatch], carry: list[str]) -> Iterator[pa.
         )
 
 
+def _clean(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
+    """The rows whose texts hold no pattern."""
+    for batch in text_slices(batches):
+        words = Words(*string_bytes(batch.column("text")), ALPHANUMERIC, FOLDED)
+        clean = np.ones(batch.num_rows, bool)
+        for table in tables.value:
+            begin, _ = table.find(words)
+            clean[np.searchsorted(words.first, begin, "right") - 1] = False
+        yield batch.filter(pa.array(clean))
+
+
+def pattern_blocks(benchmark: DataFrame, width: int, block_bytes: int) -> Iterator[list[WuManber]]:
+    """Search tables for the benchmark (item_id, text), block by block; each is made from ``block_bytes`` on average."""
+    asked = only(benchmark, item_id="string", text="string").where(F.length("text") > 0)
+    total = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-total // block_bytes)
+    for k in range(blocks):
+        of = asked.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text")
+        if tables := build_tables([(r.item_id, r.text) for r in of.collect()], width):
+            yield tables
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 4_000_000) -> DataFrame:
     """Per document: words, words inside benchmark windows, items with such windows.
 
@@ -156,20 +178,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
     dropped. ``block_bytes`` bounds the benchmark text that is broadcast at a time.
     """
     spark = docs.sparkSession
-    asked = only(benchmark, item_id="string", text="string").where(F.length("text") > 0)
-    total = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
     found = only(docs, doc_id="long", text="string").withColumns(
         {"spans": F.lit(b""), "items": F.lit(b"")}
     )
-    for k in range(blocks):
-        of = asked.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text")
-        tables = build_tables([(r.item_id, r.text) for r in of.collect()], width)
-        if tables:
-            found = found.mapInArrow(partial(_search, tables=spark.sparkContext.broadcast(tables)), SPANS)
-        if k % BLOCKS_PER_STAGE == BLOCKS_PER_STAGE - 1 and k + 1 < blocks:
+    for k, tables in enumerate(pattern_blocks(benchmark, width, block_bytes)):
+        if k and k % BLOCKS_PER_STAGE == 0:
             found = saved(found, "contamination")
+        found = found.mapInArrow(partial(_search, tables=spark.sparkContext.broadcast(tables)), SPANS)
     return found.mapInArrow(
         partial(_report, carry=["doc_id"]),
         "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean",
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 4_000_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``text`` holds no benchmark window."""
+    for k, tables in enumerate(pattern_blocks(benchmark, width, block_bytes)):
+        if k and k % BLOCKS_PER_STAGE == 0:
+            docs = saved(docs, "uncontaminated")
+        docs = docs.mapInArrow(partial(_clean, tables=docs.sparkSession.sparkContext.broadcast(tables)), docs.schema)
+    return docs

@@ -188,25 +188,32 @@ def _written(kind: Column, raw: Column, value: Column) -> Column:
     )
 
 
-def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
-    """doc_id, the text with surrogates, and ``n_replaced``. ``key`` decides on the surrogates; keep it secret.
-
-    Kinds: e-mail addresses, phone numbers with a country code, card numbers that pass their check,
-    social security numbers, IPv4 addresses, and names after a title. Null stays null, texts without
-    entities stay as they are, repeated rows are treated alike. Extra columns are dropped.
-    """
-    rows = only(docs, doc_id="long", text="string")
-    found = saved(find_entities(rows), "entities").withColumn(
+def replaced(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (doc_id long, text string and any others) with surrogates in ``text``, and ``n_replaced``."""
+    columns = rows.columns
+    others = [c for c in columns if c != "text"]
+    found = saved(find_entities(rows).withColumn(
         "row", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text")))
-    )
+    ), "entities")
     units = found.select("row", F.posexplode("units").alias("i", "u")).select("row", "i", "u.kind", "u.norm", "u.raw").distinct()
     drawn = draw_surrogates(saved(units.where("kind is not null").select("kind", "norm").distinct(), "kinds"), key)
     named = units.join(drawn, ["kind", "norm"], "left").select(
         "row", "i", F.coalesce(_written(F.col("kind"), F.col("raw"), F.col("surrogate")), "raw").alias("s"),
-        F.col("surrogate").isNotNull().cast("int").alias("replaced"),
+        F.col("surrogate").isNotNull().cast("long").alias("hit"),
     )
-    of_row = named.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("new"), F.sum("replaced").alias("n_replaced"))
+    of_row = named.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("new"), F.sum("hit").alias("n_replaced"))
     text = F.concat(F.array_join(F.zip_with("units", "new", lambda u, s: F.concat(u["before"], s["s"])), ""), F.col("tail"))
-    changed = found.join(of_row, "row").select("doc_id", text.alias("text"), "n_replaced")
+    changed = found.join(of_row, "row").select(*others, text.alias("text"), "n_replaced")
     without = F.col("text").isNull() | ~F.col("text").rlike(HINT) | (F.size(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))) == 0)
-    return rows.where(without).select("doc_id", "text", F.lit(0).cast("long").alias("n_replaced")).unionAll(changed)
+    same = rows.where(without).select(*others, "text", F.lit(0).cast("long").alias("n_replaced"))
+    return same.unionAll(changed).select(*columns, "n_replaced")
+
+
+def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
+    """doc_id, the text with surrogates, and ``n_replaced``. ``key`` decides on the surrogates; keep it secret.
+
+    Kinds: e-mail addresses, phone numbers with a country code, card numbers that pass their check,
+    social security numbers, IPv4 addresses, and names after a title. Null stays null, texts without
+    entities stay as they are, repeated rows are treated alike. Extra columns are dropped.
+    """
+    return replaced(only(docs, doc_id="long", text="string"), key)
