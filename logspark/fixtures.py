@@ -41,8 +41,10 @@ class Logs:
 
 
 def seed_users(spark: SparkSession) -> DataFrame:
-    """The user dimension as literal rows."""
-    return spark.createDataFrame(USERS, USER_DETAILS_DDL)
+    """The user dimension as literal rows: a local relation, whose size the planner knows."""
+    rows = ", ".join("(" + ", ".join(f"'{value}'" for value in row) + ")" for row in USERS)
+    names = [part.split()[0] for part in USER_DETAILS_DDL.split(",")]
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS users({', '.join(names)})")
 
 
 def _choose(values: list[str], index) -> F.Column:

@@ -14,11 +14,20 @@ from logspark.schemas import TOPICS
 TIME_FLOOR = """
 CREATE OR REPLACE TEMPORARY FUNCTION time_floor(ts TIMESTAMP, period STRING)
 RETURNS TIMESTAMP
-RETURN timestamp_micros(unix_micros(ts) - pmod(unix_micros(ts),
-  (coalesce(cast(nullif(regexp_extract(period, '([0-9]+)D', 1), '') AS BIGINT), 0) * 86400
-   + coalesce(cast(nullif(regexp_extract(period, 'T.*?([0-9]+)H', 1), '') AS BIGINT), 0) * 3600
-   + coalesce(cast(nullif(regexp_extract(period, 'T.*?([0-9]+)M', 1), '') AS BIGINT), 0) * 60
-   + coalesce(cast(nullif(regexp_extract(period, 'T.*?([0-9]+)S', 1), '') AS BIGINT), 0)) * 1000000))
+RETURN CASE
+  WHEN period = 'P1M' THEN date_trunc('MONTH', ts)
+  WHEN period = 'P3M' THEN date_trunc('QUARTER', ts)
+  WHEN period = 'P1Y' THEN date_trunc('YEAR', ts)
+  WHEN NOT period RLIKE '^P(?=.*[1-9])([0-9]+W|([0-9]+D)?(T(?=[0-9])([0-9]+H)?([0-9]+M)?([0-9]+S)?)?)$'
+    THEN cast(raise_error(concat('time_floor: no period: ', period)) AS TIMESTAMP)
+  ELSE timestamp_micros(unix_micros(ts) - pmod(
+    unix_micros(ts) - CASE WHEN period LIKE '%W' THEN 345600000000 ELSE 0 END,
+    (coalesce(cast(nullif(regexp_extract(period, '([0-9]+)W', 1), '') AS BIGINT), 0) * 604800
+     + coalesce(cast(nullif(regexp_extract(period, '([0-9]+)D', 1), '') AS BIGINT), 0) * 86400
+     + coalesce(cast(nullif(regexp_extract(period, 'T.*?([0-9]+)H', 1), '') AS BIGINT), 0) * 3600
+     + coalesce(cast(nullif(regexp_extract(period, 'T.*?([0-9]+)M', 1), '') AS BIGINT), 0) * 60
+     + coalesce(cast(nullif(regexp_extract(period, 'T.*?([0-9]+)S', 1), '') AS BIGINT), 0)) * 1000000))
+END
 """
 JSON_VALUE = """
 CREATE OR REPLACE TEMPORARY FUNCTION json_value(doc STRING, path STRING)

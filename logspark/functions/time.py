@@ -15,6 +15,10 @@ DAY, HOUR, MINUTE = 10, 13, 16
 
 _PERIOD = re.compile(r"^P(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?)?$")
 _UNITS = ("weeks", "days", "hours", "minutes", "seconds")
+# Calendar periods; their buckets have no fixed length.
+_CALENDAR = {"P1M": "MONTH", "P3M": "QUARTER", "P1Y": "YEAR"}
+# The epoch was a Thursday; weeks start on Monday.
+_MONDAY = 4 * 86400 * 1_000_000
 
 
 def time_prefix(column: str | Column, length: int = MINUTE) -> Column:
@@ -37,15 +41,28 @@ def period_interval(period: str) -> Column:
 
 
 def time_floor(column: str | Column, period: str = "PT1H") -> Column:
-    """Start of the period-long bucket, counted from the epoch in UTC."""
-    micros = F.unix_micros(F.col(column) if isinstance(column, str) else column)
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(period_micros(period))))
+    """Start of the period-long bucket in UTC, counted from the epoch; weeks start on Monday.
+
+    P1M, P3M and P1Y are calendar months, quarters and years. Any other text is an error now, not when rows are read.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    if period in _CALENDAR:
+        return F.date_trunc(_CALENDAR[period], column)
+    length = period_micros(period)
+    since = _MONDAY if re.fullmatch(r"P\d+W", period) else 0
+    micros = F.unix_micros(column)
+    return F.timestamp_micros(micros - F.pmod(micros - F.lit(since), F.lit(length)))
 
 
 def period_micros(period: str) -> int:
     scale = {"week": 7 * 86400, "day": 86400, "hour": 3600, "minute": 60, "second": 1}
     words = period_to_interval(period).split()
-    return sum(int(n) * scale[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2])) * 1_000_000
+    if len(words) % 2 or any(not n.isdigit() or unit.rstrip("s") not in scale for n, unit in zip(words[::2], words[1::2])):
+        raise ValueError(f"no fixed period: {period!r}")
+    length = sum(int(n) * scale[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2])) * 1_000_000
+    if not length:
+        raise ValueError(f"empty period: {period!r}")
+    return length
 
 
 def event_timestamp(column: str = "event_time") -> Column:

@@ -39,9 +39,9 @@ def activity(
     distinct: Mapping[str, str] | None = None,
     width: int | None = MINUTE,
     min_count: int = 10,
-    limit: int | None = 100,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Activity per text-time bucket and group, newest bucket first, then largest group.
+    """Activity per text-time bucket and group; with ``limit`` the newest buckets first, then the largest groups.
 
     ``width`` is the prefix length of the bucket; None leaves time out.
     """
@@ -59,7 +59,7 @@ def top_sources(
     key: str = "source_ip",
     distinct: Mapping[str, str] | None = None,
     min_count: int = 5,
-    limit: int | None = 20,
+    limit: int | None = None,
 ) -> DataFrame:
     """Keys with the most rows for which ``pred`` holds."""
     rows = df if pred is None else df.filter(pred)
@@ -71,7 +71,7 @@ def severity_number(column: str = "severity") -> Column:
     return F.col(column).try_cast("int")
 
 
-def high_severity(cef: DataFrame, threshold: int = HIGH_SEVERITY, limit: int | None = 100) -> DataFrame:
+def high_severity(cef: DataFrame, threshold: int = HIGH_SEVERITY, limit: int | None = None) -> DataFrame:
     """CEF events of at least the given severity, most severe first."""
     rows = cef.filter(severity_number() >= threshold).select(
         F.col("name").alias("event_name"),
@@ -84,7 +84,7 @@ def high_severity(cef: DataFrame, threshold: int = HIGH_SEVERITY, limit: int | N
     return ranked(rows, order, limit)
 
 
-def average_severity(cef: DataFrame, width: str = "PT1M", limit: int | None = 100) -> DataFrame:
+def average_severity(cef: DataFrame, width: str = "PT1M", limit: int | None = None) -> DataFrame:
     """Average severity and sources per time bucket and vendor.
 
     An extension: stated as an aim of the activity analyses, but no query computes it.
@@ -105,7 +105,7 @@ def incidents(
     json: DataFrame,
     keywords: Sequence[str] = INCIDENT_KEYWORDS,
     status: str = "failure",
-    limit: int | None = 100,
+    limit: int | None = None,
 ) -> DataFrame:
     """JSON logs that failed or whose details hold a keyword, newest first."""
     hit = F.col("status") == status
@@ -117,7 +117,7 @@ def incidents(
     return ranked(rows, [F.desc("timestamp"), "log_id"], limit)
 
 
-def event_frequency(kinds: Mapping[str, DataFrame], width: str = "PT30M", limit: int | None = 100) -> DataFrame:
+def event_frequency(kinds: Mapping[str, DataFrame], width: str = "PT30M", limit: int | None = None) -> DataFrame:
     """Events per time bucket and kind of log.
 
     The kinds are tagged and put together first and counted once: one shuffle, not one per kind.
@@ -132,14 +132,17 @@ def event_frequency(kinds: Mapping[str, DataFrame], width: str = "PT30M", limit:
 
 def failure_sequences(
     json: DataFrame,
-    start="2000-01-01",
-    end="3000-01-01",
+    start=None,
+    end=None,
     status: str = "failure",
-    limit: int | None = 100,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Failures per source address and ``type|status`` text, both range ends included."""
-    low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    rows = json.filter((F.col("status") == status) & F.col("event_ts").between(low, high))
+    """Failures per source address and ``type|status`` text, both range ends included; None leaves an end open."""
+    rows = json.filter(F.col("status") == status)
+    if start is not None:
+        rows = rows.filter(F.col("event_ts") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        rows = rows.filter(F.col("event_ts") <= F.lit(end).cast("timestamp"))
     counts = rows.groupBy(
         "source_ip", F.concat("event_type", F.lit("|"), "status").alias("event_sequence_sample")
     ).agg(F.count("*").alias("event_count"))

@@ -46,7 +46,7 @@ def correlate_by_prefix(
     json: DataFrame,
     width: int = MINUTE,
     min_count: int = 1,
-    limit: int | None = 50,
+    limit: int | None = None,
 ) -> DataFrame:
     """How often a syslog class and a JSON class fall into the same text-time bucket.
 
@@ -123,7 +123,7 @@ def repeat_rows(df: DataFrame, count: str, limit: int, order: list[str]) -> Data
     return head.select(*kept, F.explode(copies).alias("_copy")).orderBy(*order).limit(limit).select(*kept)
 
 
-def ip_incidents(json: DataFrame, cef: DataFrame, limit: int = 50, **options) -> DataFrame:
+def ip_incidents(json: DataFrame, cef: DataFrame, limit: int, **options) -> DataFrame:
     """Incident pairs as rows, repeated as often as they occur, the first ``limit`` of them.
 
     For the whole result use ``ip_pair_counts``, which says how often each row stands.
@@ -142,7 +142,7 @@ def recent_ip_pairs(
     period: str = "PT1H",
     threshold: int = HIGH_SEVERITY,
     status: str = "failure",
-    limit: int | None = 10,
+    limit: int | None = None,
     **skew,
 ) -> DataFrame:
     """Distinct pairs with the exact JSON event time, for JSON rows in ``[since, until)``.

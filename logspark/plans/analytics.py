@@ -66,6 +66,10 @@ def event_frequency(logs: Logs, limit: int | None = 100) -> DataFrame:
     return act.event_frequency({"JSON": logs.json, "Syslog": logs.syslog, "CEF": logs.cef}, limit=limit)
 
 
+def failure_sequences(logs: Logs, limit: int | None = None) -> DataFrame:
+    return act.failure_sequences(logs.json, "2000-01-01", "3000-01-01", limit=limit)
+
+
 def failed_login_state(logs: Logs) -> DataFrame:
     """The last suspicious login of every user."""
     matches = pattern.suspicious_logins(logs.json, keep=["log_id"])

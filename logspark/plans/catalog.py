@@ -8,27 +8,25 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logspark.fixtures import Logs, load_logs, prepare_events, seed_users
-from logspark.functions.time import DAY, HOUR
+from logspark.functions.time import DAY, HOUR, time_floor, time_prefix
 from logspark.operators import activity as act, pattern
-from logspark.operators.correlate import ip_incidents, total_pairs
+from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, ip_incidents, total_pairs
 from logspark.operators.feed import event_feed
 from logspark.plans import analytics as an, charts
-from logspark.plans.oracle import AS_OF
 from logspark.schemas import TOPICS
 from logspark.session import scratch_dir, use_utc
 from logspark.sources import synth
-from logspark.sources.bronze import read_bronze, write_bronze
+from logspark.sources.bronze import append_bronze, read_bronze, replace_day, write_bronze
 from logspark.sources.ingest import ingest
 from logspark.sources.logs import decode_topic
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
-from logspark.streaming.batches import suspicious_logins_batches
+from logspark.streaming.batches import late_keys, repaired_matches, suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
-from logspark.streaming.replay import MARK_TIME, replay, replayed
+from logspark.streaming.replay import feed_in_time_order, replay, replayed
 from logspark.streaming.running import running_totals, store_entries
 from logspark.streaming.sinks import BatchTable, LoginTables, message_step
-from logspark.streaming.windows import activity_stream, bucket_pair_counts_stream, event_frequency_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,44 +81,41 @@ def json_topic(logs: Logs) -> DataFrame:
     )
 
 
-def streamed(build: Callable[[Logs], DataFrame], name: str, finish: Callable = lambda df: df) -> Query:
-    """A stream over the derived logs, run to its end; ``finish`` works on the stored rows."""
+def streamed(build: Callable[[Logs], DataFrame], name: str, **options) -> Query:
+    """A stream over the derived logs, run to its end."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(finish(replayed(use_utc(spark), sf_dir, build, name)))
+        return comparable(replayed(use_utc(spark), sf_dir, build, name, **options))
 
     return run
 
 
 def logins_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suspicious logins of the log stream, each micro-batch scanned as a table."""
+    """Suspicious logins of a log stream out of order: micro-batches scanned as tables, late keys repaired."""
     base = scratch_dir(use_utc(spark), "w2")
 
     def sink(json: DataFrame, path: str, checkpoint: str):
         return suspicious_logins_batches(json, f"{base}/state", checkpoint, BatchTable(path).write)
 
-    path = replay(spark, sf_dir, lambda logs: logs.json, base, sink)
-    return spark.read.parquet(path).drop("batch_id")
+    path = replay(spark, sf_dir, lambda logs: logs.json, base, sink, marks=True)
+    found = spark.read.parquet(path).drop("batch_id")
+    late = late_keys(spark, f"{base}/state", ["username"])
+    return repaired_matches(found, late, load_logs(spark, sf_dir).json, **pattern.login_pattern())
 
 
 def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow from log stream to stored messages."""
+    """The flow from log stream to stored messages, in order of time."""
     base = scratch_dir(use_utc(spark), "w5")
     tables = LoginTables(f"{base}/tables")
 
     def sink(json: DataFrame, path: str, checkpoint: str):
-        store = message_step(seed_users(spark), tables)
-        return suspicious_logins_batches(json, f"{base}/state", checkpoint, store)
+        store = message_step(seed_users(json.sparkSession), tables)
+        return suspicious_logins_batches(json, f"{base}/state", checkpoint, store, keep=["log_id"])
 
-    replay(spark, sf_dir, lambda logs: logs.json, base, sink)
+    replay(spark, sf_dir, lambda logs: logs.json, base, sink, feed_in_time_order, marks=True)
     return tables.messages.read(spark)
 
 
-def without_marks(df: DataFrame) -> DataFrame:
-    """Logs without the closing marks of a replay."""
-    return df.filter(F.col("event_ts") < MARK_TIME)
-
-
 def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good records of a topic stream with broken ones; their share grows with the table, so no limit."""
     base = scratch_dir(use_utc(spark), "w12")
@@ -130,33 +125,75 @@ def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return quarantine(raw, "json", path, f"{base}/bad", checkpoint, policy, available_now=True)
 
     path = replay(spark, sf_dir, json_topic, base, sink)
-    return comparable(read_bronze(spark, path, until=MARK_TIME).drop("batch_id"))
+    return comparable(read_bronze(spark, path).drop("batch_id"))
 
 
-def running(rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str) -> Query:
-    """Totals per group over a whole stream, kept up to date batch by batch."""
+def stored_counts(
+    spark: SparkSession, sf_dir: str, rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str
+) -> str:
+    """Where the counts of a stream's micro-batches are stored, whatever the order of its rows."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        def sink(df: DataFrame, path: str, checkpoint: str):
-            return store_entries(df, path, checkpoint, by, distinct)
+    def sink(df: DataFrame, path: str, checkpoint: str):
+        return store_entries(df, path, checkpoint, by, distinct)
+
+    return replay(spark, sf_dir, rows, scratch_dir(use_utc(spark), name), sink)
+
+
+def running(
+    rows: Callable[[Logs], DataFrame], by: list[str], distinct: dict[str, str], name: str, min_count: int = 5
+) -> Query:
+    """Totals per group over a whole stream, kept up to date batch by batch.
+
+    A time bucket is a group like any other: it can be read while it is open, and a late row still counts.
+    """
 
-        scratch = scratch_dir(use_utc(spark), name)
-        path = replay(spark, sf_dir, lambda logs: without_marks(rows(logs)), scratch, sink)
-        return running_totals(spark, path, by, distinct, min_count=5)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = stored_counts(spark, sf_dir, rows, by, distinct, name)
+        return comparable(running_totals(spark, path, by, distinct, min_count))
 
     return run
 
 
+def with_bucket(df: DataFrame, width: int) -> DataFrame:
+    """The text bucket, as the batch analyses take it."""
+    return df.withColumn("time_window", time_prefix("timestamp", width))
+
+
+def kinds_by_half_hour(logs: Logs) -> DataFrame:
+    parts = [
+        df.select(time_floor("event_ts", "PT30M").alias("half_hour_bucket"), F.lit(kind).alias("log_type"))
+        for kind, df in (("JSON", logs.json), ("Syslog", logs.syslog), ("CEF", logs.cef))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def correlation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds counted per bucket and class as they come; the small totals are joined, not the streams."""
+    sides = []
+    for kind, classes in (("syslog", SYSLOG_CLASS), ("json", JSON_CLASS)):
+        by = ["time_window", *classes]
+        path = stored_counts(spark, sf_dir, lambda logs, k=kind: with_bucket(getattr(logs, k), HOUR), by, {}, f"w3-{kind}")
+        totals = running_totals(spark, path, by).withColumnRenamed("event_count", f"{kind}_rows")
+        sides.append(totals.withColumnsRenamed(classes))
+    pairs = (F.col("syslog_rows") * F.col("json_rows")).alias("pairs")
+    return total_pairs(sides[0].join(sides[1], "time_window").select(F.col("time_window").alias("bucket"), *CORRELATED, pairs))
+
+
 def bronze_stream(kind: str) -> Query:
-    """A log stream stored by day, without the closing marks."""
+    """A log stream stored by day: the first half streamed, the second appended, one day rewritten."""
 
     def sink(df: DataFrame, path: str, checkpoint: str):
         return write_bronze(df, path, checkpoint, available_now=True)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = scratch_dir(use_utc(spark), f"w6-{kind}")
-        path = replay(spark, sf_dir, lambda logs: ingest(getattr(logs, kind), kind), base, sink)
-        return comparable(read_bronze(spark, path, until=MARK_TIME))
+        number = F.pmod(F.xxhash64("event_time"), F.lit(2))
+        path = replay(spark, sf_dir, lambda logs: ingest(getattr(logs, kind).filter(number == 0), kind), base, sink)
+        append_bronze(ingest(getattr(load_logs(spark, sf_dir), kind).filter(number == 1), kind), path)
+        day = read_bronze(spark, path).agg(F.max("event_date")).first()[0]
+        if day is not None:
+            replace_day(spark, path, day)
+        return comparable(read_bronze(spark, path))
 
     return run
 
@@ -164,17 +201,17 @@ def bronze_stream(kind: str) -> Query:
 # Rows of one user in one slot must fit a task.
 SLOT = "1 minute"
 
-# The last day and the last week before AS_OF, both on whole hours.
-DAY_AGO, WEEK_AGO = "2024-01-30 00:00:00", "2024-01-24 00:00:00"
+# Fixed clock of the analyses that look back, and the last day and week before it, all on whole hours.
+AS_OF, DAY_AGO, WEEK_AGO = "2024-01-31 00:00:00", "2024-01-30 00:00:00", "2024-01-24 00:00:00"
 
 QUERIES: dict[str, Query] = {
     "f1_json_activity": over_logs(an.json_activity),
     "f2_syslog_activity": over_logs(an.syslog_activity),
     "f3_cef_overview": over_logs(an.cef_overview),
     "f4_top_failure_sources": over_logs(an.top_failure_sources),
-    "f5_high_severity": over_logs(lambda logs: act.high_severity(logs.cef)),
+    "f5_high_severity": over_logs(lambda logs: act.high_severity(logs.cef, limit=100)),
     "f6_syslog_json_correlation": over_logs(an.syslog_json_correlation),
-    "f7_incidents": over_logs(lambda logs: act.incidents(logs.json)),
+    "f7_incidents": over_logs(lambda logs: act.incidents(logs.json, limit=100)),
     "f1_json_activity_all": over_logs(partial(an.json_activity, limit=None)),
     "f2_syslog_activity_all": over_logs(partial(an.syslog_activity, limit=None)),
     "f3_cef_overview_all": over_logs(partial(an.cef_overview, limit=None)),
@@ -192,10 +229,10 @@ QUERIES: dict[str, Query] = {
         partial(an.ip_correlation_recent, as_of=AS_OF, limit=None), DAY_AGO, AS_OF),
     "d2_event_frequency": over_logs(partial(an.event_frequency, limit=None)),
     "d2_event_frequency_first": over_logs(an.event_frequency),
-    "d3_ip_incidents": over_logs(lambda logs: ip_incidents(logs.json, logs.cef)),
+    "d3_ip_incidents": over_logs(lambda logs: ip_incidents(logs.json, logs.cef, limit=50)),
     "d3_ip_incident_counts": over_logs(an.ip_incident_counts),
-    "d4_failure_sequences": over_logs(lambda logs: act.failure_sequences(logs.json, limit=None)),
-    "d4_failure_sequences_first": over_logs(lambda logs: act.failure_sequences(logs.json)),
+    "d4_failure_sequences": over_logs(an.failure_sequences),
+    "d4_failure_sequences_first": over_logs(partial(an.failure_sequences, limit=100)),
     "x1_average_severity": over_logs(lambda logs: act.average_severity(logs.cef, "PT1H", limit=None)),
     "c0_correlated_dataset": over_logs(an.correlated_dataset),
     "c1_event_feed": over_logs(lambda logs: event_feed(logs.json, logs.syslog, logs.cef)),
@@ -212,23 +249,21 @@ QUERIES: dict[str, Query] = {
     "g2_synth_topup": lambda spark, sf_dir: synth.flat_logs(synth.synth_topup(_ids(spark, sf_dir), seed=43)),
     "i2_quarantine_good": over_logs(lambda logs: good_records(decode_topic(json_topic(logs), "json"))),
     "i2_quarantine_bad": over_logs(lambda logs: bad_records(decode_topic(json_topic(logs), "json"))),
-    "w1_json_activity_stream": streamed(
-        lambda logs: activity_stream(logs.json, ["event_type", "status"], an.JSON_DISTINCT, DAY), "w1"),
+    "w1_json_activity_stream": running(
+        lambda logs: with_bucket(logs.json, DAY), ["time_window", "event_type", "status"], an.JSON_DISTINCT, "w1", 10),
     "w2_suspicious_logins_stream": logins_by_batch,
-    "w2_suspicious_logins_keyed_state": streamed(lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2k"),
-    "w3_correlation_stream": streamed(
-        lambda logs: bucket_pair_counts_stream(logs.syslog, logs.json, HOUR), "w3", total_pairs),
-    "w4_frequency_stream": streamed(
-        lambda logs: event_frequency_stream({"JSON": logs.json, "Syslog": logs.syslog, "CEF": logs.cef}), "w4"),
+    "w2_suspicious_logins_keyed_state": streamed(
+        lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2k", feed=feed_in_time_order, marks=True),
+    "w3_correlation_stream": correlation_stream,
+    "w4_frequency_stream": running(kinds_by_half_hour, ["half_hour_bucket", "log_type"], {}, "w4", 0),
     "w5_login_messages_stream": login_messages,
     "w7_top_failure_sources_stream": running(
         lambda logs: logs.json.filter(F.col("status") == "failure"), ["source_ip"], an.FAILURE_DISTINCT, "w7"),
     "w8_cef_overview_stream": running(lambda logs: logs.cef, an.CEF_CLASS, an.CEF_DISTINCT, "w8"),
-    "w9_high_severity_stream": streamed(lambda logs: act.high_severity(without_marks(logs.cef), limit=None), "w9"),
-    "w10_incidents_stream": streamed(lambda logs: act.incidents(without_marks(logs.json), limit=None), "w10"),
-    "w11_syslog_activity_stream": streamed(
-        lambda logs: activity_stream(
-            logs.syslog, ["application", "priority"], an.SYSLOG_DISTINCT, DAY, min_count=1), "w11"),
+    "w9_high_severity_stream": streamed(lambda logs: act.high_severity(logs.cef), "w9"),
+    "w10_incidents_stream": streamed(lambda logs: act.incidents(logs.json), "w10"),
+    "w11_syslog_activity_stream": running(
+        lambda logs: with_bucket(logs.syslog, DAY), ["time_window", "application", "priority"], an.SYSLOG_DISTINCT, "w11", 1),
     "w12_quarantine_stream": quarantine_stream,
     "w6_bronze_stream_json": bronze_stream("json"),
     "w6_bronze_stream_syslog": bronze_stream("syslog"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.functions.time import within
@@ -15,29 +17,52 @@ CHECK_PERIOD = "30 seconds"
 def write_bronze(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Append a stream to a day-partitioned table.
 
-    The file sink commits each batch once, and the checkpoint holds the positions to go on from.
+    A batch that runs again after a failure replaces its own folders.
     """
-    writer = (
-        df.writeStream.format("parquet")
-        .partitionBy("event_date")
-        .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .outputMode("append")
-    )
+    name = f"stream-{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]}"
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        _put(batch, path, f"{name}-{batch_id}")
+
+    writer = df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": CHECK_PERIOD}
-    return writer.trigger(**trigger).start(path)
+    return writer.trigger(**trigger).start()
+
+
+def append_bronze(df: DataFrame, path: str, part: str | None = None) -> None:
+    """Append a batch to a day-partitioned table. With a name for it, doing so again replaces it."""
+    _put(df, path, part or f"append-{uuid.uuid4().hex}")
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
-    """Append a batch to a day-partitioned table.
+def _put(df: DataFrame, path: str, part: str) -> None:
+    """Rows into one folder per day and part.
 
     Rebalancing by day gathers the rows of a small day into few files and splits a day that holds
     much of the data over many tasks.
     """
-    writer = df.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date")
+    writer = df.withColumn("part", F.lit(part)).hint("rebalance", "event_date").write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "part")
     writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
 
 
+def replace_day(spark: SparkSession, path: str, day, rows: DataFrame | None = None) -> None:
+    """Put ``rows`` in place of a day, or rewrite the day's own rows as few files.
+
+    What is new is complete before what is old is removed; in between the day can be read twice. No
+    other writer may add to that day meanwhile.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_date={day}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in files.listStatus(place)] if files.exists(place) else []
+    if rows is None:
+        rows = read_bronze(spark, path).filter(F.col("event_date") == F.lit(str(day)).cast("date"))
+    else:
+        rows = rows.withColumn("event_date", F.lit(str(day)).cast("date"))
+    append_bronze(rows, path)
+    for folder in old:
+        files.delete(folder, True)
+
+
 def read_bronze(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """A stored table, or its rows in ``[since, until)``: the range prunes day folders, too."""
-    return within(spark.read.parquet(path), since, until)
+    return within(spark.read.parquet(path).drop("part"), since, until)

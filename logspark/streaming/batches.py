@@ -11,14 +11,15 @@ and read by the next batch only, so a batch that runs again after a failure give
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.functions.time import period_interval
 from logspark.operators.keyed import upsert_latest
 from logspark.operators.pattern import (
-    LOGIN_ORDER, TAIL, classify, link_stretches, login_pattern, matches_of, scan_runs,
+    LOGIN_ORDER, TAIL, classify, link_stretches, login_pattern, match_run_then, matches_of, scan_runs,
 )
 from logspark.streaming.sinks import BatchTable, start
 from logspark.streaming.windows import WATERMARK
@@ -45,17 +46,21 @@ def match_run_then_batches(
 
     ``on_matches(matches, batch_id)`` stores the matches of a batch; it must replace what an
     earlier attempt at the same batch has stored. ``order_by`` must follow ``event_ts``. Rows
-    behind the watermark are not seen. ``state`` and ``checkpoint`` belong together.
+    behind the watermark, or without a time, are too late for their runs: their keys are stored
+    (``late_keys``), and ``repaired_matches`` scans these keys again. ``state`` and ``checkpoint``
+    belong together.
     """
     measures = dict(measures or {})
-    waiting, linked, clock = (BatchTable(f"{state}/{name}") for name in ("waiting", "linked", "clock"))
+    waiting, linked, clock, late = (BatchTable(f"{state}/{name}") for name in ("waiting", "linked", "clock", "late"))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark, before = batch.sparkSession, batch_id - 1
         rows = classify(batch, partition_by, order_by, run_pred, end_pred, measures, also=["event_ts"])
         passed = clock.read(spark, "watermark timestamp", before)
         last_mark = passed.agg(F.coalesce(F.max("watermark"), F.lit("1900-01-01").cast("timestamp"))).scalar()
-        in_time = rows.filter(F.col("event_ts") > last_mark)
+        early_enough = F.coalesce(F.col("event_ts") > last_mark, F.lit(False))
+        late.write(batch.filter(~early_enough).groupBy(*partition_by).agg(F.count("*").alias("late_rows")), batch_id)
+        in_time = rows.filter(early_enough)
         pending = in_time.unionByName(waiting.read(spark, rows.schema, before)).persist()
         try:
             newest = pending.agg(F.max("event_ts").alias("newest")).select(F.col("newest") - period_interval(watermark))
@@ -83,6 +88,25 @@ def match_run_then_batches(
     return start(writer, available_now, trigger)
 
 
+def late_keys(spark: SparkSession, state: str, keys: Sequence[str]) -> DataFrame:
+    """Keys with rows that came too late, and how many (``late_rows``)."""
+    return spark.read.parquet(f"{state}/late").groupBy(*keys).agg(F.sum("late_rows").alias("late_rows"))
+
+
+def repaired_matches(
+    matches: DataFrame, late: DataFrame, rows: DataFrame, partition_by: Sequence[str], **pattern
+) -> DataFrame:
+    """Matches of a stream, with those of late keys found anew in ``rows``, the stored rows of the stream."""
+    keys = list(partition_by)
+    touched = late.select(*[F.col(k).alias(f"late_{k}") for k in keys])
+
+    def same(df: DataFrame) -> Column:
+        return reduce(Column.__and__, (df[k].eqNullSafe(touched[f"late_{k}"]) for k in keys))
+
+    again = match_run_then(rows.join(touched, same(rows), "left_semi"), keys, **pattern)
+    return matches.join(touched, same(matches), "left_anti").unionByName(again)
+
+
 def suspicious_logins_batches(
     json: DataFrame,
     state: str,

@@ -1,66 +1,91 @@
-"""Run a stream over a stored table of events to its end.
+"""Run a stream over a stored table of events to its end, in several micro-batches.
 
-A window or slot comes out once the watermark has passed it, so a table that ends leaves the last
-ones open. ``replay`` therefore runs the stream twice from one checkpoint: over the table, and
-over two closing marks in the far future, whose own windows stay open and so never show.
+The events are copied into files that are read one per micro-batch: dealt by a hash of their ids,
+so that every batch holds all times, or cut by time. The stream runs in a session of its own; the
+caller's settings stay as they are. Copy and checkpoint are removed at the end.
+
+A pattern comes out once the watermark has passed it, so a table that ends leaves the last ones
+open. With ``marks`` the stream goes on over two closing marks in the far future.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.fixtures import EVENTS_DDL, Logs, cef_logs, json_logs, prepare_events, syslog_logs
-from logspark.session import scratch_dir, use_rocksdb_state
+from logspark.session import scratch_dir, use_rocksdb_state, use_utc
 from logspark.streaming.sinks import append_stream
 
+#: Micro-batches that a table is read in.
+BATCHES = 5
 # Two ids, because even ones make syslog records and odd ones CEF records.
-MARK_TIME = "2200-01-01 00:00:00"
-MARKS = f"""
-SELECT id AS event_id, TIMESTAMP_NTZ'{MARK_TIME}' AS ts, 7L AS user_id, 'mark' AS event_type,
-       0D AS value, '{{"k": 99}}' AS props FROM VALUES (0L), (1L) AS t(id)
+MARKS = """
+SELECT id AS event_id, TIMESTAMP_NTZ'2200-01-01 00:00:00' AS ts, 7L AS user_id, 'mark' AS event_type,
+       0D AS value, '{"k": 99}' AS props FROM VALUES (0L), (1L) AS t(id)
 """
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session over the same cluster with settings of its own; state is split by the number of cores."""
+    own = use_rocksdb_state(use_utc(spark.newSession()))
+    own.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    return own
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def feed_in_any_order(events: DataFrame, path: str) -> None:
+    events.repartitionByRange(BATCHES, F.xxhash64("event_id")).write.parquet(path)
+
+
+def feed_in_time_order(events: DataFrame, path: str) -> None:
+    """One file after the other, as files are taken in by age; each is a part of the range of times."""
+    low, high = events.agg(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first()
+    part = F.lit(0)
+    if low is not None and high > low:
+        seconds = F.col("ts").cast("timestamp").cast("double")
+        part = F.floor((seconds - low.timestamp()) / (high.timestamp() - low.timestamp()) * BATCHES)
+    for k in range(BATCHES):
+        here = F.least(part, F.lit(BATCHES - 1)) == k
+        events.filter(F.coalesce(here, F.lit(k == 0))).coalesce(1).write.mode("append").parquet(path)
+
+
 def replay(
     spark: SparkSession,
     sf_dir: str,
     build: Callable[[Logs], DataFrame],
     base: str,
     sink: Callable[[DataFrame, str, str], StreamingQuery] = append_stream,
+    feed: Callable[[DataFrame, str], None] = feed_in_any_order,
+    marks: bool = False,
 ) -> str:
-    """Run the stream ``build`` makes from the log streams of a folder of tables; give its result path.
-
-    State is split once, when a stream starts, by ``spark.sql.shuffle.partitions``; here into as
-    many parts as the session has cores.
-    """
-    spark.createDataFrame([], EVENTS_DDL).write.parquet(f"{base}/marks")
+    """Run the stream ``build`` makes from the log streams of a folder of tables; give its result path."""
+    own = stream_session(spark)
+    feed(own.read.parquet(f"{sf_dir}/events.parquet").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")]), f"{base}/events")
 
     def events() -> DataFrame:
-        # As a pattern the path may be one file or a folder of files. They come in no order of time,
-        # so all belong to one micro-batch, or the watermark would pass rows not yet read.
-        reader = spark.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 2**31 - 1)
-        stored = reader.parquet(f"{sf_dir}/events.parquet*")
-        marks = spark.readStream.schema(EVENTS_DDL).parquet(f"{base}/marks")
-        return prepare_events(stored.unionByName(marks))
+        reader = own.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 1)
+        return prepare_events(reader.parquet(f"{base}/events"))
 
     def run() -> None:
         logs = Logs(json_logs(events()), syslog_logs(events()), cef_logs(events()))
         sink(build(logs), f"{base}/result", f"{base}/checkpoint").awaitTermination()
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    use_rocksdb_state(spark).conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    try:
-        run()
-        spark.sql(MARKS).coalesce(1).write.mode("append").parquet(f"{base}/marks")
+    run()
+    if marks:
+        own.sql(MARKS).coalesce(1).write.mode("append").parquet(f"{base}/events")
         run()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for done in ("events", "checkpoint"):
+        remove(spark, f"{base}/{done}")
     return f"{base}/result"
 
 
-def replayed(spark: SparkSession, sf_dir: str, build: Callable[[Logs], DataFrame], name: str) -> DataFrame:
+def replayed(spark: SparkSession, sf_dir: str, build: Callable[[Logs], DataFrame], name: str, **options) -> DataFrame:
     """The rows a stream appends, as a table."""
-    return spark.read.parquet(replay(spark, sf_dir, build, scratch_dir(spark, name)))
+    return spark.read.parquet(replay(spark, sf_dir, build, scratch_dir(spark, name), **options))

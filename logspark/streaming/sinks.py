@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from logspark.operators.enrich import enrich_users
 from logspark.operators.infer import TextModel, ml_predict
-from logspark.operators.keyed import KeyedTable
+from logspark.operators.keyed import KeyedTable, upsert_latest
 from logspark.schemas import ENRICHED_FAILED_LOGINS_DDL, FAILED_LOGIN_ATTEMPTS_DDL, GENERATED_MESSAGES_DDL
 
 
@@ -98,7 +98,9 @@ def message_step(
 
     def step(matches: DataFrame, batch_id: int) -> None:
         spark = matches.sparkSession
-
+        # Matches of one instant are told apart by log_id, so a replay keeps the same one.
+        if "log_id" in matches.columns:
+            matches = upsert_latest(matches, "username", ("failure_time", "log_id"))
         tables.attempts.write(matches, batch_id)
         tables.enriched.write(enrich_users(tables.attempts.batch(spark, batch_id), users), batch_id)
         texts = tables.enriched.batch(spark, batch_id)

@@ -38,13 +38,20 @@ def test_periods():
 @pytest.mark.parametrize(
     "period, floor",
     [("PT1H", "2024-01-02 03:00:00"), ("PT30M", "2024-01-02 03:30:00"), ("P1D", "2024-01-02 00:00:00"),
-     ("PT15S", "2024-01-02 03:45:45")],
+     ("PT15S", "2024-01-02 03:45:45"), ("P1W", "2024-01-01 00:00:00"), ("P1M", "2024-01-01 00:00:00"),
+     ("P3M", "2024-01-01 00:00:00"), ("P1Y", "2024-01-01 00:00:00")],
 )
 def test_time_floor(spark, period, floor):
     df = spark.createDataFrame([(ts("2024-01-02 03:45:59.123"),)], "t timestamp")
     assert df.select(time_floor("t", period)).first()[0] == ts(floor)
 
 
+@pytest.mark.parametrize("period", ["P2M", "PT0S", "hour", "PT1X", ""])
+def test_time_floor_rejects_what_is_no_fixed_period(spark, period):
+    with pytest.raises(ValueError):
+        time_floor("t", period)
+
+
 def test_prefix_of_text_with_and_without_fraction(spark):
     df = spark.createDataFrame([("2024-01-02T03:04:05.000001+00:00",), ("2024-01-02T03:04:05+00:00",)], "t string")
     assert {r[0] for r in df.select(time_prefix("t", MINUTE)).collect()} == {"2024-01-02T03:04"}
@@ -82,7 +89,7 @@ def test_severity_that_is_no_number_is_not_high(spark):
     df = spark.createDataFrame(
         [cef_row("a", "7"), cef_row("b", "10"), cef_row("c", "abc"), cef_row("d", None), cef_row("e", "6")], CEF_DDL
     )
-    assert [r.event_name for r in act.high_severity(df).collect()] == ["b", "a"]
+    assert [r.event_name for r in act.high_severity(df, limit=10).collect()] == ["b", "a"]
 
 
 def test_incidents_by_status_or_word_and_case_matters(spark):
@@ -94,7 +101,7 @@ def test_incidents_by_status_or_word_and_case_matters(spark):
              (None, None), ("success", "x")]
         )
     ]
-    got = act.incidents(spark.createDataFrame(rows, ddl)).collect()
+    got = act.incidents(spark.createDataFrame(rows, ddl), limit=10).collect()
     assert [r.log_id for r in got] == ["3", "1", "0"]
 
 
@@ -114,7 +121,7 @@ def test_failure_sequences_keep_both_ends(spark):
 
 def test_frequency_counts_each_kind(spark):
     df = spark.createDataFrame([(ts("2024-01-01 00:29:59"),), (ts("2024-01-01 00:30:00"),)], "event_ts timestamp")
-    got = act.event_frequency({"A": df, "B": df.limit(1)}).collect()
+    got = act.event_frequency({"A": df, "B": df.limit(1)}, limit=10).collect()
     assert [(r.half_hour_bucket.minute, r.log_type, r.event_count) for r in got] == [
         (0, "A", 1), (0, "B", 1), (30, "A", 1)]
 

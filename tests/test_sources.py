@@ -11,7 +11,7 @@ from logspark.schemas import KINDS, LOG_DDL, TOPIC_RECORD_DDL, TOPICS, avro_sche
 from logspark.session import scratch_dir
 from logspark.sources import synth
 from logspark.sources.avro import decode_avro, encode_avro
-from logspark.sources.bronze import append_bronze, read_bronze, write_bronze
+from logspark.sources.bronze import append_bronze, read_bronze, replace_day, write_bronze
 from logspark.sources.ingest import ingest, project_dimensions, reject_outside, with_event_ts
 from logspark.sources.logs import log_table, read_log_stream, topic_options
 from logspark.sources.monitor import as_attribute_rows, latest_per_topic
@@ -153,7 +153,15 @@ def test_bronze_is_partitioned_by_day_and_a_range_prunes_days(spark, sf_small, t
     assert log_table(spark, path).count() == logs.count()
     days = [p for p in (tmp_path / "bronze").iterdir() if p.name.startswith("event_date=")]
     assert len(days) == logs.select("event_date").distinct().count()
-    assert all(len(list(day.glob("*.parquet"))) == 1 for day in days)
+    assert all(len(list(day.glob("part=*/*.parquet"))) == 1 for day in days)
+    again = logs.filter("event_date = '2024-01-10'")
+    append_bronze(again, path, part="late")
+    append_bronze(again, path, part="late")  # a second attempt
+    assert read_bronze(spark, path).count() == logs.count() + again.count()
+    replace_day(spark, path, "2024-01-10", again)
+    replace_day(spark, path, "2024-01-10")
+    assert sorted(map(tuple, read_bronze(spark, path).select("log_id").collect())) == sorted(map(tuple, logs.select("log_id").collect()))
+    assert len(list((tmp_path / "bronze" / "event_date=2024-01-10").glob("part=*/*.parquet"))) == 1
 
 
 def test_bronze_stream_goes_on_where_it_stopped(spark, sf_small, tmp_path):

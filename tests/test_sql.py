@@ -24,13 +24,20 @@ def sql(spark, sf_small):
 @pytest.mark.parametrize(
     "period, floor",
     [("PT1H", "2024-01-02 03:00:00"), ("PT30M", "2024-01-02 03:30:00"), ("P1D", "2024-01-02 00:00:00"),
-     ("PT1H30M", "2024-01-02 03:00:00")],
+     ("PT1H30M", "2024-01-02 03:00:00"), ("P1W", "2024-01-01 00:00:00"), ("P1M", "2024-01-01 00:00:00"),
+     ("P3M", "2024-01-01 00:00:00")],
 )
 def test_time_floor(sql, period, floor):
     got = sql(f"SELECT TIME_FLOOR(timestamp'2024-01-02 03:45:59.5', '{period}')").first()[0]
     assert got == datetime.fromisoformat(floor)
 
 
+@pytest.mark.parametrize("period", ["P2M", "PT0S", "hour", "PT"])
+def test_time_floor_rejects_what_is_no_period(sql, period):
+    with pytest.raises(Exception, match="time_floor: no period"):
+        sql(f"SELECT TIME_FLOOR(timestamp'2024-01-02 03:45:59.5', p) FROM VALUES ('{period}') AS t(p)").collect()
+
+
 def test_pairs_as_text(spark, sf_small, sql):
     got = sql("""
         SELECT TIME_FLOOR(a."__time", 'PT1H') AS time_window, a.source_ip, a.event_type, a.status,
