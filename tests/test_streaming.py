@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from logspark.fixtures import seed_users
 from logspark.operators.keyed import KeyedTable
-from logspark.operators.pattern import suspicious_logins
+from logspark.functions.time import time_prefix
+from logspark.operators.activity import activity
+from logspark.operators.pattern import login_pattern, suspicious_logins
 from logspark.schemas import FAILED_LOGIN_ATTEMPTS_DDL
-from logspark.streaming.batches import suspicious_logins_batches
+from logspark.streaming.batches import late_keys, repaired_matches, suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.running import fold_entries, running_totals, store_entries
 from logspark.streaming.sinks import BatchTable, LoginTables, append_stream, login_messages_stream, upsert_stream
@@ -83,7 +85,7 @@ def test_pattern_over_several_runs(spark, few_partitions, tmp_path, form):
     for low, high in ((0, 25), (25, 60)):
         feed.put(everything.filter((F.col("event_time") >= minute(low)) & (F.col("event_time") < minute(high))))
         run()
-    # Behind the watermark: would break the runs, but is not seen.
+    # Behind the watermark: would break the runs; the keyed form does not see them, the other sets them aside.
     feed.put(everything.filter(F.col("event_time") < minute(10)).withColumn("status", F.lit("success")))
     run()
     feed.put(closing(spark, everything.schema).select(*everything.columns))
@@ -94,6 +96,41 @@ def test_pattern_over_several_runs(spark, few_partitions, tmp_path, form):
     assert ("c", 59) in {(r.username, r.warning_count) for r in got.collect()}
 
 
+def test_late_rows_are_counted_and_their_keys_repaired(spark, few_partitions, tmp_path):
+    everything = timed(logs(spark, {"a": "WWWFWWWWWF", "b": "WWWWxWWWFx"}))
+    in_time = timed(logs(spark, {"c": "WWWWWWWWWF"}))
+    rows = everything.unionByName(in_time)
+    feed = Feed(spark, tmp_path, rows.schema)
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    halves = F.col("event_time") >= minute(5)
+    for part in (rows.filter(halves), everything.filter(~halves), in_time.filter(~halves).withColumn("event_ts", F.lit(None).cast("timestamp")).limit(1),
+                 closing(spark, rows.schema).select(*rows.columns)):
+        feed.put(part)
+        suspicious_logins_batches(
+            feed.stream(), state, feed.checkpoint, BatchTable(out).write, watermark="1 minute", partitions=2
+        ).awaitTermination()
+    late = late_keys(spark, state, ["username"])
+    assert {(r.username, r.late_rows) for r in late.collect()} == {("a", 5), ("b", 5), ("c", 1)}
+    want = suspicious_logins(rows)
+    found = spark.read.parquet(out).drop("batch_id")
+    assert found.count() != want.count()
+    got = repaired_matches(found, late, rows, **login_pattern())
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_totals_bucket_by_the_text_and_count_late_rows(spark, tmp_path):
+    """The text and the event time of a row come from two clocks and may fall into two buckets."""
+    df = timed(logs(spark, {"a": "WWWF"})).withColumn("timestamp", F.lit("2024-01-01T00:00:59.999900+00:00"))
+    feed, path = Feed(spark, tmp_path, df.schema), str(tmp_path / "out")
+    for part in (df.filter("status = 'failure'"), df.filter("status != 'failure'")):
+        feed.put(part)
+        rows = feed.stream().withColumn("time_window", time_prefix("timestamp"))
+        store_entries(rows, path, feed.checkpoint, ["time_window", "status"], {"users": "username"}).awaitTermination()
+    got = {tuple(r) for r in running_totals(spark, path, ["time_window", "status"], {"users": "username"}).collect()}
+    want = activity(df, ["status"], {"users": "username"}, min_count=0)
+    assert got == {tuple(r) for r in want.collect()} == {("2024-01-01T00:00", "warning", 3, 1), ("2024-01-01T00:00", "failure", 1, 1)}
+
+
 def test_batch_of_the_pattern_can_run_again(spark, tmp_path):
     """What a failure leaves behind is replaced: the same batch after its state was written."""
     everything = timed(logs(spark, {"a": "WWWWFWWWF", "b": "W" * 9}))
