@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logspark.fixtures import Logs, load_logs, prepare_events, seed_users
 from logspark.functions.time import DAY, HOUR, time_floor, time_prefix
 from logspark.operators import activity as act, pattern
-from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, ip_incidents, total_pairs
+from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, ip_incidents, recent_ip_pairs, total_pairs
 from logspark.operators.feed import event_feed
+from logspark.operators.keyed import append_into, materialize
 from logspark.plans import analytics as an, charts
 from logspark.schemas import TOPICS
 from logspark.session import scratch_dir, use_utc
 from logspark.sources import synth
 from logspark.sources.bronze import append_bronze, read_bronze, replace_day, write_bronze
-from logspark.sources.ingest import ingest
-from logspark.sources.logs import decode_topic
+from logspark.sources.ingest import ingest, reject_outside
+from logspark.sources.logs import decode_topic, log_table
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
@@ -198,6 +199,20 @@ def bronze_stream(kind: str) -> Query:
     return run
 
 
+def created_and_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from a query, with the same rows inserted again."""
+    path = scratch_dir(use_utc(spark), "created")
+    rows = an.failure_sequences(load_logs(spark, sf_dir))
+    materialize(rows, path)
+    append_into(rows, path)
+    stored = log_table(spark, path).groupBy("source_ip", "event_sequence_sample")
+    return stored.agg(F.sum("event_count").alias("event_count"), F.count("*").alias("n_rows"))
+
+
+def feed_of(logs: Logs) -> DataFrame:
+    return event_feed(logs.json, logs.syslog, logs.cef)
+
+
 # Rows of one user in one slot must fit a task.
 SLOT = "1 minute"
 
@@ -227,6 +242,8 @@ QUERIES: dict[str, Query] = {
     "d1_ip_correlation_recent": over_logs(partial(an.ip_correlation_recent, as_of=AS_OF), DAY_AGO, AS_OF),
     "d1_ip_correlation_recent_all": over_logs(
         partial(an.ip_correlation_recent, as_of=AS_OF, limit=None), DAY_AGO, AS_OF),
+    "d1_ip_correlation_split_keys": over_logs(
+        lambda logs: recent_ip_pairs(logs.json, logs.cef, DAY_AGO, AS_OF, share=5, min_rows=10), DAY_AGO, AS_OF),
     "d2_event_frequency": over_logs(partial(an.event_frequency, limit=None)),
     "d2_event_frequency_first": over_logs(an.event_frequency),
     "d3_ip_incidents": over_logs(lambda logs: ip_incidents(logs.json, logs.cef, limit=50)),
@@ -243,6 +260,16 @@ QUERIES: dict[str, Query] = {
         lambda logs: charts.top_sources_chart(event_feed(logs.json, logs.syslog, logs.cef), AS_OF), WEEK_AGO, AS_OF),
     "c4_incident_timeline": over_logs(
         lambda logs: charts.incident_timeline_chart(logs.json, logs.cef, AS_OF), WEEK_AGO, AS_OF),
+    "c2_frequency_by_type_all": over_logs(
+        lambda logs: charts.event_frequency_chart(feed_of(logs), AS_OF, row_limit=None), WEEK_AGO, AS_OF),
+    "c3_top_sources_all": over_logs(
+        lambda logs: charts.top_sources_chart(feed_of(logs), AS_OF, row_limit=None), WEEK_AGO, AS_OF),
+    "c3_top_sources_second_page": over_logs(lambda logs: charts.top_sources_page(feed_of(logs), 1, AS_OF), WEEK_AGO, AS_OF),
+    "c4_incident_timeline_all": over_logs(
+        lambda logs: charts.incident_timeline_chart(logs.json, logs.cef, AS_OF, row_limit=None), WEEK_AGO, AS_OF),
+    "s9_recent_json": over_logs(
+        lambda logs: reject_outside(logs.json, "P7D", "P1D", AS_OF).select("log_id", "timestamp")),
+    "s21_created_and_inserted": created_and_inserted,
     "k1_latest_per_topic": over_logs(an.newest_records),
     "k2_attribute_rows": over_logs(lambda logs: as_attribute_rows(an.newest_json_log(logs))),
     "g1_synth_logs": lambda spark, sf_dir: synth.flat_logs(synth.synth_logs(_ids(spark, sf_dir), seed=42)),

@@ -334,6 +334,16 @@ from c group by 1, 2"""),
         "c2_frequency_by_type": _with(FEED, select=C2),
         "c3_top_sources": _with(FEED, select=C3),
         "c4_incident_timeline": _with(PAIRS, select=C4),
+        "d1_ip_correlation_split_keys": _with(PAIRS, select=D1),
+        "c2_frequency_by_type_all": _with(FEED, select=C2.replace(" limit 10000", "")),
+        "c3_top_sources_all": _with(FEED, select=C3.replace(" limit 10000", "")),
+        "c3_top_sources_second_page": _with(FEED, select=C3.replace(" limit 10000", " limit 25 offset 25")),
+        "c4_incident_timeline_all": _with(PAIRS, select=C4.replace(" limit 10000", "")),
+        "s9_recent_json": _with(select=f"""
+select log_id, "timestamp" from j where event_ts >= timestamp '{AS_OF}' - interval 7 day
+  and event_ts <= timestamp '{AS_OF}' + interval 1 day"""),
+        "s21_created_and_inserted": _with(select=f"""
+select source_ip, event_sequence_sample, cast(2 * event_count as bigint) as event_count, cast(2 as bigint) as n_rows from ({D4})"""),
         "k1_latest_per_topic": _with(RECORDS, select=K1),
         "k2_attribute_rows": _with(select=K2),
         "g1_synth_logs": generated(42, pooled=True),

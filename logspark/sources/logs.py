@@ -40,12 +40,12 @@ def read_log_stream(
 ) -> DataFrame:
     """Logs of one kind as a stream, with the declared schema.
 
-    ``fmt="kafka"`` takes the options of ``read_topic_stream`` and drops undecodable values (use
-    ``sources.quarantine`` to keep them). Any other format is a folder of files.
+    ``fmt="kafka"`` takes the options of ``read_topic_stream``; a value that cannot be decoded stays, as hex
+    in ``undecoded`` beside null columns. Any other format is a folder of files.
     """
     if fmt == "kafka":
         decoded = decode_topic(read_topic_stream(spark, kind, **options), kind)
-        return decoded.filter(F.col("record").isNotNull()).select("record.*")
+        return decoded.select("record.*", F.when(F.col("record").isNull(), F.hex("value")).alias("undecoded"))
     return spark.readStream.format(fmt).schema(log_schema(kind)).options(**options).load(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.sources.ingest import ingest
@@ -59,8 +59,9 @@ def quarantine(
     """Store good records as ingested logs and bad ones as hex; stop when too many are bad.
 
     Every batch writes its own partitions and replaces them as a whole, so a replayed batch
-    stores its rows once. Bad records are counted over all batches from the stored table, which
-    the limit keeps small; they are stored before the job stops.
+    stores its rows once. Bad records are stored and counted per batch, and the counts are added up,
+    before the job stops; the error names the first of the bad records, which are also stored
+    beside them (``-sample``).
     """
     policy = policy or POLICIES[kind]
     bad_schema = "topic string, partition int, offset long, raw_hex string, batch_id long"
@@ -74,15 +75,29 @@ def quarantine(
             _replace(bad_records(decoded).withColumn("batch_id", F.lit(batch_id)), bad_path, ["batch_id"])
         finally:
             decoded.unpersist()
-        stored = spark.read.schema(bad_schema).parquet(bad_path).filter(F.col("batch_id") <= batch_id)
-        count = stored.count()
+        stored = spark.read.schema(bad_schema).option("basePath", bad_path)
+        counts = f"{bad_path}-counts"
+        new = stored.parquet(f"{bad_path}/batch_id={batch_id}") if _exists(spark, f"{bad_path}/batch_id={batch_id}") else None
+        number = F.lit(0).cast("long") if new is None else F.lit(new.count())
+        _replace(spark.range(1).select(number.alias("n"), F.lit(batch_id).alias("batch_id")), counts, ["batch_id"])
+        # One small number per batch; records that were stored before are not read again.
+        known = spark.read.schema("n long, batch_id long").parquet(counts).filter(F.col("batch_id") <= batch_id)
+        count = known.agg(F.sum("n")).first()[0]
         if count > policy.max_bad:
-            raise TooManyBadRecords(f"{count} bad {kind} records, limit {policy.max_bad}")
+            sample = f"{bad_path}-sample"
+            saved_sample(stored.parquet(bad_path), policy).write.mode("overwrite").parquet(sample)
+            first = [f"{r.topic}/{r.partition}/{r.offset}" for r in spark.read.parquet(sample).collect()]
+            raise TooManyBadRecords(f"{count} bad {kind} records, limit {policy.max_bad}, among them {', '.join(first)}")
 
     writer = raw.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def _replace(df: DataFrame, path: str, partition_by: list[str]) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)

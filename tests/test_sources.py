@@ -221,9 +221,10 @@ def test_no_bad_records(spark, sf_small, tmp_path):
 
 
 def test_too_many_bad_records_stop_the_job(spark, sf_small, tmp_path):
-    with pytest.raises(StreamingQueryException, match="7 bad json records, limit 6"):
+    with pytest.raises(StreamingQueryException, match="7 bad json records, limit 6, among them .*/0/0, .*/0/1, .*/0/2"):
         run_quarantine(spark, tmp_path, raw_records(spark, sf_small, broken=7), BadRecordPolicy(6, 3), "over")
     assert spark.read.parquet(str(tmp_path / "over-bad")).count() == 7
+    assert spark.read.parquet(str(tmp_path / "over-bad-sample")).count() == 3
 
 
 def test_limits_per_kind():
