@@ -186,8 +186,11 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
     listed = saved(known.mapInArrow(partial(_list_segments, width=width), SEGMENTS), "segments")
     shared = listed.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
     one = F.struct("doc_id", "row", "start", "windows")
+    # A segment's words name its anchor. Grouped by the digest alone, the rows of a common anchor are
+    # combined where the join, split if need be, leaves them, and then dealt anew.
     segments = saved(
-        listed.join(shared, "anchor", "left_semi").groupBy(*KEY).agg(F.min(one).alias("at")), "distinct-segments"
+        listed.join(shared, "anchor", "left_semi").groupBy("s1", "s2")
+        .agg(F.min("anchor").alias("anchor"), F.min(one).alias("at")), "distinct-segments",
     )
     per_anchor = segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     wanted = saved(
