@@ -32,7 +32,7 @@ from logspark.llm.words import EXACT, NOT_SPACE, Words, scramble, string_bytes,
 RUN, SEGMENT = 8, 64
 #: Words of a shard on average; segments of an anchor that are indexed, at most.
 SHARD_WORDS, ANCHOR_SEGMENTS = 300_000, 2_000
-#: Rows or spans that are broadcast in place of a join of texts: about 50 bytes each, 10 MB in all.
+#: Document keys that are broadcast in place of a join of texts: 16 bytes each, under 10 MB in all.
 BROADCAST_ROWS = 200_000
 KEY = ["anchor", "s1", "s2"]
 SEGMENTS = "anchor long, s1 long, s2 long, doc_id long, row long, start int, windows int"
@@ -166,10 +166,8 @@ def _by_digest(cut: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _matching(left: DataFrame, right: DataFrame, how: str, weight: Column | None = None) -> DataFrame:
-    """Join by document row; the right side is broadcast if it is counted to be small (``weight`` per row, or one)."""
-    if (right.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0) <= BROADCAST_ROWS:
-        right = F.broadcast(right)
+def _matching(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by document row."""
     return left.join(right, [left["doc_id"].eqNullSafe(right["k_doc"]), left["row"] == right["k_row"]], how)
 
 
@@ -198,7 +196,10 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
         .select("at.doc_id", "at.row", F.struct(*KEY, "at.start", "at.windows", (F.col("n") > ANCHOR_SEGMENTS).alias("many")).alias("w"))
         .groupBy(*_keys()).agg(F.array_sort(F.collect_list("w")).alias("wanted")), "wanted",
     )
-    holders = _matching(known, wanted.select("k_doc", "k_row"), "left_semi").dropDuplicates(["doc_id", "row"])
+    keys = wanted.select("k_doc", "k_row")
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    holders = _matching(known, keys, "left_semi").dropDuplicates(["doc_id", "row"])
     cut = saved(
         holders.join(wanted, (holders["doc_id"] == wanted["k_doc"]) & (holders["row"] == wanted["k_row"]))
         .select("doc_id", "text", "wanted")
@@ -254,7 +255,7 @@ def remove_repeated(docs: DataFrame, width: int = 50, texts: bool = False) -> Da
     """
     rows = only(docs, doc_id="long", text="string").withColumn("row", F.xxhash64("text"))
     spans = saved(repeated_spans(rows, width), "spans")
-    return _matching(rows, spans, "left", 2 + F.size("spans")).select("doc_id", "text", "spans").mapInArrow(
+    return _matching(rows, spans, "left").select("doc_id", "text", "spans").mapInArrow(
         partial(_keep, texts=texts),
         "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts,
     )
