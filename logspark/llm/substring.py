@@ -182,7 +182,11 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
     """
     known = docs.where("doc_id is not null and text is not null")
     listed = saved(known.mapInArrow(partial(_list_segments, width=width), SEGMENTS), "segments")
-    shared = listed.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
+    # Written, as are the other small sides below: a join splits a hot key only where both its sides are dealt for it.
+    shared = saved(
+        listed.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor"),
+        "shared-anchors",
+    )
     one = F.struct("doc_id", "row", "start", "windows")
     # A segment's words name its anchor. Grouped by the digest alone, the rows of a common anchor are
     # combined where the join, split if need be, leaves them, and then dealt anew.
@@ -190,7 +194,7 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
         listed.join(shared, "anchor", "left_semi").groupBy("s1", "s2")
         .agg(F.min("anchor").alias("anchor"), F.min(one).alias("at")), "distinct-segments",
     )
-    per_anchor = segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    per_anchor = saved(segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
     wanted = saved(
         segments.join(per_anchor, "anchor")
         .select("at.doc_id", "at.row", F.struct(*KEY, "at.start", "at.windows", (F.col("n") > ANCHOR_SEGMENTS).alias("many")).alias("w"))
@@ -213,7 +217,7 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
         partial(_search_shard, width=width), "anchor long, s1 long, s2 long, a int, b int"
     ).unionAll(_by_digest(cut.where("many"), width))
     ranges = found.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
-    facts = segments.select(*KEY, F.col("at.doc_id").alias("least")).join(ranges, KEY, "left")
+    facts = saved(segments.select(*KEY, F.col("at.doc_id").alias("least")).join(ranges, KEY, "left"), "facts")
     hit = F.when(F.col("doc_id") > F.col("least"), F.array(F.struct(F.lit(0).alias("a"), F.col("windows").alias("b")))).otherwise(F.col("ranges"))
     return (
         listed.join(facts, KEY).select(*_keys(), "start", F.explode(hit).alias("r"))
