@@ -347,6 +347,52 @@ def test_near_copies_leave_one(spark, monkeypatch):
     assert near_copies.largest_distance(1.0) == 0 and near_copies.largest_distance() == 77
 
 
+def five_word_sets(rows):
+    out = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        out.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    return out
+
+
+def first_of_exact_groups(rows):
+    """Least id of each group that links of exact Jaccard 0.8 make."""
+    sets, parent = five_word_sets(rows), list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {rows[root(i)][0] for i in range(len(rows))}
+
+
+def stay(spark, rows):
+    return sorted(r.doc_id for r in near_copies.without_near_copies(docs_of(spark, rows).repartition(4)).collect())
+
+
+def fresh_words(rng):
+    return lambda n: ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
+
+
+def test_near_copies_of_blocks_and_edits_are_found(spark):
+    rng = random.Random(5)
+    fresh, rows = fresh_words(rng), []
+    for pair in range(120):
+        base = fresh(200)
+        other = base + fresh(rng.randrange(20, 60)) if pair % 2 else list(base)
+        for _ in range(0 if pair % 2 else rng.randrange(2, 6)):
+            other[rng.randrange(200)] = fresh(1)[0]
+        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(other))]
+    want = first_of_exact_groups(rows)
+    assert 120 < len(want) < 200
+    assert stay(spark, rows) == sorted(want)
+
+
 # --- quality -------------------------------------------------------------------------------------
 
 
