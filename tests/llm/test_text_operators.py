@@ -393,6 +393,17 @@ def test_near_copies_of_blocks_and_edits_are_found(spark):
     assert stay(spark, rows) == sorted(want)
 
 
+def test_repeated_lines_and_templates_join_no_texts(spark):
+    rng = random.Random(6)
+    fresh = fresh_words(rng)
+    line, template = fresh(10), fresh(172)
+    rows = [(i, " ".join(fresh(150) + line * 40)) for i in range(12)]
+    rows += [(100 + i, " ".join(template + fresh(24))) for i in range(120)]
+    want = first_of_exact_groups(rows)
+    assert len(want) == len(rows)
+    assert stay(spark, rows) == sorted(want)
+
+
 # --- quality -------------------------------------------------------------------------------------
 
 
