@@ -404,6 +404,26 @@ def test_repeated_lines_and_templates_join_no_texts(spark):
     assert stay(spark, rows) == sorted(want)
 
 
+def test_copies_in_large_buckets_are_found(spark, monkeypatch):
+    rng = random.Random(7)
+    fresh = fresh_words(rng)
+    template, many, rows = fresh(172), fresh(200), []
+    for i in range(60):
+        own = fresh(28)
+        rows += [(2 * i, " ".join(template + own)), (2 * i + 1, " ".join(template + own[:16] + fresh(12)))]
+    for i in range(80):
+        words = list(many)
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(200)] = fresh(1)[0]
+        rows.append((1000 + i, " ".join(words)))
+    want = first_of_exact_groups(rows)
+    assert {2 * i for i in range(60)} <= want and len(want) < 130
+    for paired, leaders in ((32, 8), (2, 1)):
+        monkeypatch.setattr(near_copies, "PAIRED", paired)
+        monkeypatch.setattr(near_copies, "LEADERS", leaders)
+        assert stay(spark, rows) == sorted(want)
+
+
 # --- quality -------------------------------------------------------------------------------------
 
 
