@@ -25,15 +25,17 @@ WORD_BEFORE, WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
-PHONE = rf"(?<![\p{{L}}\p{{N}}+])\+(?:1[ .-]?\(?[0-9]{{3}}\)?[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}|[2-9][0-9](?:[ .-]?\(?[0-9]{{1,4}}\)?)(?:[ .-]?[0-9]{{2,4}}){{2,4}}){WORD_AFTER}"
+PHONE = rf"(?<![\p{{L}}\p{{N}}+])\+(?:1[ .-]?\(?[0-9]{{3}}\)?[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}|(?:7|[2-9][0-9]{{1,2}})(?:[ .-]?\(?[0-9]{{1,4}}\)?)(?:[ .-]?[0-9]{{2,4}}){{2,4}}){WORD_AFTER}"
 CARD = rf"{WORD_BEFORE}(?<![0-9][.-])(?:[0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{1,7}}){WORD_AFTER}"
 SSN = rf"{WORD_BEFORE}(?<![0-9][.-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{WORD_AFTER}(?!-[0-9])"
 IP = rf"{WORD_BEFORE}(?<![0-9][.])(?:{OCTET}\.){{3}}{OCTET}{WORD_AFTER}(?!\.[0-9])"
 PERSON = rf"{WORD_BEFORE}{TITLE}\.?[ ]{NAME}(?:[ ]{NAME})?{WORD_AFTER}"
 #: Most specific first; the group of CARD is the only one.
 ENTITY = f"{EMAIL}|{PHONE}|{CARD}|{SSN}|{IP}|{PERSON}"
+#: Country codes of one and two digits; all others have three.
+COUNTRY = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 #: What every entity holds something of.
-HINT = f"@|[0-9]{{4}}|[0-9]\\.[0-9]|{TITLE}"
+HINT = f"@|\\+[0-9]|[0-9]{{4}}|[0-9]\\.[0-9]|{TITLE}"
 
 ALPHABETS = (
     ("abcdefghijklmnopqrstuvwxyz", "[a-z]"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "[A-Z]"), ("0123456789", "[0-9]"),
@@ -141,7 +143,7 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
         F.when(F.length(o) == 1, byte(i) % 10).when(F.length(o) == 2, byte(i) % 90 + 10).otherwise(byte(i) % 156 + 100)
     ).cast("string")), ".")
     last_dot = F.length(norm) - F.length(F.substring_index(norm, ".", -1))
-    kept = F.when(norm.startswith("1"), 1).otherwise(2)
+    kept = F.length(F.regexp_extract(norm, f"^(?:{COUNTRY}|[0-9]{{3}})", 0))
     body = F.concat(F.substring(norm, 1, 1), redrawn(F.substring(norm, F.lit(2), F.length(norm) - 2)))
     card = _bound(body, lambda b: F.concat(b, ((10 - luhn_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
     out = (

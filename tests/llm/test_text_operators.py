@@ -520,6 +520,28 @@ def test_surrogates_keep_type_and_format(spark):
     assert pii.replace_personal_data(frame.limit(0), "k").count() == 0
 
 
+def test_phones_of_all_country_codes(spark):
+    codes = {"+33 1 42 68 53 00": 2, "+34 612 345 678": 2, "+49 30 123 456": 2, "+351 912 345 678": 3, "+7 901 234-56-78": 1, "+1 988 555 24 85": None}
+    got = {r.doc_id: r for r in pii.replace_personal_data(docs_of(spark, [(i, f"call {x} now") for i, x in enumerate(codes)]), "k").collect()}
+    for i, (phone, kept) in enumerate(codes.items()):
+        if kept is None:
+            assert (got[i].text, got[i].n_replaced) == (f"call {phone} now", 0)
+            continue
+        assert got[i].n_replaced == 1 and phone not in got[i].text and got[i].text.startswith("call " + phone[: kept + 1])
+        assert re.sub(r"\d", "9", got[i].text) == re.sub(r"\d", "9", f"call {phone} now")
+
+
+def test_each_kind_of_entity_has_a_hint(spark):
+    samples = {
+        pii.EMAIL: ["a@b.cd"], pii.PHONE: ["+33 1 42 68 53 00", "+7 90 12 34", "+1 (988) 555-2485"], pii.CARD: ["4041894974608795", "4041 8949 7460 8"],
+        pii.SSN: ["123-45-6789"], pii.IP: ["1.2.3.4"], pii.PERSON: [f"{t} Abc" for t in f"{pii.FEMALE}|{pii.MALE}|{pii.NEUTRAL}".split("|")],
+    }
+    assert "|".join(samples) == pii.ENTITY
+    for kind, texts in samples.items():
+        frame = spark.createDataFrame([(t,) for t in texts], "t string")
+        assert frame.where(F.col("t").rlike(f"^(?:{kind})$") & F.col("t").rlike(pii.HINT)).count() == len(texts)
+
+
 def test_surrogates_stay_distinct_when_they_run_out(spark):
     """All addresses of a small range: candidates clash with each other and with entities."""
     entities = spark.createDataFrame([("ip", f"{a}.{b}.1.1") for a in range(10) for b in range(10)], "kind string, norm string")
