@@ -22,6 +22,8 @@ NEUTRAL = "Dr|Prof|Doctor|Professor"
 TITLE = rf"(?:{FEMALE}|{MALE}|{NEUTRAL})"
 NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 WORD_BEFORE, WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+#: A part of a name.
+WORD = r"[\p{L}'’-]+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
@@ -29,7 +31,9 @@ PHONE = rf"(?<![\p{{L}}\p{{N}}+])\+(?:1[ .-]?\(?[0-9]{{3}}\)?[ .-]?[0-9]{{3}}[ .
 CARD = rf"{WORD_BEFORE}(?<![0-9][.-])(?:[0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{1,7}}){WORD_AFTER}"
 SSN = rf"{WORD_BEFORE}(?<![0-9][.-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{WORD_AFTER}(?!-[0-9])"
 IP = rf"{WORD_BEFORE}(?<![0-9][.])(?:{OCTET}\.){{3}}{OCTET}{WORD_AFTER}(?!\.[0-9])"
-PERSON = rf"{WORD_BEFORE}{TITLE}\.?[ ]{NAME}(?:[ ]{NAME})?{WORD_AFTER}"
+TITLE_GAP = r"(?:\.[ \t\u00A0]*|[ \t\u00A0]+)"
+INITIAL = r"\p{Lu}\.[ ]?"
+PERSON = rf"{WORD_BEFORE}{TITLE}{TITLE_GAP}(?:{INITIAL}){{0,3}}{NAME}(?:[ ](?:{INITIAL}){{0,3}}{NAME})?{WORD_AFTER}"
 #: Most specific first; the group of CARD is the only one.
 ENTITY = f"{EMAIL}|{PHONE}|{CARD}|{SSN}|{IP}|{PERSON}"
 #: Country codes of one and two digits; all others have three.
@@ -74,21 +78,50 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def _title(entity: Column) -> Column:
+    return F.regexp_extract(entity, rf"^{TITLE}{TITLE_GAP}(?=\p{{Lu}})", 0)
+
+
+def _is_name(entity: Column) -> Column:
+    return entity.rlike(r"^\p{Lu}") & ~entity.contains("@")
+
+
+def _expression(entities: Column) -> Column:
+    """ENTITY, and where names were found after titles, their further mentions: full names and surnames, also in capitals."""
+    persons = F.filter(entities, _is_name)
+    full = F.transform(persons, lambda e: F.substring(e, F.length(_title(e)) + 1, F.length(e)))
+    names = F.array_union(full, F.transform(full, lambda f: F.substring_index(F.substring_index(f, " ", -1), ".", -1)))
+    names = F.array_union(names, F.transform(names, F.upper))
+    longest = F.reverse(F.array_sort(F.transform(names, lambda x: F.struct(F.length(x).alias("n"), x.alias("x")))))
+    quoted = F.array_join(F.transform(longest, lambda x: F.concat(F.lit(r"\Q"), x["x"], F.lit(r"\E"))), "|")
+    mention = F.concat(F.lit(f"{ENTITY}|{WORD_BEFORE}(?:"), quoted, F.lit(f"){WORD_AFTER}"))
+    return F.when(F.size(persons) > 0, mention).otherwise(ENTITY)
+
+
+def _one_gender(units: Column) -> Column:
+    """A given name of a text is one kind, whatever titles it follows; a title with a gender decides."""
+    def kind(u: Column) -> Column:
+        alike = F.filter(units, lambda o: o["kind"].startswith("given_") & (o["norm"] == u["norm"]))
+        return F.when(u["kind"].startswith("given_"), F.array_min(F.transform(alike, lambda o: o["kind"]))).otherwise(u["kind"])
+    return F.transform(units, lambda u: u.withField("kind", kind(u)))
+
+
 def _units(prefix: Column, entity: Column) -> Column:
     """An entity as (text before, kind, normal form, as written); without kind it stays as it is."""
     def unit(before: Column, kind: Column, norm: Column, raw: Column) -> Column:
         return F.struct(before.alias("before"), kind.alias("kind"), norm.alias("norm"), raw.alias("raw"))
 
-    title = F.regexp_extract(entity, rf"^({TITLE})\.?[ ]", 0)
-    gender = F.when(title.rlike(rf"^(?:{FEMALE})\.?[ ]"), "f").when(title.rlike(rf"^(?:{MALE})\.?[ ]"), "m").otherwise("n")
-    rest = F.split(F.substring(entity, F.length(title) + 1, F.length(entity)), " ")
-    last = F.element_at(rest, -1)
-    surname = lambda before: unit(before, F.lit("surname"), F.lower(last), last)
-    person = F.when(
-        F.size(rest) == 1, F.array(surname(F.concat(prefix, title)))
-    ).otherwise(F.array(
-        unit(F.concat(prefix, title), F.concat(F.lit("given_"), gender), F.lower(rest[0]), rest[0]), surname(F.lit(" "))
-    ))
+    title = _title(entity)
+    gender = F.when(title.rlike(rf"^(?:{FEMALE}){TITLE_GAP}$"), "f").when(title.rlike(rf"^(?:{MALE}){TITLE_GAP}$"), "m").otherwise("n")
+    rest = F.substring(entity, F.length(title) + 1, F.length(entity))
+    gaps = F.split(rest, WORD)
+
+    def name(words: Column) -> Column:
+        return F.transform(words, lambda w, i: unit(
+            F.concat(F.when(i == 0, F.concat(prefix, title)).otherwise(""), F.get(gaps, i)),
+            F.when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("given_"), gender)), F.lower(w), w,
+        ))
+    person = _bound(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0)), name)
     number = _digits(entity)
     kind = (
         F.when(entity.contains("@"), "email").when(entity.startswith("+"), "phone")
@@ -96,7 +129,7 @@ def _units(prefix: Column, entity: Column) -> Column:
         .when(luhn_sum(number) % 10 == 0, "card")
     )
     norm = F.when(kind == "email", F.lower(entity)).when(kind == "ip", entity).otherwise(number)
-    return F.when(title != "", person).otherwise(F.array(unit(prefix, kind, norm, entity)))
+    return F.when(_is_name(entity), person).otherwise(F.array(unit(prefix, kind, norm, entity)))
 
 
 def find_entities(texts: DataFrame) -> DataFrame:
@@ -105,10 +138,15 @@ def find_entities(texts: DataFrame) -> DataFrame:
         texts.where(F.col("text").rlike(HINT))
         .withColumn("entities", F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
         .where(F.size("entities") > 0)
-        .withColumn("plain", F.split("text", ENTITY, -1))
+        .withColumn("expression", _expression(F.col("entities")))
+        .withColumn("entities", F.when(F.col("expression") == ENTITY, F.col("entities")).otherwise(
+            F.regexp_extract_all("text", F.col("expression"), F.lit(0))
+        ))
+        .withColumn("plain", F.split("text", F.col("expression"), -1))
         .withColumn("units", F.flatten(F.transform("entities", lambda e, i: _units(F.get("plain", i), e))))
         .withColumn("tail", F.element_at("plain", -1))
-        .drop("entities", "plain")
+        .withColumn("units", F.when(F.exists("units", lambda u: u["kind"].startswith("given_")), _one_gender(F.col("units"))).otherwise(F.col("units")))
+        .drop("entities", "plain", "expression")
     )
 
 
@@ -185,6 +223,7 @@ def _written(kind: Column, raw: Column, value: Column) -> Column:
     cased = F.when(upper, F.upper(value)).otherwise(F.concat(F.upper(F.substring(value, 1, 1)), F.substring(value, F.lit(2), F.length(value))))
     return (
         F.when(value.startswith("["), value).when(kind.isin("phone", "card", "ssn"), digits)
+        .when(kind.startswith("given") & (F.length(raw) == 1), F.upper(F.substring(value, 1, 1)))
         .when(kind.startswith("given") | (kind == "surname"), cased)
         .when(upper, F.upper(value)).otherwise(value)
     )
@@ -215,7 +254,8 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, the text with surrogates, and ``n_replaced``. ``key`` decides on the surrogates; keep it secret.
 
     Kinds: e-mail addresses, phone numbers with a country code, card numbers that pass their check,
-    social security numbers, IPv4 addresses, and names after a title. Null stays null, texts without
+    social security numbers, IPv4 addresses, and names after a title, with further mentions of
+    the full name or surname in the same text. Null stays null, texts without
     entities stay as they are, repeated rows are treated alike. Extra columns are dropped.
     """
     return replaced(only(docs, doc_id="long", text="string"), key)

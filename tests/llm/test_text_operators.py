@@ -542,6 +542,21 @@ def test_each_kind_of_entity_has_a_hint(spark):
         assert frame.where(F.col("t").rlike(f"^(?:{kind})$") & F.col("t").rlike(pii.HINT)).count() == len(texts)
 
 
+def test_later_mentions_of_a_name_get_its_surrogate(spark):
+    rows = [
+        (1, "Dr. Maria Lopez spoke. Maria Lopez left, Lopez said; LOPEZ, Lopezia and lopez."), (2, "Lopez said"),
+        (3, "Mr. J. Smith, Mr\tSmith and Mr.  Smith; J. Smith"), (4, "Dr. Maria Lopez and Mrs. Maria Lopez"),
+    ]
+    got = {r.doc_id: r for r in pii.replace_personal_data(docs_of(spark, rows), "k").collect()}
+    found = re.fullmatch(r"Dr\. (\w+) (\w+) spoke\. (\w+) (\w+) left, (\w+) said; (\w+), Lopezia and lopez\.", got[1].text)
+    assert found[1] == found[3] != "Maria" and found[2] == found[4] == found[5] == found[6].capitalize() != "Lopez" and found[6].isupper()
+    assert got[1].n_replaced == 6 and got[2].text == "Lopez said"
+    found = re.fullmatch(r"Mr\. (\w)\. (\w+), Mr\t(\w+) and Mr\.  (\w+); (\w)\. (\w+)", got[3].text)
+    assert found[2] == found[3] == found[4] == found[6] != "Smith" and found[1] == found[5]
+    found = re.fullmatch(r"Dr\. (\w+a) (\w+) and Mrs\. (\w+) (\w+)", got[4].text)
+    assert found[1] == found[3] != "Maria" and found[2] == found[4]
+
+
 def test_surrogates_stay_distinct_when_they_run_out(spark):
     """All addresses of a small range: candidates clash with each other and with entities."""
     entities = spark.createDataFrame([("ip", f"{a}.{b}.1.1") for a in range(10) for b in range(10)], "kind string, norm string")
