@@ -11,6 +11,8 @@ from logspark.llm import sql
 from logspark.llm.chat import format_chats
 from logspark.llm.common import only, table
 from logspark.llm.decontaminate import find_contamination
+from logspark.llm.fill_in_middle import fill_in_middle, restored_text
+from logspark.llm.neighbours import nearest_neighbours
 from logspark.llm.packing import packed_documents
 from logspark.llm.pii import replace_personal_data
 from logspark.llm.quality import judge_quality
@@ -19,6 +21,7 @@ from logspark.llm.simhash import near_duplicates
 from logspark.llm.substring import remove_repeated
 from logspark.llm.url_filter import Rule, judge_urls
 from logspark.llm.warc import archived_pages
+from logspark.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,3 +108,25 @@ SQL["op4_chat_formatting"] = sql.CHATS
 @_query("op2_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_fill_in_middle")
+def fill_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored_text(), 256).alias("restored_sha256"),
+    )
+
+
+SQL["op13_fill_in_middle"] = sql.FILL_IN_MIDDLE
+
+
+@_query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op11_nearest_neighbours")
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)

@@ -49,3 +49,28 @@ SELECT conv_id, turn // 1024 AS part, count(*) AS n_turns,
     || regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '<\1>', 'g') || '<|im_end|>', chr(10) ORDER BY turn, role, text) AS text
 FROM t SEMI JOIN kept USING (conv_id) GROUP BY conv_id, turn // 1024
 """
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+    sha256('1:' || coalesce(cast(doc_id AS varchar), '')) AS digest
+  FROM documents
+), h AS (
+  SELECT *, len(t) AS n, cast('0x' || digest[1:8] AS bigint) AS h1, cast('0x' || digest[9:16] AS bigint) AS h2,
+    cast('0x' || digest[17:24] AS bigint) AS h3, cast('0x' || digest[25:32] AS bigint) AS h4
+  FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+         THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, array_to_string(t[1:a], '') AS x, array_to_string(t[a + 1:b], '') AS y, array_to_string(t[b + 1:], '') AS z FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+    ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
