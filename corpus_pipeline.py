@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logspark.llm.common import saved, table
 from logspark.llm.decontaminate import without_contaminated
-from logspark.llm.near_copies import without_near_copies
 from logspark.llm.packing import packed_documents
 from logspark.llm.pii import replaced
 from logspark.llm.quality import judge_quality
+from logspark.llm.simhash import without_near_duplicates
 
 #: Stands in for a secret that a real run gets from outside.
 PII_KEY = "surrogates of the pipeline"
@@ -41,9 +41,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(*_columns(docs))
 
 
-def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) one document stays."""
-    return without_near_copies(docs)
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group that links of at most three fingerprint bits make (three-word shingles), one document stays."""
+    return without_near_duplicates(docs, shingle=3, distance=3)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality", quality_stage),
-    ("near-copies", near_copy_stage),
+    ("near-duplicates", near_duplicate_stage),
     ("benchmark", benchmark_stage),
     ("personal-data", personal_data_stage),
     ("packing", packing_stage),

@@ -110,6 +110,13 @@ def near_pairs(prints: DataFrame, distance: int = 3) -> DataFrame:
     )
 
 
+def fingerprint_groups(distinct: DataFrame, distance: int = 3) -> DataFrame:
+    """The rows of ``distinct``, one per fingerprint (``bits``), with ``root``, one fingerprint of their group."""
+    roots = components(near_pairs(distinct.select("bits"), distance))
+    labelled = distinct.join(roots.select(F.col("u").alias("bits"), F.col("v").alias("root")), "bits", "left")
+    return labelled.withColumn("root", F.coalesce("root", "bits"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """Per document: its fingerprint and the smallest doc_id that links of at most ``distance`` bits reach.
 
@@ -121,9 +128,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     ensure_checkpoints(docs.sparkSession)
     prints = prints.checkpoint()
     distinct = prints.groupBy("bits").agg(F.min("doc_id").alias("least")).checkpoint()
-    roots = components(near_pairs(distinct.select("bits"), distance))
-    labelled = distinct.join(roots.select(F.col("u").alias("bits"), F.col("v").alias("root")), "bits", "left")
-    labelled = labelled.withColumn("root", F.coalesce("root", "bits"))
+    labelled = fingerprint_groups(distinct, distance)
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = labelled.join(smallest, "root").select("bits", "component_id")
     return prints.join(classes, "bits").select("doc_id", hex64("bits").alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """All columns of ``docs`` (doc_id, text and any others), one row of each group of ``near_duplicates``.
+
+    The smallest doc_id of a group stays, a null one only where there is no other; of rows that share it, one.
+    """
+    ensure_checkpoints(docs.sparkSession)
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row"), F.struct("*").alias("whole")
+    )
+    prints = with_fingerprints(rows.select("doc_id", "text", "row"), ["doc_id", "row"], shingle).checkpoint()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    distinct = prints.groupBy("bits").agg(first).checkpoint()
+    kept = fingerprint_groups(distinct, distance).groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.row")
+    kept = kept.checkpoint()
+    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["row"] == kept["row"])
+    stay = rows.join(kept, same, "left_semi")
+    repeated = prints.groupBy("doc_id", "row").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "row").checkpoint()
+    if not repeated.isEmpty():
+        same = stay["doc_id"].eqNullSafe(repeated["doc_id"]) & (stay["row"] == repeated["row"])
+        once = stay.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "row"])
+        stay = stay.join(repeated, same, "left_anti").unionAll(once)
+    return stay.select("whole.*")

@@ -101,7 +101,9 @@ def vectors_of(diagonal: np.ndarray, off: np.ndarray, values: np.ndarray, rounds
 
 def leading_eigenvectors(a: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``count`` largest eigenvalues, falling, and their unit eigenvectors as columns."""
-    size = np.max(np.abs(a)) or 1.0
+    size = np.max(np.abs(a))
+    if not size:
+        return np.zeros(min(count, len(a))), np.eye(len(a))[:, :count]
     diagonal, off, reflectors = tridiagonal(a / size)
     values = leading_values(diagonal, off, min(count, len(diagonal)))
     vectors = vectors_of(diagonal, off, values)

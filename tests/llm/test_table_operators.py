@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-import corpus_pipeline
 from compare import assert_same
 from logspark.llm import warc
 from logspark.llm.chat import format_chats
@@ -24,7 +23,7 @@ def test_query_against_sql(spark, sf_check, name):
 
 def test_registry():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 # --- archives ------------------------------------------------------------------------------------
@@ -134,31 +133,3 @@ def test_components(spark):
     got = {r.u: r.v for r in components(spark.createDataFrame(chain + star, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(1, 60)} | {101: 100} | {1000 + i: 1000 for i in range(1, 500)}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
-
-
-# --- pipeline ------------------------------------------------------------------------------------
-
-
-def test_stages_work_on_what_is_left(spark, sf_check):
-    from logspark.llm.common import saved
-
-    docs = spark.read.parquet(f"{sf_check}/documents.parquet").withColumn("words", F.lit("x")).withColumn("rest", F.lit(1)).withColumn("row", F.lit(1))
-    docs = docs.unionAll(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
-    sizes = [docs.count()]
-    for name, stage in corpus_pipeline.STAGES:
-        new = saved(stage(spark, docs, sf_check), name)
-        sizes.append(new.count())
-        if name != "packing":
-            assert new.columns == docs.columns and new.where("text is null").count() == 0
-        if name == "personal-data":
-            assert sizes[-1] == sizes[-2] and new.where("n_chars != length(text)").count() == 0
-            kept = {r.doc_id for r in new.select("doc_id").collect()}
-        docs = new
-    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 0.5 * sizes[0]
-    assert {r.doc_id for r in docs.select("doc_id").collect()} == kept
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, spark.read.parquet(f"{sf_check}/documents.parquet").limit(0), sf_check).count() == 0
-
-
-def test_pipeline_runs(spark, sf_small):
-    assert corpus_pipeline.run(spark, sf_small).count() > 0

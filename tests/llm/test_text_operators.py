@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from logspark.llm import near_copies, packing, pii, quality, secret_scan, simhash, substring
+from logspark.llm import packing, pii, quality, secret_scan, simhash, substring
 from logspark.llm.decontaminate import find_contamination, without_contaminated
 from logspark.llm.fm_index import FMIndex, matched_windows
 from logspark.llm.queries import QUERIES
@@ -323,107 +323,6 @@ def test_pairs_within_three_bits(spark):
     assert got == {(min(a, b), max(a, b)) for a in signed for b in signed if a != b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
 
 
-def test_near_copies_leave_one(spark, monkeypatch):
-    rng = random.Random(2)
-    fresh = lambda n: ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
-    rows, groups = [], {}
-    for g in range(30):
-        base = fresh(200)
-        for c in range(4):
-            words = list(base)
-            for _ in range(c):
-                words[rng.randrange(200)] = fresh(1)[0]
-            rows.append((len(rows), " ".join(words)))
-            groups[len(rows) - 1] = g
-    rows += [(1000 + i, " ".join(fresh(100))) for i in range(60)] + [(3, rows[3][1]), (None, rows[3][1]), (2000, ""), (2001, " "), (None, None)]
-    for paired in (32, 2):
-        monkeypatch.setattr(near_copies, "PAIRED", paired)
-        kept = near_copies.without_near_copies(docs_of(spark, rows).repartition(4)).collect()
-        ids = [r.doc_id for r in kept]
-        assert len(ids) == len(set(ids)) and None not in ids and len(kept[0]) == 9
-        assert {groups[i] for i in ids if i in groups} == set(range(30)) and sum(i in groups for i in ids) <= 33
-        assert {i for i in ids if i >= 1000} == {1000 + i for i in range(60)} | {2000}
-    assert near_copies.without_near_copies(docs_of(spark, rows).limit(0)).count() == 0
-    assert near_copies.largest_distance(1.0) == 0 and near_copies.largest_distance() == 77
-
-
-def five_word_sets(rows):
-    out = []
-    for _, text in rows:
-        words = (text or "").lower().split()
-        out.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    return out
-
-
-def first_of_exact_groups(rows):
-    """Least id of each group that links of exact Jaccard 0.8 make."""
-    sets, parent = five_word_sets(rows), list(range(len(rows)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-    for i in range(len(rows)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
-                a, b = sorted((root(i), root(j)))
-                parent[b] = a
-    return {rows[root(i)][0] for i in range(len(rows))}
-
-
-def stay(spark, rows):
-    return sorted(r.doc_id for r in near_copies.without_near_copies(docs_of(spark, rows).repartition(4)).collect())
-
-
-def fresh_words(rng):
-    return lambda n: ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
-
-
-def test_near_copies_of_blocks_and_edits_are_found(spark):
-    rng = random.Random(5)
-    fresh, rows = fresh_words(rng), []
-    for pair in range(120):
-        base = fresh(200)
-        other = base + fresh(rng.randrange(20, 60)) if pair % 2 else list(base)
-        for _ in range(0 if pair % 2 else rng.randrange(2, 6)):
-            other[rng.randrange(200)] = fresh(1)[0]
-        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(other))]
-    want = first_of_exact_groups(rows)
-    assert 120 < len(want) < 200
-    assert stay(spark, rows) == sorted(want)
-
-
-def test_repeated_lines_and_templates_join_no_texts(spark):
-    rng = random.Random(6)
-    fresh = fresh_words(rng)
-    line, template = fresh(10), fresh(172)
-    rows = [(i, " ".join(fresh(150) + line * 40)) for i in range(12)]
-    rows += [(100 + i, " ".join(template + fresh(24))) for i in range(120)]
-    want = first_of_exact_groups(rows)
-    assert len(want) == len(rows)
-    assert stay(spark, rows) == sorted(want)
-
-
-def test_copies_in_large_buckets_are_found(spark, monkeypatch):
-    rng = random.Random(7)
-    fresh = fresh_words(rng)
-    template, many, rows = fresh(172), fresh(200), []
-    for i in range(60):
-        own = fresh(28)
-        rows += [(2 * i, " ".join(template + own)), (2 * i + 1, " ".join(template + own[:16] + fresh(12)))]
-    for i in range(80):
-        words = list(many)
-        for _ in range(rng.randrange(6)):
-            words[rng.randrange(200)] = fresh(1)[0]
-        rows.append((1000 + i, " ".join(words)))
-    want = first_of_exact_groups(rows)
-    assert {2 * i for i in range(60)} <= want and len(want) < 130
-    for paired, leaders in ((32, 8), (2, 1)):
-        monkeypatch.setattr(near_copies, "PAIRED", paired)
-        monkeypatch.setattr(near_copies, "LEADERS", leaders)
-        assert stay(spark, rows) == sorted(want)
-
-
 # --- quality -------------------------------------------------------------------------------------
 
 
