@@ -66,7 +66,7 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Backward search over the given sequences, each with an owner; symbol 0 closes a sequence.
+    """Backward search over the given sequences, each with an owner (a number below 2^31); symbol 0 closes a sequence.
 
     Intervals hold for patterns shorter than ``depth``.
     """
@@ -77,15 +77,15 @@ class FMIndex:
         self.bwt = WaveletMatrix(text[order - 1], alphabet)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=alphabet))[:-1]])
         # Least owner of 2**j suffixes from each place.
-        self.least = [owners[order]]
-        while 2 << (len(self.least) - 1) <= len(text):
-            last, half = self.least[-1], 1 << (len(self.least) - 1)
-            self.least.append(np.minimum(last[:-half], last[half:]))
+        least = [owners[order].astype(np.int32)]
+        while 2 << (len(least) - 1) <= len(text):
+            last, half = least[-1], 1 << (len(least) - 1)
+            least.append(np.minimum(last[:-half], last[half:]))
         self.log = np.zeros(len(text) + 1, np.int8)
-        for j in range(1, len(self.least)):
+        for j in range(1, len(least)):
             self.log[1 << j :] = j
-        self.flat = np.concatenate(self.least)
-        self.at = np.concatenate([[0], np.cumsum([len(x) for x in self.least])[:-1]])
+        self.flat = np.concatenate(least)
+        self.at = np.concatenate([[0], np.cumsum([len(x) for x in least])[:-1]])
         self.size = len(text)
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -32,8 +32,6 @@ from logspark.llm.words import EXACT, NOT_SPACE, Words, scramble, string_bytes,
 RUN, SEGMENT = 8, 64
 #: Words of a shard on average; segments of an anchor that are indexed, at most.
 SHARD_WORDS, ANCHOR_SEGMENTS = 300_000, 2_000
-#: Document keys that are broadcast in place of a join of texts: 16 bytes each, under 10 MB in all.
-BROADCAST_ROWS = 200_000
 KEY = ["anchor", "s1", "s2"]
 SEGMENTS = "anchor long, s1 long, s2 long, doc_id long, row long, start int, windows int"
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -200,13 +198,10 @@ def repeated_spans(docs: DataFrame, width: int = 50) -> DataFrame:
         .select("at.doc_id", "at.row", F.struct(*KEY, "at.start", "at.windows", (F.col("n") > ANCHOR_SEGMENTS).alias("many")).alias("w"))
         .groupBy(*_keys()).agg(F.array_sort(F.collect_list("w")).alias("wanted")), "wanted",
     )
-    keys = wanted.select("k_doc", "k_row")
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    holders = _matching(known, keys, "left_semi").dropDuplicates(["doc_id", "row"])
+    # One shuffle of the texts: rows that are equal lie where the join has dealt them.
+    holders = known.join(wanted, (known["doc_id"] == wanted["k_doc"]) & (known["row"] == wanted["k_row"]))
     cut = saved(
-        holders.join(wanted, (holders["doc_id"] == wanted["k_doc"]) & (holders["row"] == wanted["k_row"]))
-        .select("doc_id", "text", "wanted")
+        holders.dropDuplicates(["doc_id", "row"]).select("doc_id", "text", "wanted")
         .mapInArrow(partial(_cut_segments, width=width), "anchor long, s1 long, s2 long, owner long, many boolean, hashes binary"),
         "cut",
     )

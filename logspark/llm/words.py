@@ -48,7 +48,6 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
-_UP, _DOWN = _powers(_ODD, _PIECE + 1), _powers(_INVERSE, _PIECE + 1)
 
 
 def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,20 +93,29 @@ class Words:
         self.hash = self._hashes(values)
 
     def _hashes(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the bytes of a word, each mixed with its place in the word before it is added."""
         out = np.empty(len(self.start), np.uint64)
         i = 0
         while i < len(out):
-            base = self.start[i]
-            j = max(i + 1, int(np.searchsorted(self.end, base + _PIECE, "right")))
-            size = int(self.end[j - 1] - base)
-            up, down = (_UP, _DOWN) if size <= _PIECE else (_powers(_ODD, size + 1), _powers(_INVERSE, size + 1))
-            sums = np.zeros(size + 1, np.uint64)
-            np.cumsum(values[self.data[base : base + size]] * up[:size], out=sums[1:])
-            a, b = self.start[i:j] - base, self.end[i:j] - base
-            out[i:j] = scramble((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + _PIECE, "right")))
+            begin, length = self.start[i:j], self.end[i:j] - self.start[i:j]
+            if j == i + 1:
+                pieces = range(0, length[0], _PIECE)
+                out[i] = np.array([self._mixed(values, begin[0] + k, k, min(_PIECE, length[0] - k)).sum() for k in pieces]).sum()
+            else:
+                first = np.cumsum(length) - length
+                place = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
+                out[i:j] = np.add.reduceat(self._mixed(values, np.repeat(begin, length) + place, place), first)
+            out[i:j] = scramble(out[i:j] + length.astype(np.uint64))
             i = j
         return out
 
+    def _mixed(self, values: np.ndarray, at, place, count: int | None = None) -> np.ndarray:
+        """Of the bytes at the given places, or of ``count`` bytes from one place on."""
+        if count is not None:
+            at, place = slice(at, at + count), np.arange(place, place + count)
+        return scramble(values[self.data[at]] + (place.astype(np.uint64) + np.uint64(1)) * _ODD)
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 

@@ -75,7 +75,6 @@ def some_repeats(seed):
 def test_repeated_passages(spark, monkeypatch, indexed):
     """Both ways of deciding on windows: shards of an index, and digests for very common anchors."""
     monkeypatch.setattr(substring, "ANCHOR_SEGMENTS", 2000 if indexed else 0)
-    monkeypatch.setattr(substring, "BROADCAST_ROWS", 100_000 if indexed else 0)
     monkeypatch.setattr(substring, "SHARD_WORDS", 300)
     rows = some_repeats(5) + EDGES[:6]
     got = substring.remove_repeated(docs_of(spark, rows), 9)
