@@ -59,9 +59,12 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
 
 
 def render(turn: Column) -> Column:
-    """One turn between markers; markers inside its text lose their bars."""
-    text = F.regexp_replace(F.coalesce(turn["text"], F.lit("")), r"<\|(im_start|im_end)\|>", "<$1>")
-    return F.concat(F.lit("<|im_start|>"), F.coalesce(turn["role"], F.lit("unknown")), F.lit("\n"), text, F.lit("<|im_end|>"))
+    """One turn between markers. Markers inside its role or text lose their bars; a role is one line."""
+    role, text = (
+        F.regexp_replace(F.coalesce(turn[name], F.lit(none)), r"<\|(im_start|im_end)\|>", "<$1>")
+        for name, none in (("role", "unknown"), ("text", ""))
+    )
+    return F.concat(F.lit("<|im_start|>"), F.translate(role, "\r\n", "  "), F.lit("\n"), text, F.lit("<|im_end|>"))
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:

@@ -45,7 +45,8 @@ WITH t AS (
       AND (len(d.turns) > len(c.turns) OR d.conv_id < c.conv_id))
 )
 SELECT conv_id, turn // 1024 AS part, count(*) AS n_turns,
-  string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10)
+  string_agg('<|im_start|>'
+    || translate(regexp_replace(coalesce(role, 'unknown'), '<\|(im_start|im_end)\|>', '<\1>', 'g'), chr(13) || chr(10), '  ') || chr(10)
     || regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '<\1>', 'g') || '<|im_end|>', chr(10) ORDER BY turn, role, text) AS text
 FROM t SEMI JOIN kept USING (conv_id) GROUP BY conv_id, turn // 1024
 """
