@@ -10,7 +10,7 @@ their own check, so a hit that fails it is no secret:
 * ``ghtoken`` and ``npmtoken``: a prefix and 36 base-62 characters, the last six of which are the
   CRC-32 of the thirty before;
 * ``jwt``: three base64url parts, of which the first two decode to JSON objects and the first names ``alg``;
-* ``pemkey``: a private key block, closed by the label that opens it, with a base64 body that decodes.
+* ``pemkey``: a private key block, closed by the label that opens it, with a base64 body that decodes, after header lines if there are any.
 """
 
 from __future__ import annotations
@@ -76,6 +76,8 @@ class Kind:
     pattern: re.Pattern
     holds: Callable[[re.Match], bool]
     folded: bool = False
+    #: What a match begins with; where one fails, no other can begin inside the same run.
+    run: re.Pattern | None = None
 
 
 KINDS = (
@@ -88,10 +90,10 @@ KINDS = (
     Kind("hex", (), re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}"), lambda m: True),
     Kind("ghtoken", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), _crc_holds),
     Kind("npmtoken", ("npm_",), re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), _crc_holds),
-    Kind("jwt", ("eyJ",), re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), _jwt_holds),
+    Kind("jwt", ("eyJ",), re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), _jwt_holds, run=re.compile("[A-Za-z0-9_-]+")),
     Kind(
         "pemkey", ("-----BEGIN ",),
-        re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s([A-Za-z0-9+/=\s]+)-----END \1-----"), _pem_holds,
+        re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s(?:[A-Z][A-Za-z-]*: [^\n]*\n)*([A-Za-z0-9+/=\s]+)-----END \1-----"), _pem_holds,
     ),
 )
 BASE = ("assign", "access", "hex")
@@ -128,10 +130,14 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
             continue
         free = 0
         for at in sorted(hits.get(k, ())):
-            if at >= free and (m := kind.pattern.match(text, at)):
+            if at < free:
+                continue
+            if m := kind.pattern.match(text, at):
                 free = m.end()
                 if kind.holds(m):
                     found.append((at, k, free))
+            elif kind.run and (m := kind.run.match(text, at)):
+                free = m.end()
     return [(KINDS[k].name, a, b) for a, k, b in sorted(found)]
 
 
