@@ -133,11 +133,10 @@ def _units(prefix: Column, entity: Column) -> Column:
 
 
 def find_entities(texts: DataFrame) -> DataFrame:
-    """Rows of ``texts`` (with ``text``) that hold entities, with ``units`` and the ``tail`` after the last one."""
+    """Rows of ``texts`` whose ``text`` may hold entities, with ``units`` (none, if it holds none) and the ``tail`` after them."""
     return (
         texts.where(F.col("text").rlike(HINT))
         .withColumn("entities", F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
-        .where(F.size("entities") > 0)
         .withColumn("expression", _expression(F.col("entities")))
         .withColumn("entities", F.when(F.col("expression") == ENTITY, F.col("entities")).otherwise(
             F.regexp_extract_all("text", F.col("expression"), F.lit(0))
@@ -194,17 +193,22 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
     return out
 
 
+def _family() -> Column:
+    """Kinds that must not share a surrogate: parts of names are one."""
+    return F.when(F.col("kind").startswith("given_") | (F.col("kind") == "surname"), "name").otherwise(F.col("kind")).alias("family")
+
+
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, surrogate) for distinct (kind, norm): one to one, and never an entity of that kind."""
+    """(kind, norm, surrogate) for distinct (kind, norm): one to one, and never an entity of that kind; names are one kind in this."""
     pending, given = entities, None
     for attempt in range(ROUNDS):
-        drawn = pending.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("norm"), attempt))
-        taken = entities.select("kind", F.col("norm").alias("surrogate"))
+        drawn = pending.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("norm"), attempt)).select("*", _family())
+        taken = entities.select(_family(), F.col("norm").alias("surrogate"))
         if given is not None:
-            taken = taken.unionAll(given.select("kind", "surrogate"))
-        free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
-        first = free.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
-        now = saved(first.select("kind", "norm", "surrogate"), "surrogates")
+            taken = taken.unionAll(given.select(_family(), "surrogate"))
+        free = drawn.join(taken, ["family", "surrogate"], "left_anti")
+        first = free.groupBy("family", "surrogate").agg(F.min(F.struct("kind", "norm")).alias("of"))
+        now = saved(first.select("of.kind", "of.norm", "surrogate"), "surrogates")
         given = now if given is None else given.unionAll(now)
         pending = saved(pending.join(now, ["kind", "norm"], "left_anti"), "pending")
         if pending.isEmpty():
@@ -235,8 +239,13 @@ def replaced(rows: DataFrame, key: str) -> DataFrame:
     others = [c for c in columns if c != "text"]
     found = saved(find_entities(rows).withColumn(
         "row", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text")))
-    ), "entities")
+    ).drop("text"), "entities")
     units = found.select("row", F.posexplode("units").alias("i", "u")).select("row", "i", "u.kind", "u.norm", "u.raw").distinct()
+    # A given name is one kind in the whole corpus; a title with a gender decides, wherever it stands.
+    is_given = F.col("kind").startswith("given_")
+    genders = units.where(is_given).groupBy("norm").agg(F.min("kind").alias("gender"))
+    units = units.join(saved(genders, "genders"), "norm", "left").withColumn("kind", F.when(is_given, F.col("gender")).otherwise(F.col("kind")))
+    units = units.select("row", "i", "kind", "norm", "raw")
     drawn = draw_surrogates(saved(units.where("kind is not null").select("kind", "norm").distinct(), "kinds"), key)
     named = units.join(drawn, ["kind", "norm"], "left").select(
         "row", "i", F.coalesce(_written(F.col("kind"), F.col("raw"), F.col("surrogate")), "raw").alias("s"),
@@ -245,8 +254,9 @@ def replaced(rows: DataFrame, key: str) -> DataFrame:
     of_row = named.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("new"), F.sum("hit").alias("n_replaced"))
     text = F.concat(F.array_join(F.zip_with("units", "new", lambda u, s: F.concat(u["before"], s["s"])), ""), F.col("tail"))
     changed = found.join(of_row, "row").select(*others, text.alias("text"), "n_replaced")
-    without = F.col("text").isNull() | ~F.col("text").rlike(HINT) | (F.size(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))) == 0)
-    same = rows.where(without).select(*others, "text", F.lit(0).cast("long").alias("n_replaced"))
+    none = F.lit(0).cast("long").alias("n_replaced")
+    same = rows.where(F.col("text").isNull() | ~F.col("text").rlike(HINT)).select(*others, "text", none)
+    same = same.unionAll(found.where(F.size("units") == 0).select(*others, F.col("tail").alias("text"), none))
     return same.unionAll(changed).select(*columns, "n_replaced")
 
 
