@@ -96,6 +96,8 @@ def near_pairs(prints: DataFrame, distance: int = 3) -> DataFrame:
     """Pairs (u, v) of distinct ``bits`` at most ``distance`` (up to 3) bits apart."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments with balls of radius one find distances up to 3")
+    # A fingerprint becomes over a hundred rows, so they are dealt to all tasks before that, however few bytes they are.
+    prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bits")
     filed, asked = [], []
     for segment, (value, rest) in enumerate(_segments("bits")):
         filed += _keys(value, rest, segment)
