@@ -23,11 +23,12 @@ from logspark.sources.logs import decode_topic, log_table
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
-from logspark.streaming.batches import late_keys, repaired_matches, suspicious_logins_batches
+from logspark.streaming.batches import suspicious_logins_batches
+from logspark.streaming.corrections import MatchState, corrected_logins
 from logspark.streaming.pattern import suspicious_logins_stream
-from logspark.streaming.replay import feed_in_time_order, replay, replayed
+from logspark.streaming.replay import feed_in_time_order, feed_with_late_rows, replay, replayed
 from logspark.streaming.running import running_totals, store_entries
-from logspark.streaming.sinks import BatchTable, LoginTables, message_step
+from logspark.streaming.sinks import LoginTables, message_step
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,17 +92,32 @@ def streamed(build: Callable[[Logs], DataFrame], name: str, **options) -> Query:
     return run
 
 
-def logins_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suspicious logins of a log stream out of order: micro-batches scanned as tables, late keys repaired."""
-    base = scratch_dir(use_utc(spark), "w2")
+#: Slots whose runs are summed up, in milliseconds; the given tables have few rows per hour.
+SLOT_MILLIS = 86_400_000
+
+
+def corrected(spark: SparkSession, sf_dir: str, name: str) -> MatchState:
+    """Suspicious logins of a log stream in order of time with late rows among them, corrected as they come."""
+    base = scratch_dir(use_utc(spark), name)
+    stored = {}
 
     def sink(json: DataFrame, path: str, checkpoint: str):
-        return suspicious_logins_batches(json, f"{base}/state", checkpoint, BatchTable(path).write)
+        query, stored["state"] = corrected_logins(json, f"{base}/state", checkpoint, SLOT_MILLIS)
+        return query
+
+    replay(spark, sf_dir, lambda logs: logs.json, base, sink, feed_with_late_rows)
+    return stored["state"]
+
+
+def corrected_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrected(spark, sf_dir, "w2").matches(spark)
+
 
-    path = replay(spark, sf_dir, lambda logs: logs.json, base, sink, marks=True)
-    found = spark.read.parquet(path).drop("batch_id")
-    late = late_keys(spark, f"{base}/state", ["username"])
-    return repaired_matches(found, late, load_logs(spark, sf_dir).json, **pattern.login_pattern())
+def match_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' corrections added up: each match with how often it stands at the end, all changes applied."""
+    changes = corrected(spark, sf_dir, "w2c").all_changes(spark)
+    rest = [c for c in changes.columns if c not in ("change", "batch_id")]
+    return changes.groupBy(*rest).agg(F.sum("change").alias("n_matches")).where("n_matches != 0")
 
 
 def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +294,8 @@ QUERIES: dict[str, Query] = {
     "i2_quarantine_bad": over_logs(lambda logs: bad_records(decode_topic(json_topic(logs), "json"))),
     "w1_json_activity_stream": running(
         lambda logs: with_bucket(logs.json, DAY), ["time_window", "event_type", "status"], an.JSON_DISTINCT, "w1", 10),
-    "w2_suspicious_logins_stream": logins_by_batch,
+    "w2_suspicious_logins_stream": corrected_matches,
+    "w2_match_changes": match_changes,
     "w2_suspicious_logins_keyed_state": streamed(
         lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2k", feed=feed_in_time_order, marks=True),
     "w3_correlation_stream": correlation_stream,

@@ -306,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "f7_incidents_all": _with(select=F7),
         "m1_suspicious_logins_any": _with(ANY, select=f"select {_MATCH_COLUMNS} from matches"),
         "m2_suspicious_logins": _with(SAME, select=f"select {_MATCH_COLUMNS} from matches"),
+        "w2_match_changes": _with(SAME, select=f"select {_MATCH_COLUMNS}, count(*) as n_matches from matches group by all"),
         "m3_failed_login_state": _with(SAME, LATEST, select=f"select {_MATCH_COLUMNS} from latest"),
         "e1_enriched_failed_logins": _with(
             SAME, LATEST, USERS_CTE, _enriched("latest"), select="select * from enriched"),

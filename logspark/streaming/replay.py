@@ -56,6 +56,18 @@ def feed_in_time_order(events: DataFrame, path: str) -> None:
         events.filter(F.coalesce(here, F.lit(k == 0))).coalesce(1).write.mode("append").parquet(path)
 
 
+def feed_with_late_rows(events: DataFrame, path: str) -> None:
+    """In order of time, but of a quarter of the users one row in sixteen comes a batch or more too late."""
+    spans = events.agg(F.min("ts").cast("timestamp").cast("double"), F.max("ts").cast("timestamp").cast("double")).first()
+    low, high = (s or 0.0 for s in spans)
+    part = F.least(F.floor((F.col("ts").cast("timestamp").cast("double") - low) / max(high - low, 1e-6) * BATCHES), F.lit(BATCHES - 1))
+    draw = F.pmod(F.xxhash64("event_id"), F.lit(16 * BATCHES))
+    late = F.when((F.col("user_id") % 4 == 0) & (draw < BATCHES), F.least(part + 1 + draw, F.lit(BATCHES - 1))).otherwise(part)
+    dealt = events.withColumn("_part", F.coalesce(late, F.lit(0)))
+    for k in range(BATCHES):
+        dealt.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+
+
 def replay(
     spark: SparkSession,
     sf_dir: str,
