@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The parts of the text, in order.
 MESSAGE_FIELDS = (
@@ -13,6 +13,11 @@ MESSAGE_FIELDS = (
 )
 
 
+def message_text(fields: Sequence[str] = MESSAGE_FIELDS, sep: str = ", ") -> Column:
+    """The text for the model; null if any part is null."""
+    return F.concat(*[part for field in fields for part in (F.lit(sep), F.col(field).cast("string"))][1:])
+
+
 def enrich_users(
     attempts: DataFrame,
     users: DataFrame,
@@ -24,5 +29,4 @@ def enrich_users(
     The text is null if any part is null. The join carries no hint: Spark broadcasts the users
     only if their size is known to be small, and otherwise sorts and splits hot users.
     """
-    parts = [part for field in fields for part in (F.lit(sep), F.col(field).cast("string"))][1:]
-    return attempts.join(users, "username").select("username", F.concat(*parts).alias("big_string")).distinct()
+    return attempts.join(users, "username").select("username", message_text(fields, sep).alias("big_string")).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from functools import partial
 
@@ -11,6 +12,7 @@ from logspark.fixtures import Logs, load_logs, prepare_events, seed_users
 from logspark.functions.time import DAY, HOUR, time_floor, time_prefix
 from logspark.operators import activity as act, pattern
 from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, ip_incidents, recent_ip_pairs, total_pairs
+from logspark.operators.enrich import message_text
 from logspark.operators.feed import event_feed
 from logspark.operators.keyed import append_into, materialize
 from logspark.plans import analytics as an, charts
@@ -25,8 +27,9 @@ from logspark.sources.publish import log_value
 from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
 from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.corrections import MatchState, corrected_logins
+from logspark.streaming.feeds import EnrichedFeed, PairFeed, TotalsFeed, join_as_of, pair_rows
 from logspark.streaming.pattern import suspicious_logins_stream
-from logspark.streaming.replay import feed_in_time_order, feed_with_late_rows, replay, replayed
+from logspark.streaming.replay import feed_in_time_order, feed_with_late_rows, replay, replayed, stream_session
 from logspark.streaming.running import running_totals, store_entries
 from logspark.streaming.sinks import LoginTables, message_step
 
@@ -196,6 +199,74 @@ def correlation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total_pairs(sides[0].join(sides[1], "time_window").select(F.col("time_window").alias("bucket"), *CORRELATED, pairs))
 
 
+def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity as one has it who applies the changes that each micro-batch gives."""
+    base, by, stored = scratch_dir(use_utc(spark), "w1c"), ("time_window", "event_type", "status"), {}
+    day = F.unix_date(F.to_date("time_window"))
+
+    def sink(df: DataFrame, path: str, checkpoint: str):
+        stored["feed"] = TotalsFeed(f"{base}/state", df.schema, by, tuple(an.JSON_DISTINCT.items()), day)
+        return stored["feed"].run(df, checkpoint)
+
+    replay(spark, sf_dir, lambda logs: with_bucket(logs.json, DAY), base, sink)
+    return comparable(stored["feed"].applied(spark, 10))
+
+
+def incremental_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Co-occurrences of both kinds kept by what each micro-batch adds to them."""
+    base, stored = scratch_dir(use_utc(spark), "w3i"), {}
+    day = F.unix_date(F.to_date(F.substring("bucket", 1, DAY)))
+
+    def rows(logs: Logs) -> DataFrame:
+        return pair_rows((logs.syslog, logs.json), time_prefix("timestamp", HOUR), (SYSLOG_CLASS, JSON_CLASS))
+
+    def sink(df: DataFrame, path: str, checkpoint: str):
+        stored["feed"] = PairFeed(f"{base}/state", df.schema, tuple(SYSLOG_CLASS.values()), tuple(JSON_CLASS.values()), day)
+        return stored["feed"].run(df, checkpoint)
+
+    replay(spark, sf_dir, rows, base, sink)
+    return stored["feed"].totals(spark, 1)
+
+
+#: When the mail addresses of the users change.
+MAIL_CHANGE = "2024-01-16"
+
+
+def user_versions(spark: SparkSession) -> DataFrame:
+    """The users, and again with another mail address from a day on."""
+    users = seed_users(spark)
+    first = users.withColumn("valid_from", F.lit("1970-01-01"))
+    second = users.withColumns({"mail": F.concat(F.lit("new."), "mail"), "valid_from": F.lit(MAIL_CHANGE)})
+    return first.unionByName(second)
+
+
+def enriched_as_of(logs: Logs) -> DataFrame:
+    """Every match with the details of its user at that time."""
+    spark = logs.json.sparkSession
+    matches = pattern.suspicious_logins(logs.json)
+    dated = join_as_of(matches, user_versions(spark), "failure_time")
+    return dated.select("username", message_text().alias("big_string")).distinct()
+
+
+def enriched_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest match of each user with newest details, by a stream of matches and of changing users, in order of time."""
+    base = scratch_dir(use_utc(spark), "e2")
+    matches = pattern.suspicious_logins(load_logs(spark, sf_dir).json, keep=["log_id"])
+    users = user_versions(spark)
+    rows = matches.select(F.struct(*matches.columns).alias("attempt"), F.col("failure_time").alias("at")).unionByName(
+        users.select(F.struct(*users.columns).alias("user"), F.col("valid_from").alias("at")), allowMissingColumns=True)
+    rows = materialize(rows, f"{base}/rows")
+    for k, (low, high) in enumerate(itertools.pairwise(("", MAIL_CHANGE[:8] + "08", MAIL_CHANGE, MAIL_CHANGE[:8] + "24", "9"))):
+        rows.where((F.col("at") >= low) & (F.col("at") < high)).drop("at").write.parquet(f"{base}/feed/part={k}")
+    own = stream_session(spark)
+    feed = EnrichedFeed(f"{base}/state", rows.schema["attempt"].dataType, rows.schema["user"].dataType, ("failure_time", "log_id"), ("valid_from",))
+    for k in range(4):
+        # A run per period, as a stream that is stopped and goes on.
+        stream = own.readStream.schema(rows.drop("at").schema).parquet(f"{base}/feed/part={{{','.join(map(str, range(k + 1)))}}}")
+        feed.run(stream, f"{base}/checkpoint").awaitTermination()
+    return feed.enriched(spark)
+
+
 def bronze_stream(kind: str) -> Query:
     """A log stream stored by day: the first half streamed, the second appended, one day rewritten."""
 
@@ -298,6 +369,10 @@ QUERIES: dict[str, Query] = {
     "w2_match_changes": match_changes,
     "w2_suspicious_logins_keyed_state": streamed(
         lambda logs: suspicious_logins_stream(logs.json, slot=SLOT), "w2k", feed=feed_in_time_order, marks=True),
+    "w1_activity_changes": activity_changes,
+    "w3_incremental_pairs": incremental_pairs,
+    "e2_enriched_user_changes": enriched_changes,
+    "e3_enriched_as_of": over_logs(enriched_as_of),
     "w3_correlation_stream": correlation_stream,
     "w4_frequency_stream": running(kinds_by_half_hour, ["half_hour_bucket", "log_type"], {}, "w4", 0),
     "w5_login_messages_stream": login_messages,

@@ -273,6 +273,8 @@ union all {rows("cef", {
 
 
 STREAM_TWINS = {
+    "w1_activity_changes": "f1_json_activity_all",
+    "w3_incremental_pairs": "c0_correlated_dataset",
     "w1_json_activity_stream": "f1_json_activity_all",
     "w2_suspicious_logins_stream": "m2_suspicious_logins",
     "w2_suspicious_logins_keyed_state": "m2_suspicious_logins",
@@ -311,6 +313,11 @@ def oracle_sql() -> dict[str, str]:
         "e1_enriched_failed_logins": _with(
             SAME, LATEST, USERS_CTE, _enriched("latest"), select="select * from enriched"),
         "e1_enriched_every_match": _with(SAME, USERS_CTE, _enriched("matches"), select="select * from enriched"),
+        "e2_enriched_user_changes": _with(
+            SAME, LATEST, USERS_CTE, _enriched("latest").replace("|| mail", "|| 'new.' || mail"), select="select * from enriched"),
+        "e3_enriched_as_of": _with(
+            SAME, USERS_CTE, _enriched("matches").replace(
+                "|| mail", "|| case when failure_time >= '2024-01-16' then 'new.' else '' end || mail"), select="select * from enriched"),
         "n1_generated_messages": _with(SAME, LATEST, USERS_CTE, _enriched("latest"), select="""
 select username, '{"mail": "' || split_part(big_string, ', ', 4) || '", "message": "Dear '
        || split_part(big_string, ', ', 2) || ' ' || split_part(big_string, ', ', 3) || ', '
