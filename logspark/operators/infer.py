@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 WARNING_PROMPT = (
     "A user of our company failed to log in several times. The input is one line of comma-separated values: "
@@ -97,3 +98,39 @@ def register_predict(spark: SparkSession, model: TextModel, name: str = "ml_pred
             yield (None, None) if text is None else model.answer([text])[0]
 
     spark.udtf.register(name, F.udtf(Predict, returnType=f"{model.output_col} string, error string"))
+
+
+def register_predict_rows(spark: SparkSession, model: TextModel, name: str = "ml_predict_rows") -> None:
+    """Make the model a table function over a whole table: ``SELECT * FROM ml_predict_rows(TABLE(t), 'text_column')``.
+
+    Gives the rows with the answer and an ``error``. Each partition of the table hands its rows to the model in batches.
+    """
+    class PredictRows:
+        def __init__(self):
+            self.rows, self.texts = [], []
+
+        @staticmethod
+        def analyze(rows: AnalyzeArgument, text: AnalyzeArgument) -> AnalyzeResult:
+            if text.value not in rows.dataType.names:
+                raise ValueError(f"no such column: {text.value}")
+            added = [T.StructField(n, T.StringType()) for n in (model.output_col, "error")]
+            return AnalyzeResult(schema=T.StructType([*rows.dataType.fields, *added]))
+
+        def eval(self, rows: Row, text: str):
+            self.rows.append(tuple(rows))
+            self.texts.append(rows[text])
+            if len(self.rows) == model.batch_size:
+                yield from self._answered()
+
+        def terminate(self):
+            if self.rows:
+                yield from self._answered()
+
+        def _answered(self):
+            asked = [t for t in self.texts if t is not None]
+            answers = iter(model.answer(asked) if asked else [])
+            for row, text in zip(self.rows, self.texts):
+                yield (*row, *(next(answers) if text is not None else (None, None)))
+            self.rows, self.texts = [], []
+
+    spark.udtf.register(name, F.udtf(PredictRows))

@@ -14,7 +14,9 @@ from logspark.operators import activity as act, pattern
 from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, ip_incidents, recent_ip_pairs, total_pairs
 from logspark.operators.enrich import message_text
 from logspark.operators.feed import event_feed
+from logspark.operators.infer import TextModel, register_predict_rows
 from logspark.operators.keyed import append_into, materialize
+from logspark.operators.ledger import AnswerLedger
 from logspark.plans import analytics as an, charts
 from logspark.schemas import TOPICS
 from logspark.session import scratch_dir, use_utc
@@ -267,6 +269,24 @@ def enriched_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.enriched(spark)
 
 
+def messages_in_sql(spark: SparkSession, logs: Logs) -> DataFrame:
+    """Messages by the table function over a whole table, in batches."""
+    register_predict_rows(spark, TextModel(input_col="big_string", output_col="email_message"))
+    an.enriched_failed_logins(spark, logs).createOrReplaceTempView("enriched_failed_logins_to_ask")
+    return spark.sql("SELECT username, email_message FROM ml_predict_rows(TABLE(enriched_failed_logins_to_ask), 'big_string')")
+
+
+def messages_asked_once(spark: SparkSession, logs: Logs) -> DataFrame:
+    """Messages from stored answers; the second run finds all of them and may call a model that only fails."""
+    ledger, rows = AnswerLedger(scratch_dir(spark, "answers")), an.enriched_failed_logins(spark, logs)
+    ledger.predict(rows, TextModel(), "big_string", "email_message", callers=2)
+    return ledger.predict(rows, TextModel(client=_refused), "big_string", "email_message", callers=2).select("username", "email_message")
+
+
+def _refused(prompt: str, texts: list[str]) -> list[str]:
+    raise ConnectionError("asked again")
+
+
 def bronze_stream(kind: str) -> Query:
     """A log stream stored by day: the first half streamed, the second appended, one day rewritten."""
 
@@ -326,6 +346,8 @@ QUERIES: dict[str, Query] = {
     "e1_enriched_failed_logins": _with_session(an.enriched_failed_logins),
     "e1_enriched_every_match": _with_session(partial(an.enriched_failed_logins, every_match=True)),
     "n1_generated_messages": _with_session(an.generated_messages),
+    "n2_messages_in_sql": _with_session(messages_in_sql),
+    "n3_messages_asked_once": _with_session(messages_asked_once),
     "d1_ip_correlation_recent": over_logs(partial(an.ip_correlation_recent, as_of=AS_OF), DAY_AGO, AS_OF),
     "d1_ip_correlation_recent_all": over_logs(
         partial(an.ip_correlation_recent, as_of=AS_OF, limit=None), DAY_AGO, AS_OF),

@@ -366,6 +366,8 @@ select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
     sql["w12_quarantine_stream"] = _with(select=I1["json"] + f" where log_id in (select {_PAD} from e where not ({BROKEN}))")
     for kind, text in I1.items():
         sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
+    for name in ("n2_messages_in_sql", "n3_messages_asked_once"):
+        sql[name] = sql["n1_generated_messages"]
     # A stream gives what its batch form gives.
     for stream, batch in STREAM_TWINS.items():
         sql[stream] = sql[batch]

@@ -1,0 +1,100 @@
+"""Model calls: batches in SQL, answers that are asked for once, budgets."""
+
+import collections
+
+import pytest
+
+from logspark.operators.infer import TextModel, ml_predict, register_predict_rows
+from logspark.operators.ledger import OVER_BUDGET, AnswerLedger
+
+TEXTS = [(i, None if i % 7 == 3 else f"text {i % 40}") for i in range(100)]
+
+
+def counting(folder, broken=()):
+    """A client that leaves a file per call, in whatever process it runs."""
+    folder.mkdir()
+
+    def client(prompt, texts):
+        import uuid
+
+        (folder / uuid.uuid4().hex).write_text("\n".join(texts))
+        if any(t in broken for t in texts):
+            raise ConnectionError("gone")
+        return [f"{prompt}:{t}" for t in texts]
+
+    return client
+
+
+def calls(folder):
+    return [p.read_text().split("\n") for p in folder.iterdir()]
+
+
+def bag(df, answer):
+    return collections.Counter((r.k, r.text, r[answer], r.error) for r in df.collect())
+
+
+def frame(spark, partitions=2):
+    return spark.createDataFrame(TEXTS, "k int, text string").repartition(partitions, "k")
+
+
+def test_a_table_function_asks_in_batches(spark, tmp_path):
+    model = TextModel(client=counting(tmp_path / "sql"), prompt="p", batch_size=8, output_col="said")
+    spark.createDataFrame(TEXTS, "k int, text string").coalesce(1).createOrReplaceTempView("texts")
+    register_predict_rows(spark, model, "predict_rows")
+    got = bag(spark.sql("SELECT * FROM predict_rows(TABLE(texts), 'text')"), "said")
+    assert got == collections.Counter((k, t, None if t is None else f"p:{t}", None) for k, t in TEXTS)
+    assert len(calls(tmp_path / "sql")) == -(-len(TEXTS) // 8)
+    other = TextModel(client=counting(tmp_path / "frame"), prompt="p", batch_size=8, output_col="said")
+    assert got == bag(ml_predict(spark.table("texts"), other, "text"), "said")
+    with pytest.raises(Exception, match="no such column"):
+        spark.sql("SELECT * FROM predict_rows(TABLE(texts), 'absent')").collect()
+
+
+def test_a_text_is_asked_for_once(spark, tmp_path):
+    ledger = AnswerLedger(str(tmp_path / "ledger"))
+    model = TextModel(client=counting(tmp_path / "first"), prompt="p", batch_size=10)
+    got = ledger.predict(frame(spark), model, "text", "said", callers=2)
+    want = collections.Counter((k, t, None if t is None else f"p:{t}", None) for k, t in TEXTS)
+    assert bag(got, "said") == want == bag(got, "said")
+    asked = [t for c in calls(tmp_path / "first") for t in c]
+    assert sorted(asked) == sorted({t for _, t in TEXTS if t is not None})
+    # The same batch again, and a new text among old ones.
+    again = TextModel(client=counting(tmp_path / "again"), prompt="p", batch_size=10)
+    assert bag(ledger.predict(frame(spark, 3), again, "text", "said"), "said") == want and not calls(tmp_path / "again")
+    more = frame(spark).union(spark.createDataFrame([(200, "new")], "k int, text string"))
+    assert bag(ledger.predict(more, again, "text", "said"), "said")[200, "new", "p:new", None] == 1
+    assert calls(tmp_path / "again") == [["new"]]
+    # Another prompt is another question.
+    other = TextModel(client=counting(tmp_path / "other"), prompt="q", batch_size=10)
+    assert bag(ledger.predict(frame(spark).limit(1), other, "text", "said"), "said") and len(calls(tmp_path / "other")) <= 1
+
+
+def test_a_dead_client_stops_after_the_budget(spark, tmp_path):
+    everything = {t for _, t in TEXTS}
+    ledger = AnswerLedger(str(tmp_path / "ledger"))
+    model = TextModel(client=counting(tmp_path / "dead", everything), prompt="p", batch_size=5, attempts=2)
+    got = ledger.predict(frame(spark), model, "text", "said", max_calls=7, callers=2, wait=0.01).collect()
+    assert len(calls(tmp_path / "dead")) <= 7
+    errors = collections.Counter(r.error for r in got if r.text is not None)
+    assert errors[OVER_BUDGET] > 0 and None not in errors and all(r.error is None for r in got if r.text is None)
+    # Failures are not stored: the next run asks again, and gets what is left.
+    alive = TextModel(client=counting(tmp_path / "alive"), prompt="p", batch_size=50)
+    assert not [r for r in ledger.predict(frame(spark), alive, "text", "said").collect() if r.error]
+
+
+def test_one_bad_text_does_not_stop_its_batch(spark, tmp_path):
+    ledger = AnswerLedger(str(tmp_path / "ledger"))
+    model = TextModel(client=counting(tmp_path / "some", {"text 5"}), prompt="p", batch_size=50, attempts=2)
+    got = ledger.predict(frame(spark), model, "text", "said", wait=0.01).collect()
+    assert {r.text for r in got if r.error} == {"text 5"} and all("ConnectionError" in r.error for r in got if r.error)
+    assert all(r.said == f"p:{r.text}" for r in got if r.text not in (None, "text 5"))
+    with pytest.raises(ValueError):
+        ledger.predict(frame(spark), model, "text", callers=3, max_calls=2)
+
+
+def test_empty_input(spark, tmp_path):
+    ledger = AnswerLedger(str(tmp_path / "ledger"))
+    model = TextModel(client=counting(tmp_path / "none"), prompt="p")
+    for rows in ([], [(1, None)]):
+        got = ledger.predict(spark.createDataFrame(rows, "k int, text string"), model, "text").collect()
+        assert len(got) == len(rows) and not calls(tmp_path / "none")
