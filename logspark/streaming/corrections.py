@@ -42,8 +42,10 @@ class SlotTable:
     path: str
     schema: T.StructType
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        rows = df.withColumn("_batch", F.lit(batch_id).cast("long")).hint("rebalance", "_slot")
+    def write(self, df: DataFrame, batch_id: int, spread: bool = False) -> None:
+        """``spread`` deals rows that come as they were read by slot, so that few files are written per slot."""
+        rows = df.withColumn("_batch", F.lit(batch_id).cast("long"))
+        rows = rows.hint("rebalance", "_slot") if spread else rows
         rows.write.partitionBy("_slot", "_batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
     def read(self, spark: SparkSession, slots: Iterable[int], upto: int) -> DataFrame:
@@ -245,7 +247,7 @@ def match_run_then_corrected(
         touched = new.select(*SLOT).distinct().persist()
         held = [new, touched]
         try:
-            tables.rows.write(new, batch_id)
+            tables.rows.write(new, batch_id, spread=True)
             slots = [r["_slot"] for r in touched.select("_slot").distinct().collect()]
             rows = tables.rows.read(spark, slots, batch_id).join(touched, SLOT, "left_semi").persist()
             held.append(rows)
