@@ -316,6 +316,28 @@ def created_and_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.agg(F.sum("event_count").alias("event_count"), F.count("*").alias("n_rows"))
 
 
+def appended_enriched(spark: SparkSession, logs: Logs) -> DataFrame:
+    """Every enriched match in a keyed table that only appends: two batches, of which the second runs again."""
+    table = LoginTables(scratch_dir(spark, "appended")).enriched
+    rows = an.enriched_failed_logins(spark, logs, every_match=True)
+    part = F.pmod(F.xxhash64("username"), F.lit(2))
+    for batch_id in (0, 1, 1):
+        table.write(rows.filter(part == batch_id), batch_id)
+    return table.read(spark)
+
+
+#: A row to insert by hand.
+LITERAL_ROW = ("198.51.100.1", 1, "login|failure")
+
+
+def literal_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from a query, with one literal row inserted."""
+    path = scratch_dir(use_utc(spark), "literal")
+    rows = materialize(an.failure_sequences(load_logs(spark, sf_dir)), path)
+    append_into(spark.createDataFrame([LITERAL_ROW], rows.schema), path)
+    return log_table(spark, path)
+
+
 def feed_of(logs: Logs) -> DataFrame:
     return event_feed(logs.json, logs.syslog, logs.cef)
 
@@ -379,6 +401,8 @@ QUERIES: dict[str, Query] = {
     "s9_recent_json": over_logs(
         lambda logs: reject_outside(logs.json, "P7D", "P1D", AS_OF).select("log_id", "timestamp")),
     "s21_created_and_inserted": created_and_inserted,
+    "s23_literal_row_inserted": literal_inserted,
+    "s25_appended_keyed_table": _with_session(appended_enriched),
     "k1_latest_per_topic": over_logs(an.newest_records),
     "k2_attribute_rows": over_logs(lambda logs: as_attribute_rows(an.newest_json_log(logs))),
     "g1_synth_logs": lambda spark, sf_dir: synth.flat_logs(synth.synth_logs(_ids(spark, sf_dir), seed=42)),

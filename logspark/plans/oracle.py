@@ -352,6 +352,8 @@ select log_id, "timestamp" from j where event_ts >= timestamp '{AS_OF}' - interv
   and event_ts <= timestamp '{AS_OF}' + interval 1 day"""),
         "s21_created_and_inserted": _with(select=f"""
 select source_ip, event_sequence_sample, cast(2 * event_count as bigint) as event_count, cast(2 as bigint) as n_rows from ({D4})"""),
+        "s23_literal_row_inserted": _with(select=f"""
+select * from ({D4}) union all select '198.51.100.1', cast(1 as bigint), 'login|failure'"""),
         "k1_latest_per_topic": _with(RECORDS, select=K1),
         "k2_attribute_rows": _with(select=K2),
         "g1_synth_logs": generated(42, pooled=True),
@@ -366,6 +368,7 @@ select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
     sql["w12_quarantine_stream"] = _with(select=I1["json"] + f" where log_id in (select {_PAD} from e where not ({BROKEN}))")
     for kind, text in I1.items():
         sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
+    sql["s25_appended_keyed_table"] = sql["e1_enriched_every_match"]
     for name in ("n2_messages_in_sql", "n3_messages_asked_once"):
         sql[name] = sql["n1_generated_messages"]
     # A stream gives what its batch form gives.
