@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from logspark.operators.levels import FAN, LeveledTable
 
 def upsert_latest(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
     """The last change of every key.
@@ -27,8 +28,8 @@ class KeyedTable:
 
     ``mode="upsert"``: every write is a batch of changes and readers see the last change per key
     (by ``order`` within a batch, later batches win). ``mode="append"``: readers see every row.
-    Writing costs the size of the change, not of the table. Each batch is a folder of its own that
-    is overwritten as a whole, so replaying a batch after a failure changes nothing.
+    Writing costs the size of the change, and of merging now and then (``operators.levels``), not of
+    the table. Writing a batch again after a failure replaces it. Readers may read while a stream writes.
     """
 
     path: str
@@ -36,6 +37,7 @@ class KeyedTable:
     key: tuple[str, ...]
     mode: str = "upsert"
     order: tuple[str, ...] = ()
+    fan: int = FAN
 
     def __post_init__(self):
         if self.mode not in ("upsert", "append"):
@@ -48,8 +50,12 @@ class KeyedTable:
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)
 
-    def folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id}"
+    @property
+    def stored(self) -> LeveledTable:
+        return LeveledTable(self.path, self._latest, self.schema, self.fan)
+
+    def _latest(self, changes: DataFrame) -> DataFrame:
+        return upsert_latest(changes, self.key, ("batch_id", *self.order)) if self.mode == "upsert" else changes
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Put rows in as batch ``batch_id``; the same id again replaces the first attempt."""
@@ -57,28 +63,25 @@ class KeyedTable:
         out = rows.select(*fields)
         if self.mode == "upsert" and self.order:
             out = upsert_latest(out, self.key, self.order)
-        out.write.mode("overwrite").parquet(self.folder(batch_id))
+        self.stored.write(out, batch_id)
 
     def changes(self, spark: SparkSession) -> DataFrame:
-        """All rows ever written, with their ``batch_id``."""
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        return spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        """All stored rows, with their ``batch_id``; of batches merged by upsert, the last change of each key."""
+        return self.stored.batches(spark)
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The rows written as one batch."""
-        return spark.read.schema(self.schema).parquet(self.folder(batch_id))
+        """The rows written as one batch, if it is the newest or not merged yet."""
+        return self.stored.batch(spark, batch_id)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        changes = self.changes(spark)
-        if self.mode == "upsert":
-            changes = upsert_latest(changes, self.key, ("batch_id", *self.order))
-        return changes.select(*self.schema.names)
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """What the newest version holds, or an earlier one that is still kept."""
+        return self.stored.read(spark, version).select(*self.schema.names)
 
     def fold(self, spark: SparkSession, path: str) -> "KeyedTable":
         """A table at another path that starts from what readers of this one see.
 
-        Folds the folders of many batches into one. Do it while nothing writes; the writer may then
-        go on with the new table, as its next batch ids are higher.
+        Folds all batches into one. Do it while nothing writes; the writer may then go on with the new
+        table, as its next batch ids are higher.
         """
         table = replace(self, path=path)
         table.write(self.read(spark), batch_id=-1)

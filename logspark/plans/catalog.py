@@ -15,13 +15,13 @@ from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, i
 from logspark.operators.enrich import message_text
 from logspark.operators.feed import event_feed
 from logspark.operators.infer import TextModel, register_predict_rows
-from logspark.operators.keyed import append_into, materialize
+from logspark.operators.keyed import KeyedTable, append_into, materialize
 from logspark.operators.ledger import AnswerLedger
 from logspark.plans import analytics as an, charts
 from logspark.schemas import TOPICS
 from logspark.session import scratch_dir, use_utc
 from logspark.sources import synth
-from logspark.sources.bronze import append_bronze, read_bronze, replace_day, write_bronze
+from logspark.sources.bronze import append_bronze, append_clustered, lookup, read_bronze, replace_day, write_bronze
 from logspark.sources.ingest import ingest, reject_outside
 from logspark.sources.logs import decode_topic, log_table
 from logspark.sources.monitor import as_attribute_rows
@@ -33,7 +33,8 @@ from logspark.streaming.feeds import EnrichedFeed, PairFeed, TotalsFeed, join_as
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.replay import feed_in_time_order, feed_with_late_rows, replay, replayed, stream_session
 from logspark.streaming.running import running_totals, store_entries
-from logspark.streaming.sinks import LoginTables, message_step
+from logspark.streaming.sinks import LoginTables, message_step, upsert_stream
+from logspark.streaming.sketches import sketched_totals, store_sketches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -338,6 +339,45 @@ def literal_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_table(spark, path)
 
 
+def latest_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest log of each address, upserted by a stream in order of time; old batches are merged as new ones come."""
+    base, columns = scratch_dir(use_utc(spark), "s24"), ("source_ip", "event_time", "log_id", "status")
+    table = KeyedTable(f"{base}/table", "source_ip string, event_time long, log_id string, status string",
+                       ("source_ip",), order=("event_time", "log_id"), fan=2)
+
+    def sink(json: DataFrame, path: str, checkpoint: str):
+        return upsert_stream(json.select(*columns), table, checkpoint)
+
+    replay(spark, sf_dir, lambda logs: logs.json, base, sink, feed_in_time_order)
+    return table.read(spark)
+
+
+#: Largest relative error of a distinct count that is told to be close: three standard errors.
+SKETCH_ERROR = 0.05
+
+
+def sketched_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct logs and addresses by stored sketches, and whether they are close to the exact ones."""
+    base, by = scratch_dir(use_utc(spark), "w1s"), ["event_type", "status"]
+    distinct = {"unique_logs": "log_id", "unique_sources": "source_ip"}
+
+    def sink(json: DataFrame, path: str, checkpoint: str):
+        return store_sketches(json, f"{base}/sketches", checkpoint, by, distinct, fan=2)
+
+    replay(spark, sf_dir, lambda logs: logs.json, base, sink)
+    totals = sketched_totals(spark, f"{base}/sketches", by, distinct)
+    exact = load_logs(spark, sf_dir).json.groupBy(*by).agg(*[F.count_distinct(c).alias(f"exact_{a}") for a, c in distinct.items()])
+    close = [(F.abs(F.col(a) - F.col(f"exact_{a}")) <= SKETCH_ERROR * F.col(f"exact_{a}")).alias(f"{a}_close") for a in distinct]
+    return totals.join(exact, by).select(*by, "event_count", *[f"exact_{a}" for a in distinct], *close)
+
+
+def address_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of one user from one address in a range of days, from a table clustered by both."""
+    path = scratch_dir(use_utc(spark), "s10")
+    append_clustered(ingest(load_logs(spark, sf_dir).json, "json"), path, ("source_ip", "username"))
+    return comparable(lookup(spark, path, {"source_ip": "10.0.0.13", "username": "root"}, WEEK_AGO, AS_OF))
+
+
 def feed_of(logs: Logs) -> DataFrame:
     return event_feed(logs.json, logs.syslog, logs.cef)
 
@@ -400,6 +440,9 @@ QUERIES: dict[str, Query] = {
         lambda logs: charts.incident_timeline_chart(logs.json, logs.cef, AS_OF, row_limit=None), WEEK_AGO, AS_OF),
     "s9_recent_json": over_logs(
         lambda logs: reject_outside(logs.json, "P7D", "P1D", AS_OF).select("log_id", "timestamp")),
+    "s10_address_lookup": address_lookup,
+    "s24_latest_by_source": latest_by_source,
+    "w1_sketched_activity": sketched_activity,
     "s21_created_and_inserted": created_and_inserted,
     "s23_literal_row_inserted": literal_inserted,
     "s25_appended_keyed_table": _with_session(appended_enriched),

@@ -350,6 +350,13 @@ from c group by 1, 2"""),
         "s9_recent_json": _with(select=f"""
 select log_id, "timestamp" from j where event_ts >= timestamp '{AS_OF}' - interval 7 day
   and event_ts <= timestamp '{AS_OF}' + interval 1 day"""),
+        "s24_latest_by_source": _with(select="""
+select source_ip, event_time, log_id, status from j
+qualify row_number() over (partition by source_ip order by event_time desc, log_id desc) = 1"""),
+        "w1_sketched_activity": _with(select="""
+select event_type, status, count(*) as event_count, count(distinct log_id) as exact_unique_logs,
+       count(distinct source_ip) as exact_unique_sources, true as unique_logs_close, true as unique_sources_close
+from j group by event_type, status"""),
         "s21_created_and_inserted": _with(select=f"""
 select source_ip, event_sequence_sample, cast(2 * event_count as bigint) as event_count, cast(2 as bigint) as n_rows from ({D4})"""),
         "s23_literal_row_inserted": _with(select=f"""
@@ -368,6 +375,9 @@ select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
     sql["w12_quarantine_stream"] = _with(select=I1["json"] + f" where log_id in (select {_PAD} from e where not ({BROKEN}))")
     for kind, text in I1.items():
         sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
+    sql["s10_address_lookup"] = f"""
+select * from ({sql["i1_bronze_json"]}) where source_ip = '10.0.0.13' and username = 'root'
+  and event_ts >= timestamp '2024-01-24' and event_ts < timestamp '{AS_OF}'"""
     sql["s25_appended_keyed_table"] = sql["e1_enriched_every_match"]
     for name in ("n2_messages_in_sql", "n3_messages_asked_once"):
         sql[name] = sql["n1_generated_messages"]

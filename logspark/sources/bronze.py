@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +13,8 @@ from logspark.functions.time import within
 # Rows per file and how often a stream looks for new data.
 MAX_ROWS_PER_FILE = 5_000_000
 CHECK_PERIOD = "30 seconds"
+#: Size of a row group of clustered days: small ones skip more, large ones scan faster.
+ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
 def write_bronze(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -45,6 +48,32 @@ def _put(df: DataFrame, path: str, part: str) -> None:
     writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
 
 
+def append_clustered(
+    df: DataFrame, path: str, by: Sequence[str], part: str | None = None, group_bytes: int = ROW_GROUP_BYTES
+) -> None:
+    """Append a batch to a day-partitioned table so that rows of one value of ``by`` lie together.
+
+    Rows are cut into ranges of (day, ``by``) and sorted within them: a lookup by the first column passes over all row groups
+    whose least and greatest value rule it out. Every column has a Bloom filter per row group, for
+    lookups by the others. A value that holds much of a day is still split over tasks, by ``event_ts``.
+    """
+    keys = ["event_date", *by, "event_ts"]
+    rows = df.withColumn("part", F.lit(part or f"append-{uuid.uuid4().hex}"))
+    writer = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    for column in by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer = writer.option("parquet.block.size", group_bytes).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date", "part").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
+
+
+def lookup(spark: SparkSession, path: str, wanted: Mapping[str, object], since=None, until=None) -> DataFrame:
+    """The rows of a stored table that have all these values: days are pruned by folder, row groups by range and Bloom filter."""
+    rows = read_bronze(spark, path, since, until)
+    for column, value in wanted.items():
+        rows = rows.filter(F.col(column) == F.lit(value))
+    return rows
+
+
 def replace_day(spark: SparkSession, path: str, day, rows: DataFrame | None = None) -> None:
     """Put ``rows`` in place of a day, or rewrite the day's own rows as few files.
 

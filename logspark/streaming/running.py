@@ -12,10 +12,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logspark.streaming.sinks import BatchTable, start
+from logspark.operators.levels import FAN, LeveledTable
+from logspark.streaming.sinks import start
 from logspark.streaming.windows import entry_totals, tagged_entries
 
 
+def stored_entries(path: str, by: Sequence[str], fan: int = FAN) -> LeveledTable:
+    """Counts per (group, tag, item); those of old batches are added up as new ones come."""
+
+    def add_up(counts: DataFrame) -> DataFrame:
+        return counts.groupBy(*by, "tag", "item").agg(F.sum("n").alias("n"))
+
+    return LeveledTable(path, add_up, fan=fan)
+
+
 def store_entries(
     df: DataFrame,
     path: str,
@@ -26,7 +36,7 @@ def store_entries(
     **trigger,
 ) -> StreamingQuery:
     """Count each micro-batch of a stream and store the counts; a replayed batch replaces its own."""
-    table = BatchTable(path)
+    table = stored_entries(path, by)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         entries = tagged_entries(batch, by, list((distinct or {}).values()))
@@ -41,8 +51,7 @@ def fold_entries(spark: SparkSession, path: str, new_path: str, by: Sequence[str
 
     Do it while nothing writes; the stream may then go on with the new path and its checkpoint.
     """
-    counts = spark.read.parquet(path).groupBy(*by, "tag", "item").agg(F.sum("n").alias("n"))
-    BatchTable(new_path).write(counts, -1)
+    stored_entries(new_path, by).write(stored_entries(path, by).read(spark), -1)
 
 
 def running_totals(
@@ -52,7 +61,6 @@ def running_totals(
     distinct: Mapping[str, str] | None = None,
     min_count: int = 0,
 ) -> DataFrame:
-    """Totals of all batches stored so far, groups with more than ``min_count`` rows."""
-    counts = spark.read.parquet(path).groupBy(*by, "tag", "item").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy(*by).agg(*entry_totals(list(distinct or {})))
+    """Totals of all batches stored so far, of one version of the stored counts; groups with more than ``min_count`` rows."""
+    totals = stored_entries(path, by).read(spark).groupBy(*by).agg(*entry_totals(list(distinct or {})))
     return totals.filter(F.col("event_count") > min_count)
