@@ -3,7 +3,11 @@
 Archives are files of one gzip member per record, written by Spark's own writer, so they may lie in
 any store that Spark reaches. ARC records are read by their declared lengths under the header
 line that the archive's version block names; WARC identifiers, times, types and digests are made from them and
-are the same on every run. A task works on whole archives, one record at a time.
+are the same on every run over the same archives: identifiers follow an archive's path below the folder and the record's
+place in it, so archives of one name, or of none, stay apart. A task works on whole archives, one record at a time.
+
+Where a header line or a declared length does not hold, that record is told as a problem, and reading goes on at the next
+line that is a whole header; the bytes passed over are counted. A version block may be empty or name fields of its own.
 
 Which record of equal payloads stays is decided on digests alone. Payloads are not shuffled, unless
 more records are revisits than may be broadcast.
@@ -41,11 +45,13 @@ ARC_FIELDS = {
 NUMBER = b"X-Page-Id"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = datetime(2020, 1, 1)
+#: Bytes read at a time.
+CHUNK = 1 << 16
 #: Rows handed on at a time.
 ROWS = 64
 RECORD = (
     "archive string, place long, record_id string, url string, date string, number long, size long, digest string, "
-    "problem string"
+    "problem string, unread long"
 )
 
 
@@ -64,7 +70,12 @@ def write_members(rows: DataFrame, path: str) -> None:
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    """Content of all files below a folder, with their path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString() + "/"
+    inside = F.when(F.col("path").startswith(root), F.substr("path", F.lit(len(root) + 1))).otherwise(F.col("path"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(inside.alias("path"), "content")
 
 
 def _stream(content: bytes) -> io.BufferedIOBase:
@@ -113,35 +124,96 @@ def write_arc(pages: DataFrame, path: str) -> None:
 # --- reading ARC, writing WARC -----------------------------------------------------------------
 
 
+class _Window:
+    """A stream of bytes that can be looked at before it is passed. What a broken stream still gave is kept."""
+
+    def __init__(self, stream: io.BufferedIOBase):
+        self.stream, self.held, self.at, self.ended, self.broken = stream, bytearray(), 0, False, None
+
+    def fill(self, size: int) -> int:
+        """Have ``size`` bytes at hand, or all that are left; tell how many."""
+        while len(self.held) - self.at < size and not self.ended:
+            try:
+                more = self.stream.read(min(max(CHUNK, size - len(self.held) + self.at), 256 * CHUNK))
+            except (OSError, EOFError, zlib.error) as broken:
+                more, self.broken = b"", f"unreadable: {broken}"
+            self.held += more
+            self.ended = not more
+        return min(size, len(self.held) - self.at)
+
+    def line(self, after: int = 0) -> bytes:
+        """The line that starts ``after`` bytes from here, with its end; nothing at the end."""
+        size = CHUNK
+        while True:
+            there = self.fill(after + size)
+            end = self.held.find(b"\n", self.at + after, self.at + there) + 1
+            if end or self.ended:
+                return bytes(self.held[self.at + after : end or len(self.held)])
+            size *= 2
+
+    def take(self, size: int) -> bytes:
+        self.fill(size)
+        out = bytes(self.held[self.at : self.at + size])
+        self.at += size
+        if self.at > max(CHUNK, len(self.held) // 2):
+            del self.held[: self.at]
+            self.at = 0
+        return out
+
+
+def _header(line: bytes, count: int) -> list[str] | None:
+    """The fields of a header line; the URL may hold spaces in old archives, so all others are counted from the right."""
+    parts = line.rstrip(b"\r\n").decode("utf-8", "surrogateescape").rsplit(" ", count - 1)
+    return parts if len(parts) == count and parts[-1].isascii() and parts[-1].isdigit() else None
+
+
+def _starts_record(line: bytes, fields: list[str]) -> bool:
+    """Whether a line found behind damage is a header: a URL, a date of digits, a length."""
+    told = dict(zip(fields, _header(line, len(fields)) or ()))
+    return ":" in told.get("URL", "") and told.get("Archive-date", "1999").isdigit()
+
+
 def read_arc(content: bytes) -> Iterator[tuple[int, dict, bytes, str | None]]:
     """(place, header fields, block, problem) of each record after the version block.
 
-    Where a header or a length does not hold, the problem is told and reading of that archive ends.
+    A record with a problem has no block; its field ``unread`` counts the bytes passed over, up to the next header line.
     """
-    stream, fields, place = _stream(content), ARC_FIELDS["1"], 0
-    try:
-        while line := stream.readline():
-            if not line.strip():
-                continue
-            # The URL may hold spaces in old archives: all other fields are counted from the right.
-            parts = line.rstrip(b"\r\n").decode("utf-8", "surrogateescape").rsplit(" ", 4 if line.startswith(b"filedesc:") and not place else len(fields) - 1)
-            if not parts[-1].isdigit() or (len(parts) != len(fields) and place):
-                yield place, {"archive": "", "URL": parts[0]}, b"", f"no {len(fields)} fields with a length"
-                return
-            block = stream.read(int(parts[-1]))
-            if len(block) < int(parts[-1]):
-                yield place, {"archive": "", "URL": parts[0]}, b"", "shorter than declared"
-                return
-            if not place and line.startswith(b"filedesc:"):
-                lines = block.decode("utf-8", "surrogateescape").splitlines()
-                fields = ARC_FIELDS.get(lines[0].split(" ")[0], lines[1].split(" ") if len(lines) > 1 else fields)
-                name = line.split(b" ")[0][len(b"filedesc://") :].decode("utf-8", "surrogateescape")
+    window, fields, place, name = _Window(_stream(content)), ARC_FIELDS["1"], 0, ""
+    while line := window.line():
+        if not line.strip():
+            window.take(len(line))
+            continue
+        about = not place and line.startswith(b"filedesc:")
+        # The version block's own line may have the fields of either version: its length comes last in both.
+        parts = _header(line, 5 if about else len(fields))
+        url, problem = line.rstrip(b"\r\n").decode("utf-8", "surrogateescape").split(" ")[0], None
+        if parts is None:
+            problem = f"no {len(fields)} fields with a length"
+        else:
+            size = min(int(parts[-1]), 2**62)
+            if window.fill(len(line) + size) < len(line) + size:
+                problem = "shorter than declared"
+            elif window.fill(len(line) + size + 1) > len(line) + size and window.held[window.at + len(line) + size] not in b"\r\n" \
+                    and not _starts_record(window.line(len(line) + size), fields) and not about:
+                problem = "declared length ends within a record"
+        window.take(len(line))
+        if problem:
+            unread = len(line)
+            while (line := window.line()) and not _starts_record(line, fields):
+                unread += len(window.take(len(line)))
+            yield place, {"archive": name, "URL": url, "unread": unread}, b"", problem
+        else:
+            block = window.take(size)
+            if about:
+                lines = block.decode("utf-8", "surrogateescape").splitlines() or [""]
+                named = lines[1].split(" ") if len(lines) > 1 else []
+                fields = ARC_FIELDS.get(lines[0].split(" ")[0], named if "URL" in named else fields)
+                name = url[len("filedesc://") :]
             else:
-                name = "" if not place else name
                 yield place, dict(zip(fields, parts)) | {"archive": name}, block, None
-            place += 1
-    except (OSError, EOFError, zlib.error) as broken:
-        yield place, {"archive": "", "URL": ""}, b"", f"unreadable: {broken}"
+        place += 1
+    if window.broken:
+        yield place, {"archive": name, "URL": "", "unread": 0}, b"", window.broken
 
 
 def _http(block: bytes) -> tuple[bytes | None, bytes]:
@@ -177,34 +249,35 @@ def _warc(kind: str, record_id: str, block: bytes, mime: str, **fields: str | No
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogateescape") + b"\r\n" + block + b"\r\n\r\n"
 
 
-def _parsed(content: bytes) -> Iterator[tuple[dict, dict, bytes | None, bytes]]:
+def _parsed(path: str, content: bytes) -> Iterator[tuple[dict, dict, bytes | None, bytes]]:
     """Columns of RECORD, the ARC fields, HTTP head and payload of each record."""
     for place, arc, block, problem in read_arc(content):
         head, body = _http(block)
-        record_id = uuid.uuid5(uuid.NAMESPACE_URL, f"{arc['archive']}#{place}").urn
+        record_id = uuid.uuid5(uuid.NAMESPACE_URL, f"{path}#{place}").urn
         yield {
-            "archive": arc["archive"], "place": place, "record_id": record_id,
+            "archive": arc["archive"] or path, "place": place, "record_id": record_id,
             "url": arc["URL"].encode("utf-8", "surrogateescape").decode("utf-8", "replace"),
             "date": _iso(arc.get("Archive-date", "")), "number": _field(head, NUMBER), "size": len(body),
             "digest": hashlib.sha256(body).hexdigest(), "problem": problem,
+            "unread": arc.get("unread"),
         }, arc, head, body
 
 
 def _records(batches: Iterator[pa.RecordBatch], warc: bool) -> Iterator[pa.RecordBatch]:
     """Records of ARC archives; with ``warc`` also the response record, and the head that a revisit keeps."""
     names = [c.split()[0] for c in RECORD.split(", ")] + ["head", "member"] * warc
-    kinds = {"place": pa.int64(), "number": pa.int64(), "size": pa.int64(), "head": pa.binary(), "member": pa.binary()}
+    kinds = {"place": pa.int64(), "number": pa.int64(), "size": pa.int64(), "unread": pa.int64(), "head": pa.binary(), "member": pa.binary()}
     for batch in batches:
-        for content in batch.column("content"):
+        for path, content in zip(batch.column("path"), batch.column("content")):
             rows: list[dict] = []
-            for row, arc, head, body in _parsed(content.as_py()):
+            for row, arc, head, body in _parsed(path.as_py(), content.as_py()):
                 if warc:
                     mime = "application/http; msgtype=response" if head is not None else arc.get("Content-type", "application/octet-stream")
                     kind = "response" if head is not None or row["url"].startswith("dns:") else "resource"
                     row["head"] = head
                     row["member"] = b"" if row["problem"] else member(_warc(
                         kind, row["record_id"], (head or b"") + body, mime, Target_URI=row["url"], Date=row["date"],
-                        IP_Address=arc["IP-address"], Payload_Digest="sha256:" + row["digest"],
+                        IP_Address=arc.get("IP-address"), Payload_Digest="sha256:" + row["digest"],
                     ))
                 rows.append(row)
                 if len(rows) >= ROWS:
@@ -262,7 +335,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
         whole.join(revisits, "record_id", "left").select("record_id", "url", "date", "digest", "head", "first", F.when(F.col("first").isNull(), F.col("member")).alias("member"))
         .mapInArrow(_warc_members, "member binary"), warc_path,
     )
-    return light.where("problem is not null").select("archive", "place", "url", "problem")
+    return light.where("problem is not null").select("archive", "place", "url", "problem", "unread")
 
 
 # --- reading WARC ------------------------------------------------------------------------------
@@ -324,7 +397,8 @@ def archived_pages(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     spark = pages.sparkSession
     arc, warc = scratch_dir(spark, "arc"), scratch_dir(spark, "warc")
     write_arc(pages, arc)
-    convert(spark, arc, warc, least)
+    if lost := convert(spark, arc, warc, least).count():
+        raise ValueError(f"{lost} records of the archives below {arc} could not be read")
     read = saved(warc_records(spark, warc), "warc-records")
     responses = read.where("record_type = 'response'").select(F.col("record_id").alias("refers_id"), F.col("number").alias("refers_to"))
     revisits = read.where("record_type = 'revisit'").join(responses, "refers_id", "left")

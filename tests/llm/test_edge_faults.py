@@ -5,7 +5,7 @@ import time
 import numpy as np
 import pytest
 
-from logspark.llm import secret_scan, sql
+from logspark.llm import secret_scan, sql, warc
 from logspark.llm.chat import format_chats
 from logspark.llm.decontaminate import find_contamination
 from logspark.llm.substring import remove_repeated
@@ -100,3 +100,63 @@ def test_no_name_becomes_another_name_of_the_corpus(spark):
     more = names.unionAll(spark.createDataFrame([({"surname": "given_f"}.get(k, "surname"), s) for k, s in taken], names.schema))
     got = pii.draw_surrogates(more, "k").collect()
     assert not {r.norm for r in got} & {r.surrogate for r in got} and len({r.surrogate for r in got}) == 6
+
+
+ABOUT = b"1 0 origin\nURL IP-address Archive-date Content-type Archive-length\n"
+
+
+def arc(*records, about=ABOUT, name=b"same.arc"):
+    """An archive of (URL, block, declared length or None) with a version block."""
+    out = b"" if about is None else b"filedesc://%s 0.0.0.0 19990101000000 text/plain %d\n%s\n" % (name, len(about), about)
+    for url, block, told in records:
+        out += b"%s 1.2.3.4 19990101000000 text/html %d\n%s\n" % (url, len(block) if told is None else told, block)
+    return out
+
+
+PAGE = b"HTTP/1.1 200 OK\r\n\r\n" + b"p" * 200
+
+
+@pytest.mark.parametrize("about", [None, b"", ABOUT])
+def test_archives_of_one_name_or_none_stay_apart(spark, tmp_path, about):
+    folder = tmp_path / "arc"
+    for k in range(3):
+        (folder / f"d{k}").mkdir(parents=True)
+        (folder / f"d{k}" / "same.arc").write_bytes(arc((b"http://a/%d" % k, PAGE, None), (b"http://b/", b"small", None), about=about))
+    assert warc.convert(spark, str(folder), str(tmp_path / "warc")).count() == 0
+    got = warc.warc_records(spark, str(tmp_path / "warc")).collect()
+    assert len(got) == 6 == len({r.record_id for r in got}) and all(r.intact for r in got)
+    first, = {r.refers_id for r in got if r.record_type == "revisit"}
+    assert [r.record_type for r in got if r.record_id == first] == ["response"]
+    assert sum(r.record_type == "revisit" for r in got) == 2
+
+
+def test_reading_goes_on_behind_damage():
+    good = (b"http://x/", b"one\ntwo", None)
+    for told, why in ((10**15, "shorter than declared"), (3, "declared length ends within a record"), (58, "declared length ends within a record")):
+        bad = (b"http://bad/", b"12345\n67890", told)
+        rows = list(warc.read_arc(arc(good, bad, good, good)))
+        assert [(a["URL"], p) for _, a, _, p in rows] == [("http://x/", None), ("http://bad/", why), ("http://x/", None), ("http://x/", None)]
+        assert [b for *_, b, p in rows if p is None] == [b"one\ntwo"] * 3
+        damage = rows[1][1]["unread"]
+        assert damage == len(arc(bad, about=None)), damage
+    rows = list(warc.read_arc(arc(good) + b"junk\nmore junk\n" + arc(good, about=None)))
+    assert [(a.get("unread"), p) for _, a, _, p in rows] == [(None, None), (15, "no 5 fields with a length"), (None, None)]
+
+
+def test_fields_of_other_archives_and_empty_files(spark, tmp_path):
+    about = b"7 0 other\nURL Archive-date Archive-length\n"
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.arc").write_bytes(arc(about=about) + b"http://z/ 19990203040506 %d\n%s\n" % (len(PAGE), PAGE))
+    (tmp_path / "arc" / "empty.arc").write_bytes(b"")
+    (tmp_path / "arc" / "junk.arc").write_bytes(b"\xff\xfe no archive")
+    lost = warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc")).collect()
+    assert [(r.archive, r.unread) for r in lost] == [("junk.arc", 13)]
+    got, = warc.warc_records(spark, str(tmp_path / "warc")).collect()
+    assert (got.url, got.date, got.payload_bytes, got.intact) == ("http://z/", "1999-02-03T04:05:06Z", 200, True)
+
+
+def test_many_false_lengths_take_time_in_proportion():
+    line = b"http://x/ 1.2.3.4 19990101000000 text/html 999999999\n"
+    start = time.perf_counter()
+    assert len(list(warc.read_arc(line * 40_000))) == 40_000
+    assert time.perf_counter() - start < 20
