@@ -27,13 +27,14 @@ from logspark.sources.logs import decode_topic, log_table
 from logspark.sources.monitor import as_attribute_rows
 from logspark.sources.publish import log_value
 from logspark.sources.quarantine import BadRecordPolicy, bad_records, good_records, quarantine
+from logspark.sources.stored_topic import read_stored_topic, store_records
 from logspark.streaming.batches import suspicious_logins_batches
 from logspark.streaming.corrections import MatchState, corrected_logins
 from logspark.streaming.feeds import EnrichedFeed, PairFeed, TotalsFeed, join_as_of, pair_rows
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.replay import feed_in_time_order, feed_with_late_rows, replay, replayed, stream_session
 from logspark.streaming.running import running_totals, store_entries
-from logspark.streaming.sinks import LoginTables, message_step, upsert_stream
+from logspark.streaming.sinks import LoginTables, append_stream, message_step, upsert_stream
 from logspark.streaming.sketches import sketched_totals, store_sketches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,6 +340,22 @@ def literal_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_table(spark, path)
 
 
+def topic_by_offsets(starting: str) -> Query:
+    """Decoded records of a stored topic by a stream that is stopped when half of them are there, and then goes on."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_dir(use_utc(spark), "s1")
+        raw = json_topic(load_logs(spark, sf_dir))
+        half = raw.agg(F.max("offset")).first()[0]
+        for part in (F.col("offset") <= (half or 0) // 2, F.col("offset") > (half or 0) // 2):
+            store_records(raw.where(part), f"{base}/topic")
+            records = decode_topic(read_stored_topic(spark, f"{base}/topic", TOPICS["json"], starting), "json")
+            append_stream(good_records(records), f"{base}/result", f"{base}/checkpoint").awaitTermination()
+        return comparable(spark.read.parquet(f"{base}/result"))
+
+    return run
+
+
 def latest_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest log of each address, upserted by a stream in order of time; old batches are merged as new ones come."""
     base, columns = scratch_dir(use_utc(spark), "s24"), ("source_ip", "event_time", "log_id", "status")
@@ -440,6 +457,8 @@ QUERIES: dict[str, Query] = {
         lambda logs: charts.incident_timeline_chart(logs.json, logs.cef, AS_OF, row_limit=None), WEEK_AGO, AS_OF),
     "s9_recent_json": over_logs(
         lambda logs: reject_outside(logs.json, "P7D", "P1D", AS_OF).select("log_id", "timestamp")),
+    "s1_topic_from_earliest": topic_by_offsets("earliest"),
+    "s8_topic_from_latest": topic_by_offsets("latest"),
     "s10_address_lookup": address_lookup,
     "s24_latest_by_source": latest_by_source,
     "w1_sketched_activity": sketched_activity,

@@ -375,6 +375,8 @@ select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
     sql["w12_quarantine_stream"] = _with(select=I1["json"] + f" where log_id in (select {_PAD} from e where not ({BROKEN}))")
     for kind, text in I1.items():
         sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
+    sql["s1_topic_from_earliest"] = sql["i2_quarantine_good"]
+    sql["s8_topic_from_latest"] = sql["i2_quarantine_good"] + " and event_id > (select max(event_id) // 2 from e)"
     sql["s10_address_lookup"] = f"""
 select * from ({sql["i1_bronze_json"]}) where source_ip = '10.0.0.13' and username = 'root'
   and event_ts >= timestamp '2024-01-24' and event_ts < timestamp '{AS_OF}'"""

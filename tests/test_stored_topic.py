@@ -1,0 +1,74 @@
+"""Topics read by offsets: start positions, stopping and going on, partitions that come later, gaps."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from logspark.sources.stored_topic import OffsetIndex, StoredTopicStream, read_stored_topic, store_records
+from logspark.streaming.sinks import append_stream
+
+
+def records(spark, ids, partition=0, topic="a b"):
+    return spark.createDataFrame([(i,) for i in ids], "offset long").select(
+        F.lit(topic).alias("topic"), F.lit(partition).alias("partition"), "offset",
+        F.expr("timestamp_millis(1700000000123 + offset)").alias("timestamp"),
+        F.when(F.col("offset") % 3 > 0, F.col("offset").cast("string").cast("binary")).alias("key"),
+        F.concat(F.lit("v"), F.col("offset").cast("string")).cast("binary").alias("value"))
+
+
+def offsets(df):
+    return sorted((r.partition, r.offset) for r in df.collect())
+
+
+@pytest.mark.parametrize("starting, first", [("earliest", 0), ("latest", 50), ('{"0": 7}', 7)])
+def test_stream_goes_on_where_it_was(spark, tmp_path, starting, first):
+    path, out = str(tmp_path / "topic"), str(tmp_path / "out")
+
+    def run():
+        stream = read_stored_topic(spark, path, "a b", starting, recordsPerTask=8)
+        append_stream(stream, out, str(tmp_path / "check")).awaitTermination()
+
+    store_records(records(spark, range(50)), path)
+    store_records(records(spark, range(9), topic="other"), path)
+    run()
+    run()
+    store_records(records(spark, range(50, 80)), path)
+    store_records(records(spark, [5, 6, 900], partition=3), path)
+    run()
+    want = [(0, i) for i in range(first, 80)] + [(3, i) for i in (5, 6, 900)]
+    got = spark.read.parquet(out)
+    assert offsets(got) == want
+    assert not got.exceptAll(records(spark, range(80)).unionByName(records(spark, [5, 6, 900], partition=3))).count()
+
+
+def test_table_of_a_range(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    store_records(records(spark, range(40)), path)
+    got = read_stored_topic(spark, path, "a b", '{"0": 33}', stream=False)
+    assert offsets(got) == [(0, i) for i in range(33, 40)]
+    assert not got.exceptAll(records(spark, range(40))).count()
+    assert read_stored_topic(spark, path, "nothing", stream=False).count() == 0
+
+
+def test_tasks_are_ranges_and_skip_gaps(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    for ids in (range(20), range(10**9, 10**9 + 5)):
+        store_records(records(spark, ids), path)
+    reader = StoredTopicStream({"path": path, "topic": "a b", "recordsPerTask": "8"})
+    assert reader.initialOffset() == {"0": 0} and reader.latestOffset() == {"0": 10**9 + 5}
+    ranges = reader.partitions({"0": 4}, reader.latestOffset())
+    assert [(r.low, r.high) for r in ranges] == [(4, 12), (12, 20), (10**9, 10**9 + 5)]
+    assert [b.num_rows for r in ranges[-1:] for b in reader.read(r)]
+    assert sum(b.num_rows for r in ranges for b in reader.read(r)) == 21
+
+
+def test_footers_are_read_once(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    path, read, calls = str(tmp_path / "topic"), pq.read_metadata, []
+    monkeypatch.setattr(pq, "read_metadata", lambda *a, **k: calls.append(a) or read(*a, **k))
+    store_records(records(spark, range(20)).coalesce(1), path)
+    index = OffsetIndex(path, "a b")
+    assert index.ends() == {"0": (0, 20)} == index.ends()
+    before = len(calls)
+    store_records(records(spark, [20]), path)
+    assert index.ends() == {"0": (0, 21)} and len(calls) == before + 1
