@@ -180,8 +180,10 @@ def read_stored_topic(
 ) -> DataFrame:
     """The records of a stored topic from a start position on; a stream with a checkpoint goes on where it was.
 
-    Give the application's first session: Spark refuses to register the source in one made by ``newSession``.
+    A session made by ``newSession`` can neither use a source registered in another one nor register that name again, so
+    each session has a name of its own for it.
     """
-    spark.dataSource.register(StoredTopic)
-    reader = (spark.readStream if stream else spark.read).format("stored_topic")
+    name = f"stored_topic_{spark._jsparkSession.sessionUUID().replace('-', '')}"
+    spark.dataSource.register(type("StoredTopic", (StoredTopic,), {"name": classmethod(lambda cls: name)}))
+    reader = (spark.readStream if stream else spark.read).format(name)
     return reader.options(path=path, topic=topic, startingOffsets=starting, **options).load()

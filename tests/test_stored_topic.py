@@ -49,6 +49,13 @@ def test_table_of_a_range(spark, tmp_path):
     assert read_stored_topic(spark, path, "nothing", stream=False).count() == 0
 
 
+def test_every_session_reads(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    store_records(records(spark, range(4)), path)
+    for session in (spark, first := spark.newSession(), spark, spark.newSession(), first):
+        assert offsets(read_stored_topic(session, path, "a b", stream=False)) == [(0, i) for i in range(4)]
+
+
 def test_tasks_are_ranges_and_skip_gaps(spark, tmp_path):
     path = str(tmp_path / "topic")
     for ids in (range(20), range(10**9, 10**9 + 5)):
