@@ -9,8 +9,8 @@ place in it, so archives of one name, or of none, stay apart. A task works on wh
 Where a header line or a declared length does not hold, that record is told as a problem, and reading goes on at the next
 line that is a whole header; the bytes passed over are counted. A version block may be empty or name fields of its own.
 
-Which record of equal payloads stays is decided on digests alone. Payloads are not shuffled, unless
-more records are revisits than may be broadcast.
+Which record of equal payloads stays is decided on digests alone; then records meet these decisions by identifier,
+in one and the same plan at all sizes.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ from logspark.session import scratch_dir
 
 #: Payloads below so many bytes are never revisits.
 LEAST_REVISIT = 100
-#: Revisit decisions that are broadcast: about 300 bytes each.
-BROADCAST_REVISITS = 20_000
 #: Fields of a record's header line, by archive version.
 ARC_FIELDS = {
     "1": ["URL", "IP-address", "Archive-date", "Content-type", "Archive-length"],
@@ -328,11 +326,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
         good.where(F.col("size") >= least).join(firsts, "digest").where("record_id != first.record_id")
         .select("record_id", F.struct("first.record_id", "first.url", "first.date").alias("first")), "revisits",
     )
-    if revisits.count() <= BROADCAST_REVISITS:
-        revisits = F.broadcast(revisits)
     whole = read.mapInArrow(partial(_records, warc=True), RECORD + ", head binary, member binary").where("problem is null")
     write_members(
-        whole.join(revisits, "record_id", "left").select("record_id", "url", "date", "digest", "head", "first", F.when(F.col("first").isNull(), F.col("member")).alias("member"))
+        whole.join(revisits.hint("merge"), "record_id", "left").select("record_id", "url", "date", "digest", "head", "first", F.when(F.col("first").isNull(), F.col("member")).alias("member"))
         .mapInArrow(_warc_members, "member binary"), warc_path,
     )
     return light.where("problem is not null").select("archive", "place", "url", "problem", "unread")

@@ -50,9 +50,7 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("broadcast", [20_000, 0])
-def test_archives_there_and_back(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(warc, "BROADCAST_REVISITS", broadcast)
+def test_archives_there_and_back(spark):
     frame = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("digest", F.lit(1)).repartition(3)
     got = warc.archived_pages(frame)
     assert collections.Counter(tuple(r)[:5] for r in got.collect()) == archived(PAGES)
