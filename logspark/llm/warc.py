@@ -43,6 +43,8 @@ ARC_FIELDS = {
 NUMBER = b"X-Page-Id"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = datetime(2020, 1, 1)
+#: Level of compression; members are written, shuffled and written again, so size weighs more than time.
+LEVEL = 6
 #: Bytes read at a time.
 CHUNK = 1 << 16
 #: Rows handed on at a time.
@@ -58,7 +60,7 @@ def member(record: bytes) -> bytes:
 
     A member ends in the top byte of its length, which is zero below 16 MB; a longer one is followed by an empty member.
     """
-    packed = gzip.compress(record, 1, mtime=0)
+    packed = gzip.compress(record, LEVEL, mtime=0)
     return (packed if packed[-1] == 0 else packed + gzip.compress(b"", 1, mtime=0))[:-1]
 
 
