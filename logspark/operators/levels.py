@@ -12,13 +12,14 @@ The rename must refuse to replace a file, as it does on HDFS and local disks.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from logspark.operators.versions import Versions
+
 #: Folders of one level that are merged into one of the next.
 FAN = 8
 #: Versions whose folders stay for readers that have opened them.
@@ -35,16 +36,12 @@ class Folder:
     level: int = 0
 
 
-class VersionConflict(RuntimeError):
-    """Another writer has put the same version in place."""
-
-
 def unchanged(rows: DataFrame) -> DataFrame:
     return rows
 
 
 @dataclass(frozen=True)
-class LeveledTable:
+class LeveledTable(Versions):
     """A table at ``path``; ``merge`` makes fewer rows of several batches' rows, which have a ``batch_id``.
 
     ``merge`` must be associative: merging merged rows gives what merging all rows gives. The ``batch_id`` of
@@ -57,50 +54,16 @@ class LeveledTable:
     fan: int = FAN
     keep: int = KEEP
 
-    # --- versions ------------------------------------------------------------------------------
-
-    def _place(self, spark: SparkSession, name: str):
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _names(self, spark: SparkSession, folder: str) -> list[str]:
-        place, files = self._place(spark, folder)
-        return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
-
-    def versions(self, spark: SparkSession) -> list[int]:
-        return sorted(int(n[1:-5]) for n in self._names(spark, "_versions") if n.startswith("v") and n.endswith(".json"))
-
     def folders(self, spark: SparkSession, version: int | None = None) -> list[Folder]:
         """The folders of a version, oldest batches first; of the newest version where none is named."""
         if version is None:
             version = max(self.versions(spark), default=None)
             if version is None:
                 return []
-        place, files = self._place(spark, f"_versions/v{version:012d}.json")
-        stream = files.open(place)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return [Folder(**f) for f in json.loads(text)]
+        return [Folder(**f) for f in self._listed(spark, version)]
 
     def _commit(self, spark: SparkSession, version: int, folders: list[Folder]) -> None:
-        """Put a version in place, unless there is one of that number."""
-        jvm = spark._jvm
-        place, files = self._place(spark, f"_versions/v{version:012d}.json")
-        draft, _ = self._place(spark, f"_versions/draft-{uuid.uuid4().hex}")
-        out = files.create(draft, True)
-        out.write(bytearray(json.dumps([vars(f) for f in folders]).encode()))
-        out.close()
-        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
-        try:
-            context.rename(draft, place, options)
-        except Exception as refused:
-            files.delete(draft, False)
-            if files.exists(place):
-                raise VersionConflict(f"version {version} of {self.path} is there already") from refused
-            raise
+        self._put_in_place(spark, version, [vars(f) for f in folders])
 
     def _clean(self, spark: SparkSession) -> None:
         """Remove versions before the last ``keep``, and folders that none of the others names.

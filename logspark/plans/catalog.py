@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,6 +23,7 @@ from logspark.schemas import TOPICS
 from logspark.session import scratch_dir, use_utc
 from logspark.sources import synth
 from logspark.sources.bronze import append_bronze, append_clustered, lookup, read_bronze, replace_day, write_bronze
+from logspark.sources.days import DayTable
 from logspark.sources.ingest import ingest, reject_outside
 from logspark.sources.logs import decode_topic, log_table
 from logspark.sources.monitor import as_attribute_rows
@@ -308,6 +310,30 @@ def bronze_stream(kind: str) -> Query:
     return run
 
 
+def versioned_days(kind: str) -> Query:
+    """A log stream stored by day in versions: parts merged as it runs, a day replaced, read while that happens.
+
+    Half of the days come from the version a reader had opened before, half from the newest.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_dir(use_utc(spark), f"s12-{kind}")
+        table = DayTable(f"{base}/table", ingest(getattr(load_logs(spark, sf_dir), kind), kind).schema, fan=2)
+
+        def sink(df: DataFrame, path: str, checkpoint: str):
+            return table.stream(df, checkpoint, available_now=True)
+
+        replay(spark, sf_dir, lambda logs: ingest(getattr(logs, kind), kind), base, sink)
+        opened = table.read(spark)
+        day = opened.agg(F.max("event_date")).first()[0]
+        if day is not None:
+            table.replace_day(spark, day, table.read(spark, day, day + timedelta(1)))
+        even = F.coalesce(F.day("event_date") % 2 == 0, F.lit(False))
+        return comparable(opened.where(even).unionByName(table.read(spark).where(~even)))
+
+    return run
+
+
 def created_and_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table made from a query, with the same rows inserted again."""
     path = scratch_dir(use_utc(spark), "created")
@@ -460,6 +486,8 @@ QUERIES: dict[str, Query] = {
     "s1_topic_from_earliest": topic_by_offsets("earliest"),
     "s8_topic_from_latest": topic_by_offsets("latest"),
     "s10_address_lookup": address_lookup,
+    "s12_versioned_days_json": versioned_days("json"),
+    "s12_versioned_days_cef": versioned_days("cef"),
     "s24_latest_by_source": latest_by_source,
     "w1_sketched_activity": sketched_activity,
     "s21_created_and_inserted": created_and_inserted,

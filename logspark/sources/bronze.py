@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logspark.functions.time import within
@@ -57,13 +57,18 @@ def append_clustered(
     whose least and greatest value rule it out. Every column has a Bloom filter per row group, for
     lookups by the others. A value that holds much of a day is still split over tasks, by ``event_ts``.
     """
-    keys = ["event_date", *by, "event_ts"]
     rows = df.withColumn("part", F.lit(part or f"append-{uuid.uuid4().hex}"))
-    writer = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    writer = clustered_writer(rows, by, group_bytes).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date", "part").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
+
+
+def clustered_writer(rows: DataFrame, by: Sequence[str], group_bytes: int = ROW_GROUP_BYTES) -> DataFrameWriter:
+    """Ranges of (day, ``by``), with a Bloom filter per row group for each column of ``by``."""
+    keys = ["event_date", *by, "event_ts"]
+    writer = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.option("parquet.block.size", group_bytes)
     for column in by:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    writer = writer.option("parquet.block.size", group_bytes).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("event_date", "part").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
+    return writer
 
 
 def lookup(spark: SparkSession, path: str, wanted: Mapping[str, object], since=None, until=None) -> DataFrame:

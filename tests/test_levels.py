@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from logspark.operators.keyed import KeyedTable
-from logspark.operators.levels import LeveledTable, VersionConflict
+from logspark.operators.levels import LeveledTable
+from logspark.operators.versions import VersionConflict
 from logspark.sources.bronze import append_clustered, lookup
 from logspark.streaming.sketches import sketched_totals, store_sketches
 
