@@ -16,7 +16,7 @@ import time
 
 from logspark.plans.catalog import QUERIES
 from logspark.session import build_session
-from logspark.sources.synth import flat_logs, numbered_ids, synth_logs
+from logspark.sources.synth import flat_mixed, mixed_logs, numbered_ids
 
 GENERATED_ROWS = 1_000_000
 BATCH = [
@@ -61,7 +61,7 @@ def main() -> None:
         print(f"{name}: {took[name]:.2f} s", file=sys.stderr, flush=True)
     rates = {}
     if not only:
-        made = seconds(lambda: flat_logs(synth_logs(numbered_ids(spark, GENERATED_ROWS))))
+        made = seconds(lambda: flat_mixed(mixed_logs(numbered_ids(spark, GENERATED_ROWS))))
         rates["generated_rows_per_sec"] = round(GENERATED_ROWS / made)
         events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
         rates["pattern_rows_per_sec"] = round(events / took["m2_suspicious_logins"])

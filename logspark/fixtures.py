@@ -6,6 +6,7 @@ record. The functions take and return DataFrames, batch or streaming.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -68,7 +69,7 @@ def prepare_events(events: DataFrame) -> DataFrame:
     ).withColumn("event_ts", event_timestamp())
 
 
-def json_logs(prepared: DataFrame) -> DataFrame:
+def json_logs(prepared: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     k, et = F.col("k"), F.col("et")
     return prepared.select(
         _padded_id().alias("log_id"),
@@ -83,10 +84,11 @@ def json_logs(prepared: DataFrame) -> DataFrame:
         F.concat(_choose(NOTES, k % 25), F.lit(" for log "), _padded_id()).alias("details"),
         "event_time",
         "event_ts",
+        *also,
     )
 
 
-def syslog_logs(prepared: DataFrame) -> DataFrame:
+def syslog_logs(prepared: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     return prepared.filter(F.col("event_id") % 2 == 0).select(
         F.col("k").alias("priority"),
         "timestamp",
@@ -96,10 +98,11 @@ def syslog_logs(prepared: DataFrame) -> DataFrame:
         F.concat(F.lit("Security event "), _padded_id(), F.lit(" occurred")).alias("message"),
         "event_time",
         "event_ts",
+        *also,
     )
 
 
-def cef_logs(prepared: DataFrame) -> DataFrame:
+def cef_logs(prepared: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     k, et = F.col("k"), F.col("et")
     return prepared.filter(F.col("event_id") % 2 == 1).select(
         F.lit("0").alias("version"),
@@ -120,16 +123,19 @@ def cef_logs(prepared: DataFrame) -> DataFrame:
         ).alias("extension"),
         "event_time",
         "event_ts",
+        *also,
     )
 
 
-def derive_logs(events: DataFrame) -> Logs:
+def derive_logs(events: DataFrame, also: Sequence[str] = ()) -> Logs:
     prepared = prepare_events(events)
-    return Logs(json_logs(prepared), syslog_logs(prepared), cef_logs(prepared))
+    return Logs(*[logs(prepared, also) for logs in (json_logs, syslog_logs, cef_logs)])
 
 
-def load_logs(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> Logs:
-    """Logs derived from a folder of tables, or those with event time in ``[since, until)``.
+def load_logs(
+    spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None, also: Sequence[str] = ()
+) -> Logs:
+    """Logs derived from a folder of tables, or those with event time in ``[since, until)``; ``also`` carries event columns.
 
     The range is on whole milliseconds and filters the stored time column, so the scan skips the
     row groups outside it.
@@ -139,4 +145,4 @@ def load_logs(spark: SparkSession, sf_dir: str, since: str | None = None, until:
         events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
         events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-    return derive_logs(events)
+    return derive_logs(events, also)

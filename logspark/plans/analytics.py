@@ -6,6 +6,8 @@ given tables hold few rows per minute, so these plans use day or hour buckets.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logspark.fixtures import Logs, seed_users
@@ -86,23 +88,22 @@ def generated_messages(spark: SparkSession, logs: Logs, model: TextModel | None
     return answers.select("username", "email_message")
 
 
-def topic_records(logs: Logs) -> DataFrame:
-    """All logs as records of their topics, with the text of each as its value."""
+def topic_records(logs: Logs, offset: str = "event_id") -> DataFrame:
+    """All logs as records of their topics, with the text of each as its value and the ``offset`` column as its place."""
     parts = []
     for kind, text in (("json", "details"), ("syslog", "message"), ("cef", "extension.msg")):
-        number = F.regexp_extract(F.col(text), r"(\d{9,})", 1)
         parts.append(getattr(logs, kind).select(
             F.lit(TOPICS[kind]).alias("topic"),
             F.lit(0).alias("partition"),
-            number.cast("long").alias("offset"),
+            F.col(offset).cast("long").alias("offset"),
             F.col("event_ts").alias("timestamp"),
             F.col(text).alias("value"),
         ))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def newest_records(logs: Logs) -> DataFrame:
-    return latest_per_topic(topic_records(logs))
+def newest_records(logs: Logs, topics: Iterable[str] | None = tuple(TOPICS.values()), offset: str = "event_id") -> DataFrame:
+    return latest_per_topic(topic_records(logs, offset), topics)
 
 
 def newest_json_log(logs: Logs) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logspark.fixtures import Logs, load_logs, prepare_events, seed_users
+from logspark.functions.sql import register_functions, register_tables
 from logspark.functions.time import DAY, HOUR, time_floor, time_prefix
 from logspark.operators import activity as act, pattern
 from logspark.operators.correlate import CORRELATED, JSON_CLASS, SYSLOG_CLASS, ip_incidents, recent_ip_pairs, total_pairs
@@ -56,14 +57,17 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def over_logs(build: Callable[..., DataFrame], since: str | None = None, until: str | None = None) -> Query:
+def over_logs(
+    build: Callable[..., DataFrame], since: str | None = None, until: str | None = None, also: Sequence[str] = ()
+) -> Query:
     """A query over the derived logs; ``build`` takes the logs.
 
-    ``since`` and ``until`` name the range of whole buckets the query reads, for the scan to prune.
+    ``since`` and ``until`` name the range of whole buckets the query reads, for the scan to prune; ``also`` names
+    event columns that the logs carry.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(load_logs(use_utc(spark), sf_dir, since, until)))
+        return comparable(build(load_logs(use_utc(spark), sf_dir, since, until, also)))
 
     return run
 
@@ -101,6 +105,44 @@ def streamed(build: Callable[[Logs], DataFrame], name: str, **options) -> Query:
     return run
 
 
+#: Incident pairs as text. Each side is counted before the join; the extension is JSON text.
+PAIRS_IN_SQL = """
+WITH a AS (
+  SELECT TIME_FLOOR(__time, 'PT1H') AS time_window, source_ip, event_type, status, COUNT(*) AS n
+  FROM SECURITY_LOGS_JSON GROUP BY ALL),
+b AS (
+  SELECT TIME_FLOOR(__time, 'PT1H') AS time_window, JSON_VALUE(extension, '$.src') AS source_ip, name, severity, COUNT(*) AS n
+  FROM SECURITY_LOGS_CEF GROUP BY ALL)
+SELECT time_window, source_ip, a.event_type AS json_event, a.status AS json_status, b.name AS cef_event,
+       b.severity AS cef_severity, a.n * b.n AS pair_count
+FROM a JOIN b USING (time_window, source_ip)
+WHERE a.status = 'failure' OR CAST(b.severity AS INTEGER) >= 7
+"""
+#: Distinct pairs of a range with the exact time of the JSON row, as text.
+RECENT_PAIRS_IN_SQL = """
+WITH a AS (
+  SELECT DISTINCT TIME_FLOOR(__time, 'PT1H') AS time_window, __time AS event_time, source_ip, event_type, status
+  FROM SECURITY_LOGS_JSON WHERE __time >= TIMESTAMP '{since}' AND __time < TIMESTAMP '{until}'),
+b AS (
+  SELECT DISTINCT TIME_FLOOR(__time, 'PT1H') AS time_window, JSON_VALUE(extension, '$.src') AS source_ip, name, severity
+  FROM SECURITY_LOGS_CEF WHERE __time >= TIMESTAMP '{since}' AND __time < TIMESTAMP '{until}')
+SELECT time_window, event_time, source_ip, a.event_type, a.status, b.name AS cef_event, b.severity
+FROM a JOIN b USING (time_window, source_ip)
+WHERE a.status = 'failure' OR CAST(b.severity AS INTEGER) >= 7
+"""
+
+
+def as_text(text: str) -> Query:
+    """A query in SQL over the tables of the topics."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_functions(use_utc(spark))
+        register_tables(load_logs(spark, sf_dir), extension_as_text=True)
+        return comparable(spark.sql(text))
+
+    return run
+
+
 #: Slots whose runs are summed up, in milliseconds; the given tables have few rows per hour.
 SLOT_MILLIS = 86_400_000
 
@@ -143,9 +185,9 @@ def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good records of a topic stream with broken ones; their share grows with the table, so no limit."""
+    """Good records of a topic stream with broken ones; the stream stops if more than a twentieth are bad."""
     base = scratch_dir(use_utc(spark), "w12")
-    policy = BadRecordPolicy(max_bad=2**62, keep=100)
+    policy = BadRecordPolicy(max_bad=spark.read.parquet(f"{sf_dir}/events.parquet").count() // 20, keep=100)
 
     def sink(raw: DataFrame, path: str, checkpoint: str):
         return quarantine(raw, "json", path, f"{base}/bad", checkpoint, policy, available_now=True)
@@ -462,6 +504,8 @@ QUERIES: dict[str, Query] = {
     "d2_event_frequency_first": over_logs(an.event_frequency),
     "d3_ip_incidents": over_logs(lambda logs: ip_incidents(logs.json, logs.cef, limit=50)),
     "d3_ip_incident_counts": over_logs(an.ip_incident_counts),
+    "d1_recent_pairs_in_sql": as_text(RECENT_PAIRS_IN_SQL.format(since=DAY_AGO, until=AS_OF)),
+    "d3_incident_counts_in_sql": as_text(PAIRS_IN_SQL),
     "d4_failure_sequences": over_logs(an.failure_sequences),
     "d4_failure_sequences_first": over_logs(partial(an.failure_sequences, limit=100)),
     "x1_average_severity": over_logs(lambda logs: act.average_severity(logs.cef, "PT1H", limit=None)),
@@ -493,9 +537,10 @@ QUERIES: dict[str, Query] = {
     "s21_created_and_inserted": created_and_inserted,
     "s23_literal_row_inserted": literal_inserted,
     "s25_appended_keyed_table": _with_session(appended_enriched),
-    "k1_latest_per_topic": over_logs(an.newest_records),
+    "k1_latest_per_topic": over_logs(an.newest_records, also=("event_id",)),
+    "k1_latest_of_every_topic": over_logs(partial(an.newest_records, topics=None), also=("event_id",)),
     "k2_attribute_rows": over_logs(lambda logs: as_attribute_rows(an.newest_json_log(logs))),
-    "g1_synth_logs": lambda spark, sf_dir: synth.flat_logs(synth.synth_logs(_ids(spark, sf_dir), seed=42)),
+    "g1_synth_logs": lambda spark, sf_dir: synth.flat_mixed(synth.mixed_logs(_ids(spark, sf_dir), seed=42)),
     "g2_synth_topup": lambda spark, sf_dir: synth.flat_logs(synth.synth_topup(_ids(spark, sf_dir), seed=43)),
     "i2_quarantine_good": over_logs(lambda logs: good_records(decode_topic(json_topic(logs), "json"))),
     "i2_quarantine_bad": over_logs(lambda logs: bad_records(decode_topic(json_topic(logs), "json"))),

@@ -375,6 +375,9 @@ select 'SECURITY_LOGS_JSON' as topic, 0 as "partition", event_id as "offset",
     sql["w12_quarantine_stream"] = _with(select=I1["json"] + f" where log_id in (select {_PAD} from e where not ({BROKEN}))")
     for kind, text in I1.items():
         sql[f"i1_bronze_{kind}"] = sql[f"w6_bronze_stream_{kind}"] = _with(select=text)
+    sql["k1_latest_of_every_topic"] = sql["k1_latest_per_topic"]
+    sql["d1_recent_pairs_in_sql"] = sql["d1_ip_correlation_recent_all"]
+    sql["d3_incident_counts_in_sql"] = sql["d3_ip_incident_counts"]
     for kind in ("json", "cef"):
         sql[f"s12_versioned_days_{kind}"] = sql[f"i1_bronze_{kind}"]
     sql["s1_topic_from_earliest"] = sql["i2_quarantine_good"]

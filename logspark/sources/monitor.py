@@ -13,14 +13,18 @@ NEWEST = ("timestamp", "partition", "offset")
 
 
 def latest_per_topic(
-    records: DataFrame, topics: Iterable[str] = tuple(TOPICS.values()), order: Sequence[str] = NEWEST
+    records: DataFrame, topics: Iterable[str] | None = tuple(TOPICS.values()), order: Sequence[str] = NEWEST
 ) -> DataFrame:
-    """The newest record of each of the given topics, over all its partitions.
+    """The newest record of each of the given topics, over all its partitions; with None, of every topic there is.
 
-    Offsets of different partitions do not compare, so time comes first. Topics are few and known,
-    so each is filtered and reduced to one row per task: the filter prunes what holds other topics,
-    and no records are sorted or shuffled.
+    Offsets of different partitions do not compare, so time comes first. Where the topics are few and known,
+    each is filtered and reduced to one row per task: the filter prunes what holds other topics,
+    and no records are sorted or shuffled. Where they are not known, each task sorts its records by topic
+    and hands on one per topic.
     """
+    if topics is None:
+        newest = F.max_by(F.struct(*records.columns), F.struct(*order))
+        return records.groupBy("topic").agg(newest.alias("_newest")).select("_newest.*")
     newest = [F.desc(c) for c in order]
     tops = [records.filter(F.col("topic") == topic).orderBy(*newest).limit(1) for topic in topics]
     return reduce(DataFrame.unionByName, tops)

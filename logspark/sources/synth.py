@@ -94,22 +94,25 @@ def _prepared(ids: DataFrame, seed: int) -> DataFrame:
     return add_digests(timed, seed, DIGESTS)
 
 
-def synth_logs(ids: DataFrame, seed: int = 42) -> Logs:
-    """One log per id, of a random kind; addresses from two shared pools of 50.
+def mixed_logs(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """One row per id: ``kind``, ``event_time``, and the log in the column of its kind; the others are null.
 
-    The pools share no address, so source and destination always differ.
+    Addresses come from two shared pools of 50, which have none in common, so source and destination always differ.
     """
-    kind = choice(SLOT["kind"], list(KINDS))
-    rows = _prepared(ids, seed)
+    rows = _prepared(ids, seed).withColumn("kind", choice(SLOT["kind"], list(KINDS)))
     source = choice(SLOT["source"], address_pool(seed, "source", POOL_SIZE))
     destination = choice(SLOT["destination"], address_pool(seed, "destination", POOL_SIZE))
     counter = zero_padded(F.col("id"))
+    made = {
+        name: F.struct(*_log_columns(name, counter, counter, source, destination, USERNAMES, True)) for name in KINDS
+    }
+    return rows.select("kind", "event_time", *[F.when(F.col("kind") == k, log).alias(k) for k, log in made.items()])
 
-    def made(name):
-        columns = _log_columns(name, counter, counter, source, destination, USERNAMES, True)
-        return rows.filter(kind == name).select(*columns)
 
-    return Logs(made("json"), made("syslog"), made("cef"))
+def synth_logs(ids: DataFrame, seed: int = 42) -> Logs:
+    """``mixed_logs`` as a table per kind. Where all kinds are wanted at once, the one table is one pass over the ids."""
+    mixed = mixed_logs(ids, seed)
+    return Logs(*[mixed.filter(F.col("kind") == k).select(f"{k}.*") for k in ("json", "syslog", "cef")])
 
 
 def synth_topup(ids: DataFrame, seed: int = 43) -> Logs:
@@ -128,17 +131,37 @@ def synth_topup(ids: DataFrame, seed: int = 43) -> Logs:
     return Logs(made("json"), made("syslog"), made("cef"))
 
 
+def _flat_columns(kind: str, of: str = "") -> list[Column]:
+    """What a log of a kind shows in the plain columns; ``of`` is the path to its columns."""
+    none = F.lit(None).cast("string")
+
+    def joined(between: str, *names: str) -> Column:
+        return F.concat_ws(between, *[F.col(of + n).cast("string") for n in names])
+
+    shown = {
+        "json": ["source_ip", "destination_ip", "username", "event_type", "status", "log_id", "details"],
+        "syslog": [none, none, "hostname", "application", "priority", "process_id", "message"],
+        "cef": ["extension.src", "extension.dst", joined("/", "device_vendor", "device_product", "device_version"),
+                joined(" ", "signature_id", "name"), "severity",
+                joined(" ", "extension.proto", "extension.spt", "extension.dpt"), "extension.msg"],
+    }[kind]
+    return [F.col(of + c).cast("string") if isinstance(c, str) else c for c in shown]
+
+
 def flat_logs(logs: Logs) -> DataFrame:
     """Generated logs of all kinds in one table of plain columns, to look at or compare."""
-    none = F.lit(None).cast("string")
-    device = F.concat_ws("/", "device_vendor", "device_product", "device_version")
-    ports = [F.col(f"extension.{c}").cast("string") for c in ("proto", "spt", "dpt")]
-    json = ["source_ip", "destination_ip", "username", "event_type", "status", "log_id", "details"]
-    syslog = [none, none, "hostname", "application", F.col("priority").cast("string"), "process_id", "message"]
-    cef = ["extension.src", "extension.dst", device, F.concat_ws(" ", "signature_id", "name"), "severity",
-           F.concat_ws(" ", *ports), "extension.msg"]
     parts = []
-    for kind, columns in (("json", json), ("syslog", syslog), ("cef", cef)):
-        named = [(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(columns, FLAT_COLUMNS)]
+    for kind in ("json", "syslog", "cef"):
+        named = [c.alias(n) for c, n in zip(_flat_columns(kind), FLAT_COLUMNS)]
         parts.append(getattr(logs, kind).select(F.lit(kind).alias("kind"), "event_time", *named))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def flat_mixed(mixed: DataFrame) -> DataFrame:
+    """``mixed_logs`` in the same plain columns."""
+    shown = {kind: _flat_columns(kind, f"{kind}.") for kind in KINDS}
+
+    def of_its_kind(i: int) -> Column:
+        return F.coalesce(*[F.when(F.col("kind") == kind, columns[i]) for kind, columns in shown.items()])
+
+    return mixed.select("kind", "event_time", *[of_its_kind(i).alias(n) for i, n in enumerate(FLAT_COLUMNS)])

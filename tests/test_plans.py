@@ -50,7 +50,7 @@ def test_top_k_never_sorts_everything(stored):
 
 
 def test_newest_records_are_neither_sorted_nor_shuffled(stored):
-    text = plan(an.newest_records(stored))
+    text = plan(an.newest_records(stored, offset="event_time"))
     assert text.count("TakeOrderedAndProject(limit=1") == 3
     assert text.count("FileScan") == 3 and "hashpartitioning" not in text and "rangepartitioning" not in text
 

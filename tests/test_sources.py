@@ -17,7 +17,7 @@ from logspark.sources.logs import log_table, read_log_stream, topic_options
 from logspark.sources.monitor import as_attribute_rows, latest_per_topic
 from logspark.sources.publish import log_value, publish, publish_stream, topic_rows
 from logspark.sources.quarantine import BadRecordPolicy, POLICIES, quarantine, saved_sample
-from logspark.sources.synth import flat_logs, numbered_ids, synth_logs, synth_topup
+from logspark.sources.synth import flat_logs, flat_mixed, mixed_logs, numbered_ids, synth_logs, synth_topup
 
 
 def rows_of(df):
@@ -261,6 +261,8 @@ def test_newest_record_over_all_partitions(spark):
     rows = [("a", 0, 9, 1.0, "old"), ("a", 1, 2, 5.0, "new"), ("a", 1, 1, 5.0, "before"), ("b", 0, 0, 0.0, "only")]
     df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp double, value string")
     assert {(r.topic, r.value) for r in latest_per_topic(df, ["a", "b", "none"]).collect()} == {("a", "new"), ("b", "only")}
+    assert {(r.topic, r.value) for r in latest_per_topic(df, None).collect()} == {("a", "new"), ("b", "only")}
+    assert latest_per_topic(df, None).columns == df.columns and latest_per_topic(df.limit(0), None).count() == 0
 
 
 def test_attribute_rows_with_bytes_and_structs(spark):
@@ -293,6 +295,12 @@ def test_generated_logs_repeat_by_seed(spark):
     one, again, other = (rows_of(flat_logs(synth_logs(i, seed))) for i, seed in (
         (ids, 5), (ids.repartition(7), 5), (ids, 6)))
     assert one == again != other
+    assert rows_of(flat_mixed(mixed_logs(ids, 5))) == one
+
+
+def test_all_kinds_are_generated_in_one_pass(spark):
+    made = flat_mixed(mixed_logs(numbered_ids(spark, 100)))
+    assert made._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
 
 
 def test_topup(spark):
