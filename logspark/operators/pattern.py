@@ -164,18 +164,19 @@ def link_stretches(scanned: DataFrame) -> DataFrame:
     pass through and are spread by stretch.
     """
     spread = F.when(F.col("_kind") == MATCH, F.col("_stretch") + 2).otherwise(0)
-    along = Window.partitionBy("_key", "_spread").orderBy("_stretch", "_kind")
-    chain = Window.partitionBy("_key", "_spread", "_link").orderBy("_stretch", "_kind")
-    up_to_here = (Window.unboundedPreceding, Window.currentRow)
+    along = Window.partitionBy("_key", "_spread").orderBy("_stretch", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tail = F.when(F.col("_kind") == TAIL, F.col("_run")).otherwise(0)
-    total = F.when(F.col("_kind") == HEAD, F.col("_run") + F.col("_chained"))
-    total = total.when(F.col("_kind") == TAIL, F.col("_chained")).otherwise(F.col("_run"))
+    # Run rows before the newest break never exceed those up to now, so their greatest count is the newest one's.
+    before_break = F.when(F.col("_reset") == 1, F.col("_tails") - tail)
+    chained = F.col("_tails") - F.coalesce(F.col("_base"), F.lit(0))
+    total = F.when(F.col("_kind") == HEAD, F.col("_run") + chained)
+    total = total.when(F.col("_kind") == TAIL, chained).otherwise(F.col("_run"))
     return (
         scanned.withColumn("_spread", spread)
-        .withColumn("_link", F.sum("_reset").over(along.rowsBetween(*up_to_here)))
-        .withColumn("_chained", F.sum(tail).over(chain.rowsBetween(*up_to_here)))
+        .withColumn("_tails", F.sum(tail).over(along))
+        .withColumn("_base", F.max(before_break).over(along))
         .withColumn("_run", total)
-        .drop("_spread", "_link", "_chained", "_reset")
+        .drop("_spread", "_tails", "_base", "_reset")
     )
 
 
