@@ -1,8 +1,9 @@
 """Run a stream over a stored table of events to its end, in several micro-batches.
 
-The events are copied into files that are read one per micro-batch: dealt by a hash of their ids,
-so that every batch holds all times, or cut by time. The stream runs in a session of its own; the
-caller's settings stay as they are. Copy and checkpoint are removed at the end.
+The events are copied into files: dealt by a hash of their ids, so that every micro-batch holds all
+times, or cut by time, where the stream stops after each part and goes on with the next. A file holds
+a bounded number of rows and a micro-batch as many files as it needs. The stream runs in a session of
+its own; the caller's settings stay as they are. Copy and checkpoint are removed at the end.
 
 A pattern comes out once the watermark has passed it, so a table that ends leaves the last ones
 open. With ``marks`` the stream goes on over two closing marks in the far future.
@@ -10,7 +11,7 @@ open. With ``marks`` the stream goes on over two closing marks in the far future
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +22,8 @@ from logspark.streaming.sinks import append_stream
 
 #: Micro-batches that a table is read in.
 BATCHES = 5
+#: Rows of a file of the copy, and so of a task that writes or reads it.
+ROWS_PER_FILE = 250_000
 # Two ids, because even ones make syslog records and odd ones CEF records.
 MARKS = """
 SELECT id AS event_id, TIMESTAMP_NTZ'2200-01-01 00:00:00' AS ts, 7L AS user_id, 'mark' AS event_type,
@@ -31,6 +34,8 @@ SELECT id AS event_id, TIMESTAMP_NTZ'2200-01-01 00:00:00' AS ts, 7L AS user_id,
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session over the same cluster with settings of its own; state is split by the number of cores."""
     own = use_rocksdb_state(use_utc(spark.newSession()))
+    # Events take some 20 bytes a row in files and hundreds when they are decoded and kept.
+    own.conf.set("spark.sql.files.maxPartitionBytes", "16m")
     own.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
     return own
 
@@ -40,32 +45,44 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def feed_in_any_order(events: DataFrame, path: str) -> None:
-    events.repartitionByRange(BATCHES, F.xxhash64("event_id")).write.parquet(path)
+def files_of(events: DataFrame) -> int:
+    """Files that hold a micro-batch, so that a task writes and reads a bounded number of rows."""
+    return max(1, -(-events.count() // ROWS_PER_FILE))
 
 
-def feed_in_time_order(events: DataFrame, path: str) -> None:
-    """One file after the other, as files are taken in by age; each is a part of the range of times."""
+def feed_in_any_order(events: DataFrame, path: str) -> Iterator[int]:
+    files = -(-files_of(events) // BATCHES)
+    events.repartitionByRange(BATCHES * files, F.xxhash64("event_id")).write.parquet(path)
+    yield files
+
+
+def _one_part_after_the_other(dealt: DataFrame, path: str) -> Iterator[None]:
+    """A micro-batch for each ``_part``; the next one is not there before the stream has taken in the last."""
+    for k in range(BATCHES):
+        rows = dealt.where(F.col("_part") == k).drop("_part")
+        rows.repartition(files_of(rows)).write.mode("append").parquet(path)
+        yield None
+
+
+def feed_in_time_order(events: DataFrame, path: str) -> Iterator[None]:
+    """Each micro-batch is a part of the range of times."""
     low, high = events.agg(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first()
     part = F.lit(0)
     if low is not None and high > low:
         seconds = F.col("ts").cast("timestamp").cast("double")
         part = F.floor((seconds - low.timestamp()) / (high.timestamp() - low.timestamp()) * BATCHES)
-    for k in range(BATCHES):
-        here = F.least(part, F.lit(BATCHES - 1)) == k
-        events.filter(F.coalesce(here, F.lit(k == 0))).coalesce(1).write.mode("append").parquet(path)
+    dealt = events.withColumn("_part", F.coalesce(F.least(part, F.lit(BATCHES - 1)), F.lit(0)))
+    return _one_part_after_the_other(dealt, path)
 
 
-def feed_with_late_rows(events: DataFrame, path: str) -> None:
+def feed_with_late_rows(events: DataFrame, path: str) -> Iterator[None]:
     """In order of time, but of a quarter of the users one row in sixteen comes a batch or more too late."""
     spans = events.agg(F.min("ts").cast("timestamp").cast("double"), F.max("ts").cast("timestamp").cast("double")).first()
     low, high = (s or 0.0 for s in spans)
     part = F.least(F.floor((F.col("ts").cast("timestamp").cast("double") - low) / max(high - low, 1e-6) * BATCHES), F.lit(BATCHES - 1))
     draw = F.pmod(F.xxhash64("event_id"), F.lit(16 * BATCHES))
     late = F.when((F.col("user_id") % 4 == 0) & (draw < BATCHES), F.least(part + 1 + draw, F.lit(BATCHES - 1))).otherwise(part)
-    dealt = events.withColumn("_part", F.coalesce(late, F.lit(0)))
-    for k in range(BATCHES):
-        dealt.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return _one_part_after_the_other(events.withColumn("_part", F.coalesce(late, F.lit(0))), path)
 
 
 def replay(
@@ -74,25 +91,31 @@ def replay(
     build: Callable[[Logs], DataFrame],
     base: str,
     sink: Callable[[DataFrame, str, str], StreamingQuery] = append_stream,
-    feed: Callable[[DataFrame, str], None] = feed_in_any_order,
+    feed: Callable[[DataFrame, str], Iterator[int | None]] = feed_in_any_order,
     marks: bool = False,
 ) -> str:
-    """Run the stream ``build`` makes from the log streams of a folder of tables; give its result path."""
+    """Run the stream ``build`` makes from the log streams of a folder of tables; give its result path.
+
+    ``feed`` writes files and tells how many of them make a micro-batch, or None where all that are new make one;
+    the stream takes them in each time it does so.
+    """
     own = stream_session(spark)
-    feed(own.read.parquet(f"{sf_dir}/events.parquet").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")]), f"{base}/events")
 
-    def events() -> DataFrame:
-        reader = own.readStream.schema(EVENTS_DDL).option("maxFilesPerTrigger", 1)
+    def events(files: int | None) -> DataFrame:
+        reader = own.readStream.schema(EVENTS_DDL)
+        reader = reader.option("maxFilesPerTrigger", files) if files else reader
         return prepare_events(reader.parquet(f"{base}/events"))
 
-    def run() -> None:
-        logs = Logs(json_logs(events()), syslog_logs(events()), cef_logs(events()))
+    def run(files: int | None) -> None:
+        logs = Logs(*[derive(events(files)) for derive in (json_logs, syslog_logs, cef_logs)])
         sink(build(logs), f"{base}/result", f"{base}/checkpoint").awaitTermination()
 
-    run()
+    rows = own.read.parquet(f"{sf_dir}/events.parquet").select(*[c.split()[0] for c in EVENTS_DDL.split(", ")])
+    for files in feed(rows, f"{base}/events"):
+        run(files)
     if marks:
         own.sql(MARKS).coalesce(1).write.mode("append").parquet(f"{base}/events")
-        run()
+        run(None)
     for done in ("events", "checkpoint"):
         remove(spark, f"{base}/{done}")
     return f"{base}/result"

@@ -1,6 +1,7 @@
 """Streams fed file by file: parity with the batch forms, late rows, restarts."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -12,6 +13,7 @@ from logspark.functions.time import time_prefix
 from logspark.operators.activity import activity
 from logspark.operators.pattern import login_pattern, suspicious_logins
 from logspark.schemas import FAILED_LOGIN_ATTEMPTS_DDL
+from logspark.streaming import replay as replays
 from logspark.streaming.batches import late_keys, repaired_matches, suspicious_logins_batches
 from logspark.streaming.pattern import suspicious_logins_stream
 from logspark.streaming.running import fold_entries, running_totals, store_entries
@@ -225,3 +227,23 @@ def test_messages_replace_and_errors_are_kept(spark, tmp_path):
     assert tables.enriched.read(spark).count() == 3
     errors = tables.answers.read(spark).filter("error is not null").collect()
     assert [(r.username, r.error) for r in errors] == [("guest", "RuntimeError: refused")]
+
+
+@pytest.mark.parametrize("feed", [replays.feed_in_any_order, replays.feed_in_time_order, replays.feed_with_late_rows])
+def test_no_task_takes_a_whole_micro_batch(spark, sf_small, tmp_path, monkeypatch, feed):
+    monkeypatch.setattr(replays, "ROWS_PER_FILE", 50)
+    batches = []
+
+    def sink(df, path, checkpoint):
+        def store(batch, batch_id):
+            batches.append([(r.at, r.event_time, r.log_id) for r in batch.select(F.input_file_name().alias("at"), "event_time", "log_id").collect()])
+        return df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    replays.replay(spark, sf_small, lambda logs: logs.json, str(tmp_path / "feed"), sink, feed)
+    assert len(batches) == replays.BATCHES
+    assert sorted(int(r[2]) for b in batches for r in b) == list(range(1000))
+    for batch in batches:
+        assert max(Counter(r[0] for r in batch).values()) <= 100
+    if feed is replays.feed_in_time_order:
+        spans = [(min(r[1] for r in b), max(r[1] for r in b)) for b in batches]
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
