@@ -49,11 +49,16 @@ def time_floor(column: str | Column, period: str = "PT1H") -> Column:
     if period in _CALENDAR:
         return F.date_trunc(_CALENDAR[period], column)
     length = period_micros(period)
-    since = _MONDAY if re.fullmatch(r"P\d+W", period) else 0
+    since = slot_offset(period)
     micros = F.unix_micros(column)
     return F.timestamp_micros(micros - F.pmod(micros - F.lit(since), F.lit(length)))
 
 
+def slot_offset(period: str) -> int:
+    """Microseconds from the epoch to where buckets are counted from."""
+    return _MONDAY if re.fullmatch(r"P\d+W", period) else 0
+
+
 def period_micros(period: str) -> int:
     scale = {"week": 7 * 86400, "day": 86400, "hour": 3600, "minute": 60, "second": 1}
     words = period_to_interval(period).split()

@@ -1,23 +1,26 @@
 """Runs of rows that end in a given row, on a stream.
 
-Two keyed steps. The first is keyed by (key, time slot): it buffers the rows of a slot and, when
-the watermark passes the end of the slot, scans them in order once and drops them. It emits the
-matches that lie in the slot, and for the edges of the slot at most two summary rows. The second
-step is keyed by key and holds one number per key, the length of the run that is still open; slots
-reach it in order, so it needs no buffer. A hot key is thus spread over its slots, and only
-summaries meet in one place.
+Three keyed steps. The first holds rows by key and instant until the watermark passes them, so rows
+behind it are left out. The second collects them by (key, time slot) and hands a slot on when the
+watermark passes its end. Both are Spark's own aggregations. Slots are scanned in Arrow batches, many
+side by side, which gives the matches that lie in a slot and for its edges at most two summary rows.
+The third step is keyed by key and holds one number per key, the length of the run that is still
+open; slots reach it in order, so it needs no buffer. A hot key is thus spread over its slots, and
+only summaries meet in one place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from logspark.functions.time import period_micros, time_floor
+from logspark.functions.time import period_micros, slot_offset
 from logspark.operators.pattern import (
     END, HEAD, LOGIN_ORDER, MATCH, RUN, TAIL, login_pattern, row_class, run_before,
 )
@@ -29,47 +32,43 @@ from logspark.streaming.windows import WATERMARK
 LATEST = "2262-01-01 00:00:00"
 
 
-class ScanSlot(StatefulProcessor):
-    """Buffer the rows of one (key, slot); scan them when the slot is over."""
+# Groups per key that finished matches are passed on in.
+MATCH_GROUPS = 64
 
-    def __init__(self, key_names: list[str], order: list[str], measures: list[str], min_run: int, slot_ms: int):
-        self.key_names, self.order, self.measures = key_names, order, measures
-        self.min_run, self.slot_ms = min_run, slot_ms
-        # Names that start with an underscore do not survive the named tuples Spark makes of the rows.
-        self.row_fields = [*order, "class_", *measures]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", self.state_schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if not self.rows.exists():
-            self.handle.registerTimer(key[-1] + self.slot_ms)
-        for batch in rows:
-            self.rows.appendList(list(batch[self.row_fields].itertuples(index=False, name=None)))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows = pd.DataFrame(self.rows.get(), columns=self.row_fields).sort_values(self.order)
-        self.rows.clear()
-        classes = rows["class_"].to_numpy()
-        run = run_before(classes, np.zeros(len(rows), bool), 0)
+def _scan_slots(batches, key_names, measures, min_run):
+    """Scan slots whose rows are in order: matches, and for the edges of each slot its head and tail."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column("rows_")
+        lengths, rows = lists.value_lengths().to_numpy(), lists.flatten()
+        slot_of, ends = np.repeat(np.arange(batch.num_rows), lengths), np.cumsum(lengths)
+        classes = rows.field("class_").to_numpy(zero_copy_only=False)
+        starts = np.zeros(len(classes), bool)
+        starts[ends - lengths] = True
+        run = run_before(classes, starts, 0)
         other = np.flatnonzero(classes != RUN)
-        kinds = np.where((classes == END) & (run >= self.min_run), MATCH, -1)
-        if len(other) and classes[other[0]] == END:
-            kinds[other[0]] = HEAD
-        out = rows[self.measures].assign(kind_=kinds, run_=run, reset_=0)[kinds >= 0]
-        tail = {
-            **dict.fromkeys(self.measures), "kind_": TAIL, "reset_": int(len(other) > 0),
-            "run_": int(run[-1]) + 1 if classes[-1] == RUN else 0,
-        }
-        out = pd.concat([out.astype(object), pd.DataFrame([tail], dtype=object)], ignore_index=True)
-        for name, value in zip([*self.key_names, "slot_"], key):
-            out[name] = value
-        yield out[[*self.key_names, "slot_", *self.measures, "kind_", "run_", "reset_"]].infer_objects()
-
-    def close(self) -> None:
-        pass
+        broken, at = np.unique(slot_of[other], return_index=True)
+        first = other[at]
+        kinds = np.where((classes == END) & (run >= min_run), MATCH, -1)
+        kinds[first[classes[first] == END]] = HEAD
+        hits = np.flatnonzero(kinds >= 0)
+        reset = np.zeros(batch.num_rows, np.int64)
+        reset[broken] = 1
+        last = ends - 1
+        tail_run = np.where(classes[last] == RUN, run[last] + 1, 0)
+
+        def summaries(slots, values, kind, run, reset):
+            named = [*key_names, "slot_"]
+            columns = [batch.column(n).take(pa.array(slots)) for n in named]
+            numbers = [pa.array(v, pa.int64()) for v in (kind, run, reset)]
+            return pa.RecordBatch.from_arrays([*columns, *values, *numbers], names=[*named, *measures, "kind_", "run_", "reset_"])
+
+        found = [rows.field(m).take(pa.array(hits)) for m in measures]
+        yield summaries(slot_of[hits], found, kinds[hits], run[hits], np.zeros(len(hits), np.int64))
+        none = [pa.nulls(batch.num_rows, v.type) for v in found]
+        yield summaries(np.arange(batch.num_rows), none, np.full(batch.num_rows, TAIL), tail_run, reset)
 
 
 class ChainSlots(StatefulProcessor):
@@ -124,29 +123,30 @@ def match_run_then_stream(
     measures = dict(measures or {})
     keys, names = list(partition_by), list(measures)
     klass = row_class(run_pred, end_pred)
-    order = {f"order{i}_": F.col(c) for i, c in enumerate(order_by)}
+    # Nulls come last.
+    order = [c for i, name in enumerate(order_by) for c in (F.col(name).isNull().alias(f"null{i}_"), F.col(name).alias(f"order{i}_"))]
     bounded = df.withColumn("event_ts", F.least("event_ts", F.lit(LATEST).cast("timestamp")))
     rows = bounded.withWatermark("event_ts", watermark).select(
         *keys,
         "event_ts",
-        F.unix_millis(time_floor("event_ts", slot)).alias("slot_"),
-        *[column.alias(alias) for alias, column in order.items()],
-        klass.alias("class_"),
-        *[F.when(klass == END, F.col(c)).alias(alias) for alias, c in measures.items()],
+        F.struct(*order, klass.alias("class_"), *[F.when(klass == END, F.col(c)).alias(alias) for alias, c in measures.items()]).alias("row_"),
     )
-    field = {f.name: f for f in rows.schema}
-    scan = ScanSlot(keys, list(order), names, min_run, period_micros(slot) // 1000)
-    scan.state_schema = T.StructType([field[n] for n in scan.row_fields])
+    instants = rows.groupBy(*keys, "event_ts").agg(F.collect_list("row_").alias("rows_"))
+    seconds, since = period_micros(slot) // 1_000_000, slot_offset(slot) // 1_000_000
+    span = F.window("event_ts", f"{seconds} seconds", startTime=f"{since} seconds")
+    slots = instants.groupBy(*keys, span).agg(F.array_sort(F.flatten(F.collect_list("rows_"))).alias("rows_"))
+    needed = F.transform("rows_", lambda r: F.struct(*[r[c].alias(c) for c in ["class_", *names]]))
+    slots = slots.select(*keys, F.unix_millis("window.start").alias("slot_"), needed.alias("rows_"))
+    field = {f.name: f for f in [*slots.schema, *slots.schema["rows_"].dataType.elementType]}
     long = T.LongType()
     summary = T.StructType(
-        [field[n] for n in [*keys, "slot_", *names]]
+        [field[n] for n in [*keys, "slot_"]] + [T.StructField(n, field[n].dataType) for n in names]
         + [T.StructField("kind_", long), T.StructField("run_", long), T.StructField("reset_", long)]
     )
-    scanned = rows.groupBy(*keys, "slot_").transformWithStateInPandas(
-        scan, summary, outputMode="Append", timeMode="EventTime"
-    )
-    spread = F.when(F.col("kind_") == MATCH, F.col("slot_") + 1).otherwise(F.lit(0).cast("long"))
-    found = T.StructType([field[k] for k in keys] + [T.StructField("run_", long)] + [field[n] for n in names])
+    scanned = slots.mapInArrow(partial(_scan_slots, key_names=keys, measures=names, min_run=min_run), summary)
+    group = 1 + F.pmod(F.xxhash64("slot_"), F.lit(MATCH_GROUPS))
+    spread = F.when(F.col("kind_") == MATCH, group).otherwise(F.lit(0).cast("long"))
+    found = T.StructType([field[k] for k in keys] + [T.StructField("run_", long)] + [T.StructField(n, field[n].dataType) for n in names])
     chained = (
         scanned.withColumn("spread_", spread)
         .groupBy(*keys, "spread_")

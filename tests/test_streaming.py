@@ -247,3 +247,16 @@ def test_no_task_takes_a_whole_micro_batch(spark, sf_small, tmp_path, monkeypatc
     if feed is replays.feed_in_time_order:
         spans = [(min(r[1] for r in b), max(r[1] for r in b)) for b in batches]
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_keyed_pattern_hands_python_state_one_row_per_user(spark, few_partitions, tmp_path):
+    everything = timed(logs(spark, {user: "WWWWFxWWWF" * 6 for user in ("a", "b", "c")}))
+    feed, out = Feed(spark, tmp_path, everything.schema), str(tmp_path / "out")
+    feed.put(everything)
+    feed.put(closing(spark, everything.schema).select(*everything.columns))
+    query = append_stream(suspicious_logins_stream(feed.stream(), slot="1 minute"), out, feed.checkpoint)
+    query.awaitTermination()
+    # 180 slots with a row each are held, but not in Python.
+    keyed = [o for p in query.recentProgress for o in p.stateOperators if o.operatorName.startswith("transformWithState")]
+    assert 0 < max(o.numRowsTotal for o in keyed) <= 4
+    assert spark.read.parquet(out).count() == suspicious_logins(everything).count() == 36
