@@ -35,14 +35,24 @@ def _with(value: Column, f) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+"), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")
 
 
-def _window_hashes(words: Column) -> Column:
-    """64-bit hash of each window of words; windows with equal hashes are taken as equal."""
-    n = F.size(words)
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+def _neighbours(hashes: Column, step: int) -> Column:
+    """Hash of each entry with the one ``step`` places after it, as far as there are any."""
+    n = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, step + 1, n), lambda a, b: F.xxhash64(a, b))
+
+
+def _window_hashes(docs: DataFrame) -> DataFrame:
+    """Adds ``hashes``, a 64-bit hash of each window of words; windows with equal hashes are taken as equal.
+
+    Words are hashed once, then runs of two, four and eight from those of half the length.
+    """
+    docs = docs.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    for step in (1, 2, 4):
+        docs = docs.withColumn("hashes", _neighbours(F.col("hashes"), step))
+    return docs
 
 
 def _covered(hashes: Column) -> Column:
@@ -69,12 +79,11 @@ def text_counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(f"[^{SPACE}]"))
     repeated = F.when(F.size(F.array_distinct("hashes")) == F.size("hashes"), 0).otherwise(_covered(F.col("hashes")))
     return (
-        docs.withColumn("words", words_of(F.col("text")))
-        .withColumn("hashes", _window_hashes(F.col("words")))
+        _window_hashes(docs.withColumn("words", words_of(F.col("text"))))
         .withColumns({
             "n_words": F.size("words").cast("long"),
-            "word_chars": F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
+            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]+", ""))).cast("long"),
             "n_dup_lines": _with(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
             "n_repeat_words": repeated.cast("long"),
         })
@@ -83,14 +92,19 @@ def text_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _bucket(*words: Column) -> Column:
+    return F.xxhash64(*words).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _pairs(words: Column) -> tuple[Column, Column]:
+    """Each word that has a word after it, and that word."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.slice(words, 1, n), F.slice(words, 2, n)
+
+
 def _buckets(words: Column) -> Column:
     """Bucket of each word, then of each pair of neighbours."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-    pair = F.transform(
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(F.get(words, i), w), F.lit(BUCKETS)).cast("int"),
-    )
-    return F.concat(single, pair)
+    return F.concat(F.transform(words, lambda w: _bucket(w)), F.zip_with(*_pairs(words), lambda a, b: _bucket(a, b)))
 
 
 def trusted_ids(labels: DataFrame, bound: int = TRUSTED_DOCS) -> DataFrame:
@@ -108,7 +122,10 @@ def fit_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     grams = (
         only(docs, doc_id="long", text="string").join(trusted, "doc_id", "left")
         .select("good", words_of(F.col("text")).alias("words"))
-        .select("good", F.explode(_buckets(F.col("words"))).alias("bucket"))
+        # A row for each word and the one after it, if any: compiled, unlike functions over arrays.
+        .select("good", F.explode(F.arrays_zip("words", F.slice("words", 2, F.size("words")).alias("next"))).alias("at"))
+        .select("good", F.explode(F.array(_bucket(F.col("at.words")), F.when(F.col("at.next").isNotNull(), _bucket(F.col("at.words"), F.col("at.next"))))).alias("bucket"))
+        .where("bucket is not null")
     )
     counts = grams.groupBy("bucket").agg(F.count("good").alias("good"), F.count("*").alias("raw"))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
