@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 import pyarrow as pa
-import pyarrow.dataset as ds
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +31,15 @@ RECORD_ARROW = pa.schema([
 STORED = pa.schema([f for f in RECORD_ARROW if f.name not in ("topic", "partition")])
 #: Offsets a task reads, unless the reader is told otherwise.
 RECORDS_PER_TASK = 1_000_000
+#: Row groups are small, and columns are read in pieces of so many bytes: a reader holds no row group as a whole.
+GROUP_BYTES, READ_BYTES = 16 << 20, 1 << 20
 
 
 def store_records(records: DataFrame, path: str) -> None:
     """Append topic records; a topic of one partition is still written by many tasks, each a range of offsets."""
     keys = ("topic", "partition", "offset")
     rows = records.select(*TOPIC_COLUMNS).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    rows.write.mode("append").partitionBy("topic", "partition").parquet(path)
+    rows.write.mode("append").option("parquet.block.size", GROUP_BYTES).partitionBy("topic", "partition").parquet(path)
 
 
 @dataclass(frozen=True)
@@ -133,13 +135,20 @@ class _OffsetReader:
         if part is None:  # what a table of no ranges is read with
             return
         system, _ = _system(self.index.uri)
-        stored = ds.dataset(part.files, schema=STORED, filesystem=system, format="parquet")
-        wanted = (ds.field("offset") >= part.low) & (ds.field("offset") < part.high)
-        for batch in stored.to_batches(filter=wanted, batch_size=8192, batch_readahead=1, fragment_readahead=1):
-            if batch.num_rows:
-                fixed = [pa.array([self.index.topic] * batch.num_rows), pa.array([part.partition] * batch.num_rows, pa.int32())]
-                columns = [*fixed, *(batch.column(f.name).cast(f.type) for f in STORED)]
-                yield pa.RecordBatch.from_arrays(columns, schema=RECORD_ARROW)
+        names = [f.name for f in STORED]
+        for path in part.files:
+            with system.open_input_file(path) as source:
+                stored = pq.ParquetFile(source, buffer_size=READ_BYTES, pre_buffer=False, coerce_int96_timestamp_unit="us")
+                at = stored.schema_arrow.get_field_index("offset")
+                held = [stored.metadata.row_group(i).column(at).statistics for i in range(stored.num_row_groups)]
+                groups = [i for i, s in enumerate(held) if s is None or not s.has_min_max or (s.min < part.high and s.max >= part.low)]
+                for batch in stored.iter_batches(batch_size=8192, row_groups=groups, columns=names, use_threads=False) if groups else ():
+                    offsets = batch.column("offset")
+                    batch = batch.filter(pc.and_(pc.greater_equal(offsets, part.low), pc.less(offsets, part.high)))
+                    if batch.num_rows:
+                        fixed = [pa.array([self.index.topic] * batch.num_rows), pa.array([part.partition] * batch.num_rows, pa.int32())]
+                        columns = [*fixed, *(batch.column(f.name).cast(f.type) for f in STORED)]
+                        yield pa.RecordBatch.from_arrays(columns, schema=RECORD_ARROW)
 
 
 class StoredTopicBatch(_OffsetReader, DataSourceReader):

@@ -1,8 +1,12 @@
 """Topics read by offsets: start positions, stopping and going on, partitions that come later, gaps."""
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from logspark.sources import stored_topic
 from logspark.sources.stored_topic import OffsetIndex, StoredTopicStream, read_stored_topic, store_records
 from logspark.streaming.sinks import append_stream
 
@@ -79,3 +83,28 @@ def test_footers_are_read_once(spark, tmp_path, monkeypatch):
     before = len(calls)
     store_records(records(spark, [20]), path)
     assert index.ends() == {"0": (0, 21)} and len(calls) == before + 1
+
+
+def test_a_reader_holds_no_row_group(tmp_path):
+    n, path = 100_000, tmp_path / "topic" / "topic=a b" / "partition=0"
+    path.mkdir(parents=True)
+    values = pa.array([b.tobytes() for b in np.random.default_rng(1).integers(0, 256, (n, 500), np.uint8)], pa.binary())
+    table = pa.table({"offset": pa.array(range(n), pa.int64()), "timestamp": pa.array(range(n), pa.timestamp("us", "UTC")),
+                      "key": pa.nulls(n, pa.binary()), "value": values})
+    pq.write_table(table, path / "part-0.parquet", row_group_size=n, use_dictionary=False)
+    del table, values
+    reader = StoredTopicStream({"path": str(tmp_path / "topic"), "topic": "a b"})
+    (part,), before, most, got = reader.partitions({"0": 5}, {"0": n - 5}), pa.total_allocated_bytes(), 0, 0
+    for batch in reader.read(part):
+        got, most = got + batch.num_rows, max(most, pa.total_allocated_bytes() - before)
+    assert got == n - 10 and most < 30_000_000
+
+
+def test_stored_row_groups_are_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored_topic, "GROUP_BYTES", 1 << 20)
+    wide = records(spark, range(20_000)).withColumn("value", F.encode(F.concat_ws(" ", *[F.sha2(F.concat(F.lit(str(i)), "value"), 256) for i in range(4)]), "utf-8"))
+    store_records(wide.coalesce(1), str(tmp_path / "topic"))
+    groups = [f.row_group(i) for f in map(pq.read_metadata, (tmp_path / "topic").rglob("*.parquet")) for i in range(f.num_row_groups)]
+    assert max(g.total_byte_size for g in groups) <= 2 << 20
+    reader = StoredTopicStream({"path": str(tmp_path / "topic"), "topic": "a b"})
+    assert sum(b.num_rows for r in reader.partitions({"0": 9_000}, {"0": 9_500}) for b in reader.read(r)) == 500
